@@ -302,18 +302,51 @@ def oracle(names, query: str) -> str:
     return with_clause(names, duckdb_tables()) + query
 
 
+_WORLDS: dict = {}
+
+
 class World:
-    """Lazy accessor: ``World(spark, sf_dir).kv_pujopass`` -> DataFrame."""
+    """Lazy accessor: ``World(spark, sf_dir).kv_pujopass`` -> DataFrame.
+
+    Each view is built once per (session, folder) from its dependencies and
+    persisted (memory, then disk), so a plan that reads a view several times
+    scans the cached relation instead of re-deriving it.  Lost cache blocks are
+    recomputed from lineage, so an executor loss costs time, not results.
+    """
+
+    def __new__(cls, spark, sf_dir: str):
+        k = (id(spark), os.path.abspath(sf_dir))
+        w = _WORLDS.get(k)
+        if w is None:
+            w = super().__new__(cls)
+            w.spark, w.sf_dir = spark, sf_dir
+            w._cache = {}
+            w._prefix = f"__w{len(_WORLDS)}_"
+            _WORLDS[k] = w
+        return w
 
     def __init__(self, spark, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-        self._cache: dict[str, object] = {}
+        pass
+
+    def view(self, name: str):
+        if name not in self._cache:
+            from pyspark import StorageLevel
+
+            deps, body = VIEWS[name]
+            for d in deps:
+                self.view(d)
+            tables = spark_tables(self.sf_dir)
+            sql = re.sub(r"\{(\w+)\}", lambda m: tables[m.group(1)], body)
+            for d in sorted(deps, key=len, reverse=True):
+                sql = re.sub(rf"\b{d}\b", self._prefix + d, sql)
+            df = self.spark.sql(sql).persist(StorageLevel.MEMORY_AND_DISK)
+            df.createOrReplaceTempView(self._prefix + name)
+            self._cache[name] = df
+        return self._cache[name]
 
     def __getattr__(self, name):
         if name.startswith("kv_"):
-            if name not in self._cache:
-                self._cache[name] = spark_view(self.spark, self.sf_dir, name)
-            return self._cache[name]
+            return self.view(name)
         raise AttributeError(name)
 
     def table(self, name: str):
