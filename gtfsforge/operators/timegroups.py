@@ -131,7 +131,9 @@ def spread_fold(drive: list[int], dist: list[int]) -> list[int]:
             return
         allocated = 0
         for x in buf:
-            a = (total_t * dist[x]) // total_d
+            num = total_t * dist[x]
+            # exact quotient truncated toward zero (a run's total can turn negative)
+            a = num // total_d if num >= 0 else -((-num) // total_d)
             if a == 0:
                 a = 4
             allocated += a

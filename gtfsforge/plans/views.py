@@ -344,6 +344,19 @@ class World:
             self._cache[name] = df
         return self._cache[name]
 
+    def memo(self, name: str, build):
+        """Persist a derived result once per world (stored tables in a real deployment)."""
+        if name not in self._cache:
+            from pyspark import StorageLevel
+
+            out = build()
+            if isinstance(out, tuple):
+                out = tuple(d.persist(StorageLevel.MEMORY_AND_DISK) for d in out)
+            else:
+                out = out.persist(StorageLevel.MEMORY_AND_DISK)
+            self._cache[name] = out
+        return self._cache[name]
+
     def __getattr__(self, name):
         if name.startswith("kv_"):
             return self.view(name)
