@@ -345,3 +345,39 @@ def stop_times_drivetime(t: dict[str, DataFrame]) -> DataFrame:
         )
     )
     return union_all(first, middle, last)
+
+
+# ------------------------------------------------------------------ O-G4 / O-B17
+def shapes(t: dict[str, DataFrame], ties: str = "row_number", match_transport: bool = True,
+           exclude_train: bool = False) -> DataFrame:
+    """Shape polylines: the pool points of every link of a pattern, ordered by
+    (link order, distance since start of link) (O-G4).
+
+    ``ties``: ``row_number`` (consecutive) or ``rank`` (equal positions share a
+    number, gaps follow).  ``match_transport``: pool transport type must equal
+    the line's.  ``exclude_train``: drop patterns of TRAIN lines.
+    """
+    from gtfsforge.operators.first import seq
+
+    jt, pool, point, line = t["jopatili"], t["pool"], t["point_all"], t["line"]
+    pts = point.select("version", F.col("dataownercode").alias("pointdataownercode"), "pointcode", "locationx_ew",
+                       "locationy_ns")
+    ln = line.select("version", "dataownercode", "lineplanningnumber", F.col("transporttype").alias("line_tt"))
+    j = (
+        jt.select(*PAT, "timinglinkorder", "userstopcodebegin", "userstopcodeend")
+        .join(pool, ["version", "dataownercode", "userstopcodebegin", "userstopcodeend"])
+        .join(ln, ["version", "dataownercode", "lineplanningnumber"])
+        .join(pts, ["version", "pointdataownercode", "pointcode"])
+    )
+    if match_transport:
+        j = j.filter(F.col("transporttype") == F.col("line_tt"))
+    if exclude_train:
+        j = j.join(train_lines(line), ["dataownercode", "lineplanningnumber"], "left_anti")
+    j = seq(j, PAT, ["timinglinkorder", "distancesincestartoflink"], "shape_pt_sequence", ties=ties)
+    j = rd_to_wgs84(j, "locationx_ew", "locationy_ns")
+    return j.select(
+        key(*PAT).alias("shape_id"),
+        F.col("lat").cast("decimal(8,5)").alias("shape_pt_lat"),
+        F.col("lon").cast("decimal(7,5)").alias("shape_pt_lon"),
+        F.col("shape_pt_sequence").cast("int").alias("shape_pt_sequence"),
+    ).distinct()

@@ -209,6 +209,40 @@ SELECT d.version, d.dataownercode, d.destcode, n.n_name AS destnamefull, n.n_nam
 FROM (SELECT DISTINCT version, dataownercode, destcode FROM kv_jopatili) d
 JOIN {nation} n ON n.n_nationkey = CAST(substr(d.destcode, 2) AS INT)""")
 
+# POOL: points along each link (begin stop, one intermediate point, end stop), from the first journey that drives it
+_view("kv_pool_link", ("kv_passing_s",), """
+SELECT version, dataownercode, userstopcodebegin, userstopcodeend, CAST('2024-01-01' AS DATE) AS linkvalidfrom,
+       transporttype, d, pk
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY version, dataownercode, userstopcodebegin, userstopcodeend ORDER BY k) AS rn
+  FROM (SELECT CAST(a.k % 3 + 1 AS INT) AS version,
+               CASE WHEN a.k % 2 = 0 THEN 'GVB' ELSE 'HTM' END AS dataownercode,
+               'S' || CAST(a.l_suppkey AS STRING) AS userstopcodebegin,
+               'S' || CAST(b.l_suppkey AS STRING) AS userstopcodeend,
+               CASE WHEN a.l_partkey % 2 = 0 THEN 'BUS' ELSE 'TRAM' END AS transporttype,
+               CAST(100 + (a.l_partkey * 37 + b.l_partkey) % 1500 AS INT) AS d, a.l_partkey AS pk, a.k
+        FROM kv_passing_s a JOIN kv_passing_s b ON b.k = a.k AND b.stoporder = a.stoporder + 1) x) f
+WHERE rn = 1""")
+
+_view("kv_pool", ("kv_pool_link",), """
+SELECT version, dataownercode, userstopcodebegin, userstopcodeend, linkvalidfrom, dataownercode AS pointdataownercode,
+       userstopcodebegin AS pointcode, 0 AS distancesincestartoflink, transporttype FROM kv_pool_link
+UNION ALL
+SELECT version, dataownercode, userstopcodebegin, userstopcodeend, linkvalidfrom, dataownercode,
+       'P' || CAST(pk AS STRING), CAST(floor(d / 2) AS INT), transporttype FROM kv_pool_link
+UNION ALL
+SELECT version, dataownercode, userstopcodebegin, userstopcodeend, linkvalidfrom, dataownercode,
+       userstopcodeend, d, transporttype FROM kv_pool_link""")
+
+# every point a shape may pass: stop points plus the intermediate points (from part)
+_view("kv_point_all", ("kv_point", "kv_pool_link"), """
+SELECT version, dataownercode, pointcode, locationx_ew, locationy_ns FROM kv_point
+UNION ALL
+SELECT DISTINCT l.version, l.dataownercode, 'P' || CAST(p.p_partkey AS STRING) AS pointcode,
+       CAST(30000 + (p.p_partkey * 3571) % 220000 AS BIGINT) AS locationx_ew,
+       CAST(320000 + (p.p_partkey * 7717) % 280000 AS BIGINT) AS locationy_ns
+FROM kv_pool_link l JOIN {part} p ON p.p_partkey = l.pk""")
+
 # ---------------------------------------------------------------- drive-time world (calendar)
 _view("kv_pujo", (), f"""
 SELECT CAST(o_orderkey % 3 + 1 AS INT) AS version,
