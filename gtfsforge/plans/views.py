@@ -291,6 +291,43 @@ SELECT version, dataownercode, organizationalunitcode, validdate, daytypeason, s
   FROM {orders} WHERE o_orderstatus = 'F' AND o_totalprice > 250000) x
 WHERE rn = 1""")
 
+# ---------------------------------------------------------------- PAS (metro/tram) world
+_view("pas_stops", (), """
+SELECT 'HA' || CAST(s_suppkey AS STRING) AS halteid,
+       CASE WHEN s_suppkey % 13 = 0 THEN 'Remise ' || s_name WHEN s_suppkey % 17 = 0 THEN s_name || ' Garage'
+            ELSE s_name END AS naam,
+       CAST(CASE WHEN s_suppkey % 19 = 0 THEN 99999 ELSE 60000 + (s_suppkey * 613) % 40000 END AS BIGINT) AS x,
+       CAST(430000 + (s_suppkey * 887) % 30000 AS BIGINT) AS y
+FROM {supplier}""")
+
+_view("pas_pujo", (), """
+SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'M' WHEN o_orderpriority = '2-HIGH' THEN 'T'
+            WHEN o_orderpriority = '3-MEDIUM' THEN 'B' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'H' ELSE 'X' END
+           AS modaliteit,
+       'RET' AS vervoerdercode,
+       lpad(CAST(o_orderkey % 60 AS STRING), 3, '0') AS lijnsysteemnr,
+       CAST(o_orderkey % 2 + 1 AS INT) AS richting,
+       CAST(o_orderkey AS STRING) AS ritnummer,
+       lpad(CAST(o_custkey % 150 AS STRING), 5, '0') AS voetnoot
+FROM {orders}""")
+
+_view("pas_pujopass", ("kv_passing_s",), f"""
+SELECT 'RET' AS vervoerdercode, lpad(CAST(k % 60 AS STRING), 3, '0') AS lijnsysteemnr, CAST(k % 2 + 1 AS INT) AS richting,
+       CAST(k AS STRING) AS ritnummer, lpad(CAST(c.o_custkey % 150 AS STRING), 5, '0') AS voetnoot,
+       stoporder AS stopsequentie, 'HA' || CAST(l_suppkey AS STRING) AS halteid,
+       CASE WHEN stoporder = 1 THEN NULL ELSE {_hms('dep_s - stoporder * 5')} END AS aankomsttijd,
+       CASE WHEN stoporder = nstops THEN NULL ELSE {_hms('dep_s')} END AS vertrektijd
+FROM kv_passing_s JOIN {{orders}} c ON c.o_orderkey = k""")
+
+_view("pas_voetnoot", (), """
+SELECT DISTINCT lpad(CAST(user_id % 150 AS STRING), 5, '0') AS voetnoot, CAST(ts AS DATE) AS datum FROM {events}""")
+
+# public line numbers for part of the line system numbers (the lookup CSV of a delivery)
+_view("pas_linepublicnumber", (), """
+SELECT DISTINCT lpad(CAST(o_orderkey % 60 AS STRING), 3, '0') AS lijnsysteemnr,
+       CAST(o_orderkey % 60 AS STRING) || CASE WHEN o_orderkey % 60 > 40 THEN 'N' ELSE '' END AS linepublicnumber
+FROM {orders} WHERE o_orderkey % 60 % 3 <> 0""")
+
 # ---------------------------------------------------------------- footnotes (IFF/PAS validity bits)
 # one footnote per user: a 30-character day string from 2024-01-01, '1' where the user was active
 _view("kv_footnote_days", (), """
@@ -392,7 +429,7 @@ class World:
         return self._cache[name]
 
     def __getattr__(self, name):
-        if name.startswith("kv_"):
+        if name in VIEWS:
             return self.view(name)
         raise AttributeError(name)
 
