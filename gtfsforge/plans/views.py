@@ -62,13 +62,13 @@ def _view(name: str, deps: tuple[str, ...], body: str) -> None:
 
 # ---------------------------------------------------------------- passings
 _view("kv_passing_raw", (), """
-SELECT l_orderkey AS k, l_suppkey, l_partkey, l_linenumber,
+SELECT l_orderkey AS k, l_suppkey, l_partkey, l_linenumber, l_returnflag, l_linestatus,
        CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
             l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS INT) AS stoporder
 FROM {lineitem}""")
 
 _view("kv_passing_t", ("kv_passing_raw",), f"""
-SELECT k, l_suppkey, l_partkey, l_linenumber, stoporder,
+SELECT k, l_suppkey, l_partkey, l_linenumber, l_returnflag, l_linestatus, stoporder,
        CASE WHEN d0 % 9 = 0 THEN 0 ELSE 60 + d0 % 240 END AS drive
 FROM (SELECT *, (k % 40) * 7 + stoporder * 13 + ({_idiv('k', 40)} % 3) * 30 AS d0 FROM kv_passing_raw) x""")
 
@@ -328,6 +328,94 @@ SELECT DISTINCT lpad(CAST(o_orderkey % 60 AS STRING), 3, '0') AS lijnsysteemnr,
        CAST(o_orderkey % 60 AS STRING) || CASE WHEN o_orderkey % 60 > 40 THEN 'N' ELSE '' END AS linepublicnumber
 FROM {orders} WHERE o_orderkey % 60 % 3 <> 0""")
 
+# ---------------------------------------------------------------- IFF (rail) world
+_view("iff_nstops", ("kv_passing_raw",), "SELECT k, CAST(count(*) AS INT) AS nstops FROM kv_passing_raw GROUP BY k")
+
+_view("iff_service", ("iff_nstops",), """
+SELECT CAST(o_orderkey AS INT) AS serviceid,
+       CASE WHEN o_orderkey % 4 = 0 THEN 100 WHEN o_orderkey % 4 = 1 THEN 200 WHEN o_orderkey % 4 = 2 THEN 960
+            ELSE 22 END AS companynumber,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(NULLIF(o_orderkey % 5000, 0) AS INT) END AS servicenumber,
+       CASE WHEN o_orderkey % 7 = 0 AND o_orderkey % 2 = 0 THEN CAST(o_custkey AS STRING)
+            WHEN o_orderkey % 11 = 0 THEN CAST(o_custkey AS STRING) ELSE NULL END AS variant,
+       1 AS firststop, n.nstops AS laststop,
+       CASE WHEN o_orderkey % 6 = 0 THEN 'Sprinter ' || CAST(o_custkey % 10 AS STRING) ELSE NULL END AS servicename
+FROM {orders} JOIN iff_nstops n ON n.k = o_orderkey""")
+
+_view("iff_transport", ("iff_nstops",), """
+SELECT serviceid, transmode, firststop, laststop FROM (
+  SELECT CAST(o_orderkey AS INT) AS serviceid,
+         CASE WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 0 THEN 'IC' WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 1 THEN 'SPR'
+              WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 2 THEN 'ICE' WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 3 THEN 'INT'
+              WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 4 THEN 'ST' WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 5 THEN 'B'
+              WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 6 THEN 'NSS' WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 7 THEN 'NST'
+              WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 8 THEN 'NSM' ELSE 'BNS' END AS transmode,
+         1 AS firststop,
+         CASE WHEN o_orderkey % 10 = 0 AND n.nstops >= 4 THEN CAST(floor(n.nstops / 2) AS INT) ELSE n.nstops END AS laststop
+  FROM {orders} JOIN iff_nstops n ON n.k = o_orderkey
+  UNION ALL
+  SELECT CAST(o_orderkey AS INT), 'B', CAST(floor(n.nstops / 2) AS INT), n.nstops
+  FROM {orders} JOIN iff_nstops n ON n.k = o_orderkey WHERE o_orderkey % 10 = 0 AND n.nstops >= 4) x""")
+
+_view("iff_validity", ("iff_nstops",), """
+SELECT CAST(o_orderkey AS INT) AS serviceid, CAST(o_custkey % 150 AS INT) AS footnote,
+       CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE NULL END AS firststop,
+       CASE WHEN o_orderkey % 3 = 0 THEN n.nstops ELSE 999 END AS laststop
+FROM {orders} JOIN iff_nstops n ON n.k = o_orderkey""")
+
+_view("iff_attribute", ("kv_passing_raw", "iff_nstops"), """
+SELECT CAST(k AS INT) AS serviceid, CASE WHEN l_returnflag = 'R' THEN 'NIIN' ELSE 'NUIT' END AS code,
+       stoporder AS firststop, stoporder AS laststop
+FROM kv_passing_raw WHERE (l_returnflag = 'R' AND l_linenumber = 3) OR (l_returnflag = 'A' AND l_linenumber = 2)
+UNION ALL
+SELECT CAST(k AS INT), 'IRES', stoporder, stoporder + 1 FROM kv_passing_raw WHERE l_linestatus = 'F' AND l_linenumber = 4
+UNION ALL
+SELECT CAST(k AS INT), 'GEFI', 1, nstops FROM iff_nstops WHERE k % 9 = 0""")
+
+_view("iff_stop", ("kv_passing_s",), """
+SELECT CAST(k AS INT) AS serviceid, stoporder AS idx, 's' || CAST(l_suppkey AS STRING) AS station,
+       CASE WHEN stoporder = 1 THEN NULL ELSE
+         lpad(CAST(CAST(floor((dep_s - stoporder * 5) / 3600) AS BIGINT) AS STRING), 2, '0') || ':' ||
+         lpad(CAST(CAST(floor((dep_s - stoporder * 5) / 60) AS BIGINT) % 60 AS STRING), 2, '0') || ':00' END AS arrivaltime,
+       CASE WHEN stoporder = nstops THEN NULL ELSE
+         lpad(CAST(CAST(floor(dep_s / 3600) AS BIGINT) AS STRING), 2, '0') || ':' ||
+         lpad(CAST(CAST(floor(dep_s / 60) AS BIGINT) % 60 AS STRING), 2, '0') || ':00' END AS departuretime
+FROM kv_passing_s""")
+
+_view("iff_platform", ("kv_passing_raw",), """
+SELECT CAST(k AS INT) AS serviceid, stoporder AS idx, 's' || CAST(l_suppkey AS STRING) AS station,
+       CAST(l_partkey % 4 + 1 AS STRING) || CASE WHEN l_partkey % 8 < 4 THEN 'a' ELSE 'b' END AS arrival,
+       CASE WHEN l_partkey % 5 = 0 THEN CAST((l_partkey + 1) % 4 + 1 AS STRING) || 'a'
+            ELSE CAST(l_partkey % 4 + 1 AS STRING) || CASE WHEN l_partkey % 8 < 4 THEN 'a' ELSE 'b' END END AS departure,
+       1 AS footnote
+FROM kv_passing_raw WHERE l_partkey % 3 <> 0""")
+
+_view("iff_station", (), """
+SELECT 's' || CAST(s_suppkey AS STRING) AS shortname, CAST(NULLIF(s_suppkey % 4, 0) AS INT) AS trainchanges,
+       CAST((s_suppkey % 5 + 1) * 60 AS INT) AS layovertime,
+       CASE WHEN s_nationkey = 23 THEN 'GB' ELSE 'NL' END AS country,
+       CASE WHEN s_nationkey = 23 THEN 1 ELSE NULL END AS timezone,
+       CASE WHEN s_suppkey % 23 = 0 THEN NULL ELSE CAST(20000 + (s_suppkey * 2500) % 250000 AS BIGINT) END AS x,
+       CASE WHEN s_suppkey % 23 = 0 THEN NULL ELSE CAST(310000 + (s_suppkey * 7919) % 300000 AS BIGINT) END AS y,
+       s_name AS name
+FROM {supplier}""")
+
+# connections offered between consecutive services calling at a station (blocks of 1000 journeys)
+_view("iff_changes", ("kv_passing_raw",), """
+SELECT station, fromservice, toservice, possiblechange FROM (
+  SELECT 's' || CAST(l_suppkey AS STRING) AS station, CAST(k AS INT) AS fromservice,
+         CAST(lead(k) OVER (PARTITION BY l_suppkey, CAST(floor(k / 1000) AS BIGINT) ORDER BY k, stoporder) AS INT) AS toservice,
+         CAST(k % 3 AS INT) AS possiblechange
+  FROM kv_passing_raw) x
+WHERE toservice IS NOT NULL AND toservice <> fromservice""")
+
+_view("iff_footnote", (), """
+SELECT DISTINCT CAST(user_id % 150 AS INT) AS footnote, CAST(ts AS DATE) AS servicedate FROM {events}""")
+
+_view("iff_delivery", ("iff_footnote",), """
+SELECT 100 AS company, min(servicedate) AS firstday, max(servicedate) AS lastday, 1 AS versionnumber,
+       'derived' AS description FROM iff_footnote""")
+
 # ---------------------------------------------------------------- footnotes (IFF/PAS validity bits)
 # one footnote per user: a 30-character day string from 2024-01-01, '1' where the user was active
 _view("kv_footnote_days", (), """
