@@ -345,3 +345,63 @@ def service_changes(t: dict[str, DataFrame]) -> DataFrame:
 def transfers_iff(t: dict[str, DataFrame]) -> DataFrame:
     """transfers = platform pairs UNION service-to-service changes (O-B18)."""
     return union_distinct(platform_pairs(t["platform"], t["station"]), service_changes(t))
+
+
+# ------------------------------------------------------------------ O-B7 (older, per mode) and O-B19
+def routes_iff_simple(t: dict[str, DataFrame]) -> DataFrame:
+    """One route per (mode, company) named by the mode description (older variant of O-B7)."""
+    spark = t["service"].sparkSession
+    j = (t["transport"].select("serviceid", "transmode")
+         .join(trnsmode_table(spark).withColumnRenamed("code", "transmode"), "transmode")
+         .join(t["service"].select("serviceid", "companynumber"), "serviceid"))
+    rtype = (F.when(F.col("transmode").isin("NSS", "NSB", "B", "BNS", "X", "U", "Y"), 3)
+             .when(F.col("transmode") == "NSM", 1).when(F.col("transmode") == "NST", 0).otherwise(2))
+    return j.select(F.concat(F.col("companynumber").cast("string"), F.lit("-"), "transmode").alias("route_id"),
+                    F.col("companynumber").alias("agency_id"), F.lit(None).cast("string").alias("route_short_name"),
+                    F.col("description").alias("route_long_name"), rtype.alias("route_type")).distinct()
+
+
+def transfers_iff_min(t: dict[str, DataFrame]) -> DataFrame:
+    """Older transfers (O-B19): platform pairs (layover time) and possible changes (code 1, 2;
+    departure - arrival - 30 s), one row per stop pair with the least time (NULL only if no time)."""
+    from gtfsforge.functions.timeofday import to_seconds
+
+    plat = t["platform"]
+    deps = plat.select("station", F.col("departure").alias("d")).filter(F.col("d").isNotNull()).distinct()
+    p = plat.select("station", "departure", "arrival").distinct()
+    p2 = p.select("station", F.col("departure").alias("d2"), F.col("arrival").alias("a2x")).filter(F.col("d2").isNotNull())
+    p1 = p.select("station", F.col("arrival").alias("a1"), F.col("departure").alias("d1")).join(
+        deps.withColumnRenamed("d", "a1"), ["station", "a1"], "left_semi")
+    st = t["station"].select(F.col("shortname").alias("station"), "layovertime")
+    pairs = (p1.join(p2, "station").filter(F.col("a1") != F.col("d2")).join(st, "station")
+             .select(F.concat("station", F.lit("|"), "a1").alias("from_stop_id"),
+                     F.concat("station", F.lit("|"), "d2").alias("to_stop_id"),
+                     F.col("layovertime").alias("min_transfer_time")))
+    s = t["service"]
+    niin = t["attribute"].filter(F.col("code") == "NIIN").select("serviceid").distinct()
+    c = (t["changes"].filter(F.col("possiblechange").isin(1, 2))
+         .join(niin.withColumnRenamed("serviceid", "fromservice"), "fromservice", "left_anti")
+         .join(niin.withColumnRenamed("serviceid", "toservice"), "toservice", "left_anti")
+         .filter(F.col("fromservice") != F.col("toservice")))
+
+    def side(role, svc_col):
+        pl = plat.select(F.col("serviceid").alias(svc_col), F.col("idx").alias(f"{role}_idx"), "station",
+                         F.col("arrival").alias(f"{role}_arrival"), F.col("departure").alias(f"{role}_departure"))
+        sp = t["stop"].select(F.col("serviceid").alias(svc_col), F.col("idx").alias(f"{role}_idx"), "station",
+                              F.col("arrivaltime").alias(f"{role}_arr"), F.col("departuretime").alias(f"{role}_dep"))
+        sv = s.select(F.col("serviceid").alias(svc_col), F.col("firststop").alias(f"{role}_f"), F.col("laststop").alias(f"{role}_l"))
+        val = t["validity"].select(F.col("serviceid").alias(svc_col)).distinct()
+        return pl.join(sp, [svc_col, f"{role}_idx", "station"]).join(sv, svc_col).filter(
+            F.col(f"{role}_idx").between(F.col(f"{role}_f"), F.col(f"{role}_l"))).join(val, svc_col, "left_semi")
+
+    names = t["station"].select(F.col("shortname").alias("station"))
+    ch = (c.join(side("a", "fromservice"), ["fromservice", "station"])
+          .join(side("d", "toservice"), ["toservice", "station"])
+          .join(names, "station", "left_semi")
+          .filter(F.col("a_arrival") != F.col("d_departure"))
+          .filter(F.col("d_dep") > F.col("a_dep"))
+          .select(F.concat("station", F.lit("|"), "a_departure").alias("from_stop_id"),
+                  F.concat("station", F.lit("|"), "d_departure").alias("to_stop_id"),
+                  (to_seconds("d_dep") - to_seconds("a_arr") - 30).alias("min_transfer_time")))
+    return pairs.unionByName(ch).groupBy("from_stop_id", "to_stop_id").agg(
+        F.lit(2).alias("transfer_type"), F.min("min_transfer_time").alias("min_transfer_time"))
