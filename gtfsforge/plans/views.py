@@ -126,14 +126,18 @@ SELECT version, dataownercode, organizationalunitcode, schedulecode, scheduletyp
 FROM kv_operday_delta
 GROUP BY version, dataownercode, organizationalunitcode, schedulecode, scheduletypecode""")
 
-# VERSION: one delivery per (version, owner)
+# VERSION: one delivery per (version, owner); the file name is the delivery key
 _view("kv_version", (), f"""
 SELECT CAST(o_orderkey % 3 + 1 AS INT) AS version,
        CASE WHEN o_orderkey % 2 = 0 THEN 'GVB' ELSE 'HTM' END AS dataownercode,
        min(CAST(o_orderdate AS DATE)) AS validfrom,
-       max(CAST(o_orderdate AS DATE)) AS validthru
+       max(CAST(o_orderdate AS DATE)) AS validthru,
+       'kv1_' || CASE WHEN o_orderkey % 2 = 0 THEN 'GVB' ELSE 'HTM' END || '_'
+           || CAST(CAST(o_orderkey % 3 + 1 AS INT) AS STRING) || CASE WHEN o_orderkey % 3 = 1 THEN '_buzz' ELSE '' END
+           AS filename
 FROM {{orders}}
-GROUP BY CAST(o_orderkey % 3 + 1 AS INT), CASE WHEN o_orderkey % 2 = 0 THEN 'GVB' ELSE 'HTM' END""")
+GROUP BY CAST(o_orderkey % 3 + 1 AS INT), CASE WHEN o_orderkey % 2 = 0 THEN 'GVB' ELSE 'HTM' END,
+         CASE WHEN o_orderkey % 3 = 1 THEN '_buzz' ELSE '' END""")
 
 # ---------------------------------------------------------------- stops
 _view("kv_usrstop", ("kv_pujopass",), """
