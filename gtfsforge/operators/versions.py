@@ -75,7 +75,7 @@ POLICIES = {
 
 def merge(base: DataFrame, delta: DataFrame, schedvers_d: DataFrame | None, policy: str) -> DataFrame:
     """Apply a delete policy, then append the staged rows (O-V6b)."""
-    kept = POLICIES[policy](base, delta, schedvers_d)
+    kept = POLICIES[policy](base, delta, schedvers_d).select(*base.columns)
     return union_all(kept, delta.select(*base.columns))
 
 
