@@ -48,9 +48,15 @@ def first_link(jopatili: DataFrame, cols) -> DataFrame:
 
 
 # ------------------------------------------------------------------ O-B13
-def stop_times_passing(t: dict[str, DataFrame]) -> DataFrame:
-    """stop_times from KV1 passing times (O-B13)."""
-    p, u, jt, dest = t["pujopass"], t["usrstop"], t["jopatili"], t["dest"]
+def pattern_info(jt: DataFrame, dest: DataFrame) -> DataFrame:
+    """Everything stop_times needs per journey pattern, in one pattern-keyed row:
+    the product formula of its first non-18 link and a map stop order -> headsign
+    for the stops whose destination differs from the trip's (O-B13).
+
+    Folding both lookups into one table keyed by the pattern means the large
+    passings side is joined (and, above the broadcast threshold, shuffled) once
+    on the pattern key instead of once per lookup.
+    """
     prodform = first_per(jt.filter(F.col("productformulatype") != 18), PAT, ["timinglinkorder"]).select(
         *PAT, "productformulatype"
     )
@@ -65,14 +71,20 @@ def stop_times_passing(t: dict[str, DataFrame]) -> DataFrame:
         .join(trip_dest, PAT)
         .filter(F.col("destcode") != F.col("trip_destcode"))
         .join(dest.select("version", "dataownercode", "destcode", "destnamefull"), ["version", "dataownercode", "destcode"])
-        .select(*PAT, "stoporder", F.col("destnamefull").alias("stop_headsign"))
+        .groupBy(*PAT)
+        .agg(F.map_from_entries(F.collect_list(F.struct(F.col("stoporder").cast("int"), "destnamefull"))).alias("headsigns"))
     )
+    return prodform.join(headsign, PAT, "full")
+
+
+def stop_times_passing(t: dict[str, DataFrame]) -> DataFrame:
+    """stop_times from KV1 passing times (O-B13)."""
+    p, u, jt, dest = t["pujopass"], t["usrstop"], t["jopatili"], t["dest"]
     stops = u.filter(F.col("getin") | F.col("getout")).select("version", "dataownercode", "userstopcode", "getin", "getout")
     on_demand = F.col("productformulatype").isin(*lookup.ON_DEMAND_FORMULAS)
     return (
         p.join(stops, ["version", "dataownercode", "userstopcode"])
-        .join(prodform, PAT, "left")
-        .join(headsign, PAT + ["stoporder"], "left")
+        .join(pattern_info(jt, dest), PAT, "left")
         # line keys are NOT NULL, so NOT IN == anti-join
         .join(train_lines(t["line"]), ["dataownercode", "lineplanningnumber"], "left_anti")
         .select(
@@ -80,7 +92,7 @@ def stop_times_passing(t: dict[str, DataFrame]) -> DataFrame:
             F.coalesce("targetarrivaltime", "targetdeparturetime").alias("arrival_time"),
             F.coalesce("targetdeparturetime", "targetarrivaltime").alias("departure_time"),
             key("dataownercode", "userstopcode").alias("stop_id"),
-            "stop_headsign",
+            F.col("headsigns")[F.col("stoporder").cast("int")].alias("stop_headsign"),
             F.col("stoporder").cast("int").alias("stop_sequence"),
             F.when(on_demand, 3).otherwise((~F.col("getin")).cast("int")).alias("pickup_type"),
             F.when(on_demand, 3).otherwise((~F.col("getout")).cast("int")).alias("drop_off_type"),
@@ -99,12 +111,13 @@ def trips_passing(t: dict[str, DataFrame]) -> DataFrame:
         PAT,
         ["timinglinkorder"],
     ).select(*PAT, F.col("destnamefull").alias("trip_headsign"))
+    # both pattern-level lookups joined first: the journeys are joined once on the pattern key
+    pat = j.select(*PAT, "direction").join(first, PAT)
     return (
         p.filter(F.col("stoporder") == 1)
         .withColumn("wheelchairaccessible", F.coalesce("wheelchairaccessible", F.lit("UNKNOWN")))
         .join(lookup.wheelchair(spark), "wheelchairaccessible")
-        .join(j.select(*PAT, "direction"), PAT)
-        .join(first, PAT)
+        .join(pat, PAT)
         .join(train_lines(t["line"]), ["dataownercode", "lineplanningnumber"], "left_anti")
         .join(lookup.bikes_allowed(spark), ["dataownercode", "lineplanningnumber"], "left")
         .select(

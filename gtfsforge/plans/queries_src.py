@@ -52,8 +52,8 @@ def iff_lines(w: World):
 
 
 def _iff(w: World):
-    return w.memo("iff_parsed", lambda: tuple(tagged.iff_timetable(iff_lines(w))[k] for k in
-                                                 ("service", "validity", "stop", "platform")))
+    t = tagged.iff_timetable(iff_lines(w))
+    return tuple(t[k] for k in ("service", "validity", "stop", "platform"))
 
 
 SQL_STOPS = """
