@@ -103,3 +103,50 @@ def q_dq_platform(spark, sf):
     from gtfsforge.operators.quality import platform_mismatch
 
     return platform_mismatch(_iff(World(spark, sf))[3])
+
+
+# ---------------------------------------------------------------- grouped IFF files (changes, footnotes) round trip
+def changes_lines(w: World):
+    """IFF ``changes`` file text from the connections: one ``#station`` block per station and block of journeys."""
+    c = w.iff_changes
+    # block position: station number * 10^9 + a running number within the station
+    sid = F.substring("station", 2, 20).cast("long")
+    w_in = Window.partitionBy("station").orderBy("fromservice", "toservice")
+    det = c.select(F.lit("changes").alias("file"),
+                   (sid * 1_000_000_000 + F.row_number().over(w_in)).alias("pos"),
+                   F.format_string("%05d", F.col("fromservice")).alias("tag_body"),
+                   F.concat(F.lit(","), F.format_string("%05d", F.col("toservice")), F.lit(","),
+                            F.col("possiblechange").cast("string")).alias("rest"))
+    det = det.select("file", "pos", F.substring("tag_body", 1, 1).alias("tag"),
+                     F.concat(F.expr("substring(tag_body, 2)"), "rest").alias("body"))
+    head = c.select("station").distinct().select(F.lit("changes").alias("file"),
+                                                  (F.substring("station", 2, 20).cast("long") * 1_000_000_000).alias("pos"),
+                                                  F.lit("#").alias("tag"), F.col("station").alias("body"))
+    return head.unionByName(det)
+
+
+@register("src_iff_changes_s13", oracle(["iff_changes"], "SELECT station, fromservice, toservice, possiblechange FROM iff_changes"))
+def q_iff_changes(spark, sf):
+    return tagged.iff_groups(changes_lines(World(spark, sf)), "changes")
+
+
+def footnote_lines(w: World):
+    """IFF ``footnote`` file text: ``#id`` then the day bits from the delivery's first day."""
+    from gtfsforge.operators.calendar import footnote_bits
+
+    days = w.iff_footnote
+    first = w.iff_delivery.select(F.col("firstday").alias("first"), (F.datediff("lastday", "firstday") + 1).alias("n"))
+    d = days.withColumn("first", first.select("first").scalar()).withColumn("n", first.select("n").scalar())
+    bits = footnote_bits(d, "footnote", "servicedate", F.col("first"), F.col("n"))
+    head = bits.select(F.lit("footnote").alias("file"), (F.col("footnote").cast("long") * 2).alias("pos"),
+                       F.lit("#").alias("tag"), F.format_string("%05d", "footnote").alias("body"))
+    det = bits.select(F.lit("footnote").alias("file"), (F.col("footnote").cast("long") * 2 + 1).alias("pos"),
+                      F.substring("bits", 1, 1).alias("tag"), F.expr("substring(bits, 2)").alias("body"))
+    return head.unionByName(det)
+
+
+@register("src_iff_footnotes_s15", oracle(["iff_footnote"], "SELECT footnote, servicedate FROM iff_footnote"))
+def q_iff_footnotes(spark, sf):
+    w = World(spark, sf)
+    first = w.iff_delivery.select("firstday").scalar()
+    return tagged.iff_groups(footnote_lines(w), "footnote", firstday=first)

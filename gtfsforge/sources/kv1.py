@@ -142,3 +142,28 @@ def load_order(index: DataFrame, forced_baseline=()) -> DataFrame:
     """Baselines first, then by index, then by publication date (O-S10)."""
     base = (F.lower(F.col("isbaseline")) == "true") | F.col("key").isin(*forced_baseline)
     return index.withColumn("__b", base).orderBy(F.desc("__b"), "index", "publicatiedatum").drop("__b")
+
+
+def conform(df: DataFrame, schema) -> DataFrame:
+    """Typed load (O-S19): select the schema's columns in order, cast each, add absent ones as NULL.
+
+    Text fields are trimmed and ``''`` becomes NULL before the cast, as the
+    bulk loader's NULL marker does; booleans accept t/true/1/yes.
+    """
+    from pyspark.sql.types import BooleanType, StringType
+
+    have = set(df.columns)
+    cols = []
+    for f in schema.fields:
+        if f.name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f.name)
+        if dict(df.dtypes)[f.name] == "string":
+            c = F.nullif(F.trim(c), F.lit(""))
+        if isinstance(f.dataType, BooleanType) and dict(df.dtypes)[f.name] == "string":
+            c = F.lower(c).isin("t", "true", "1", "yes", "y")
+        elif not isinstance(f.dataType, StringType):
+            c = c.cast(f.dataType)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)

@@ -183,3 +183,47 @@ def pas_stops(lines: DataFrame) -> DataFrame:
              "y", "naam", "straat", "volgendezijstraat", "volgendezijstraat2", "zone1", "zone2", "zone3", "zone4"]
     parts = F.split(F.concat("tag", "body"), ",")
     return lines.select(*[F.nullif(F.trim(F.get(parts, i)), F.lit("")).alias(n) for i, n in enumerate(names)])
+
+
+def _headers(b: DataFrame, cols) -> DataFrame:
+    """Header row fields of every block, to be joined onto the block's detail rows."""
+    return b.filter(F.col("tag") == "#").select("file", "block", *cols)
+
+
+def iff_groups(lines: DataFrame, kind: str, firstday=None) -> DataFrame:
+    """IFF files made of ``#`` header blocks with detail rows (O-S13, O-S15).
+
+    ``timezone``: ``#tznumber`` then ``-``/``+`` difference,firstday,lastday;
+    ``trnsaqst``: ``#code,type,question`` then ``-attribute`` rows (one output row per attribute);
+    ``changes``: ``#station`` then from,to,change rows;
+    ``footnote``: ``#id`` then one line of day bits from ``firstday`` (expanded to dates).
+    Header fields reach the detail rows by an equi-join on (file, block), so a
+    large block (a hub station's changes) is just a skewed join key for AQE.
+    """
+    b = assign_blocks(lines).filter(F.col("block").isNotNull())
+    det = b.filter(F.col("tag") != "#")
+    f = _fields(3)
+    if kind == "timezone":
+        h = _headers(b, [F.trim("body").cast("int").alias("tznumber")])
+        diff = F.when(F.col("tag") == "-", -f[0].cast("int")).otherwise(f[0].cast("int"))
+        d = det.select("file", "block", diff.alias("difference"), F.to_date(f[1], "ddMMyyyy").alias("firstday"),
+                       F.to_date(f[2], "ddMMyyyy").alias("lastday"))
+        return h.join(d, ["file", "block"]).drop("file", "block")
+    if kind == "trnsaqst":
+        h = _headers(b, [f[0].alias("code"), (f[1] == "1").alias("inclusive"), f[2].alias("question")])
+        d = det.filter(F.col("tag") == "-").select("file", "block", F.trim("body").alias("transattr"))
+        return h.join(d, ["file", "block"]).drop("file", "block")
+    if kind == "changes":
+        h = _headers(b, [F.trim("body").alias("station")])
+        parts = F.split(F.concat("tag", "body"), ",")
+        d = det.select("file", "block", F.get(parts, 0).cast("int").alias("fromservice"),
+                       F.get(parts, 1).cast("int").alias("toservice"), F.trim(F.get(parts, 2)).cast("int").alias("possiblechange"))
+        return h.join(d, ["file", "block"]).drop("file", "block")
+    if kind == "footnote":
+        from gtfsforge.operators.calendar import expand_footnotes
+
+        h = _headers(b, [F.trim("body").cast("int").alias("footnote")])
+        d = det.select("file", "block", F.concat("tag", "body").alias("bits"))
+        first = F.lit(firstday).cast("date") if isinstance(firstday, str) else firstday
+        return expand_footnotes(h.join(d, ["file", "block"]).withColumn("firstday", first), "footnote", "bits", "firstday")
+    raise ValueError(kind)

@@ -89,3 +89,38 @@ def test_write_gtfs_and_empty(spark, tmp_path):
     st, dup = sinks.assemble_stop_times(spark.createDataFrame([("t", 1)], "trip_id string, stop_sequence int"),
                                         spark.createDataFrame([("t", 1)], "trip_id string, stop_sequence int"))
     assert st.count() == 2 and dup.first().n == 2
+
+
+def test_iff_grouped_files(spark, tmp_path):
+    tz = tmp_path / "timezone.dat"
+    tz.write_bytes("@100,01012024,07012024,0001,demo\r\n#01\r\n-01,01012024,31032024\r\n+02,01042024,31102024\r\n"
+                   .encode("cp1252"))
+    got = sorted((r.tznumber, r.difference, str(r.firstday)) for r in
+                 tagged.iff_groups(tagged.read_tagged(spark, str(tz)), "timezone").collect())
+    assert got == [(1, -1, "2024-01-01"), (1, 2, "2024-04-01")]
+    aq = tmp_path / "trnsaqst.dat"
+    aq.write_bytes("#BAR ,1,Restaurant on board?\r\n-BAR\r\n-RESD\r\n#FIET,0,Bikes?\r\n-FIET\r\n".encode("cp1252"))
+    rows = sorted((r.code, r.inclusive, r.question, r.transattr) for r in
+                  tagged.iff_groups(tagged.read_tagged(spark, str(aq)), "trnsaqst").collect())
+    assert rows == [("BAR", True, "Restaurant on board?", "BAR"), ("BAR", True, "Restaurant on board?", "RESD"),
+                    ("FIET", False, "Bikes?", "FIET")]
+    fn = tmp_path / "footnote.dat"
+    fn.write_bytes("#00001\r\n1001\r\n#00002\r\n0110\r\n".encode("cp1252"))
+    got = sorted((r.footnote, r.servicedate.day) for r in
+                 tagged.iff_groups(tagged.read_tagged(spark, str(fn)), "footnote", firstday="2024-01-01").collect())
+    assert got == [(1, 1), (1, 4), (2, 2), (2, 3)]
+    stations = tmp_path / "stations.dat"
+    stations.write_bytes("@100,01012024,07012024,0001,demo\r\n0,asd    ,03,00,NL ,0,0,12100,48700,Amsterdam Centraal\r\n"
+                         .encode("cp1252"))
+    st = tagged.iff_list(tagged.read_tagged(spark, str(stations)), "stations").first()
+    assert (st.trainchanges, st.shortname, st.layovertime, st.timezone, st.x, st.name) == (
+        None, "asd", 180, None, 121000, "Amsterdam Centraal")
+
+
+def test_conform(spark):
+    raw = spark.createDataFrame([(" 001 ", "t", "", "12")], "code string, flag string, name string, n string")
+    schema = StructType([StructField("code", StringType()), StructField("flag", __import__("pyspark.sql.types",
+                         fromlist=["BooleanType"]).BooleanType()), StructField("name", StringType()),
+                         StructField("n", IntegerType()), StructField("missing", DateType())])
+    r = kv1.conform(raw, schema).first()
+    assert (r.code, r.flag, r.name, r.n, r.missing) == ("001", True, None, 12, None)
