@@ -282,17 +282,18 @@ SELECT version, dataownercode, organizationalunitcode, periodgroupcode,
 FROM kv_pujo
 GROUP BY version, dataownercode, organizationalunitcode, periodgroupcode""")
 
+# EXCOPDAY: one exception day per month (the busiest order day), run as the weekday of its first digit
 _view("kv_excopday", (), """
-SELECT version, dataownercode, organizationalunitcode, validdate, daytypeason, specificdaycode FROM (
-  SELECT CAST(o_orderkey % 3 + 1 AS INT) AS version,
-         CASE WHEN o_orderkey % 2 = 0 THEN 'GVB' ELSE 'HTM' END AS dataownercode,
-         'U' || CAST(CAST(floor(o_orderkey / 2) AS BIGINT) % 2 AS STRING) AS organizationalunitcode,
-         CAST(o_orderdate AS DATE) AS validdate,
-         CAST(((o_custkey % 7) + 1) * 1000000 + o_custkey % 100 AS INT) AS daytypeason,
-         'SD' AS specificdaycode,
-         row_number() OVER (PARTITION BY o_orderkey % 3, o_orderkey % 2, CAST(floor(o_orderkey / 2) AS BIGINT) % 2,
-                            CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS rn
-  FROM {orders} WHERE o_orderstatus = 'F' AND o_totalprice > 250000) x
+SELECT CAST(month(validdate) % 3 + 1 AS INT) AS version,
+       CASE WHEN month(validdate) % 2 = 0 THEN 'GVB' ELSE 'HTM' END AS dataownercode,
+       'U' || CAST(year(validdate) % 2 AS STRING) AS organizationalunitcode,
+       validdate,
+       CAST(((sc % 7) + 1) * 1000000 + sc % 100 AS INT) AS daytypeason,
+       'SD' AS specificdaycode
+FROM (SELECT d AS validdate, sc,
+             row_number() OVER (PARTITION BY year(d), month(d) ORDER BY n DESC, d) AS rn
+      FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n, sum(o_custkey) AS sc
+            FROM {orders} GROUP BY CAST(o_orderdate AS DATE)) per_day) x
 WHERE rn = 1""")
 
 # ---------------------------------------------------------------- PAS (metro/tram) world
