@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import queries_join
+from . import queries_join, queries_language, queries_lines, queries_mixing, queries_tokens
 
-MODULES = (queries_join,)
+MODULES = (queries_join, queries_language, queries_lines, queries_mixing, queries_tokens)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
