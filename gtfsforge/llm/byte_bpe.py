@@ -128,7 +128,7 @@ def _encode(model, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model.value, pattern)
         for b in batches:
-            texts = b.column("text").to_pylist()
+            texts = b.column(b.num_columns - 1).to_pylist()
             for at in range(0, max(1, len(texts)), 512):
                 ids = [c.encode(t) if t else [] for t in texts[at : at + 512]]
                 out = pa.array(ids, pa.list_(pa.int32()))
@@ -154,7 +154,7 @@ def _codec_map(batches: Iterator[pa.RecordBatch], model, pattern: str) -> Iterat
     c = codec(model.value, pattern)
     for b in batches:
         keep = b.schema.names[:-1]
-        texts = b.column("text")
+        texts = b.column(b.num_columns - 1)
         for at in range(0, max(1, b.num_rows), 512):
             ids, decoded = [], []
             for t in texts.slice(at, 512).to_pylist():
@@ -176,7 +176,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, key_cols: tuple[str,
     model = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(path)))
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "ids array<int>", "decoded binary"])
-    rows = docs.select(*key_cols, F.col(text_col).alias("text"))
+    rows = docs.select(*key_cols, F.col(text_col).alias("__text"))
     return rows.mapInArrow(lambda batches: _codec_map(batches, model, pattern), schema)
 
 
@@ -185,7 +185,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key_cols: tuple[str, ...] =
     model = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(path)))
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "ids array<int>"])
-    return docs.select(*key_cols, F.col(text_col).alias("text")).mapInArrow(_encode(model, pattern), schema)
+    return docs.select(*key_cols, F.col(text_col).alias("__text")).mapInArrow(_encode(model, pattern), schema)
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:

@@ -171,7 +171,7 @@ def _identified(model, penalty: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, prob = model.value
         for b in batches:
-            texts, letters = b.column("text"), b.column("lettered").to_pylist()
+            texts, letters = b.column(b.num_columns - 2), b.column(b.num_columns - 1).to_pylist()
             for at, part in _parts(texts, len(names)):
                 code, count = trigrams(part)
                 share = np.zeros((len(part), len(names)))
@@ -211,5 +211,5 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], key_cols: tup
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "lang_pred string, score double, proportions map<string,double>"])
-    rows = docs.select(*key_cols, _folded(text_col).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    rows = docs.select(*key_cols, _folded(text_col).alias("__folded"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__lettered"))
     return rows.mapInArrow(_identified(shared, penalty), schema)

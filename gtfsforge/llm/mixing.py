@@ -17,12 +17,16 @@ have size 0 and take no words.  Rows that repeat an id are rows of their own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, word_count
+from .common import durable, id_bound, word_count
 
 WEIGHTS = (5, 2, 1)
+#: At most so many sources are broadcast (about 100 bytes each); beyond, a shuffle join that splits large sources is used.
+BROADCAST_SOURCES = 50_000
+#: At most so many row keys with their copies are broadcast (12 bytes each).
+BROADCAST_ROWS = 500_000
 
 
 def ranked(df: DataFrame, *order) -> DataFrame:
@@ -72,11 +76,30 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tu
     )
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> Column:
+    """A key of a row's id, text and source."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col), F.col(source_col).cast("string"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself: every row of docs as often as it is taken.
+
+    Rows of equal id, text and source are one document, taken as often as all of them.
+    """
+    taken = mix(docs, id_col, text_col, source_col, **how).groupBy("rk").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
+    taken = durable(taken.select(F.col("rk").alias("__rk"), F.col("copies").alias("__copies")))
+    keyed = docs.withColumn("__rk", row_key(id_col, text_col, source_col))
+    one = Window.partitionBy("__rk").orderBy(*[c for c in docs.columns if c != text_col])
+    rows = keyed.join(F.broadcast(taken) if id_bound(taken, BROADCAST_ROWS) else taken, "__rk")
+    rows = rows.withColumn("__n", F.row_number().over(one)).where("__n = 1")
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken of every row of docs, and rk, a key of id and text."""
+    """doc_id, source, size, source_size, target, copies and taken of every row of docs, and rk (`row_key`)."""
     rows = durable(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rk"),
+        word_count(F.col(text_col)).alias("size"), row_key(id_col, text_col, source_col).alias("rk"),
     ))
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = durable(targets(sums, share, most))
@@ -88,7 +111,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     passed = lambda k: F.floor(F.col("offset") + k * each)
     k = F.col("rank") - F.col("start")
-    # few sources: adaptive execution broadcasts them; many: the join splits a source with very many rows
+    goal = F.broadcast(goal) if id_bound(goal, BROADCAST_SOURCES) else goal
     return (
         order.join(goal, order["source"].eqNullSafe(goal["name"]))
         .withColumn("copies", passed(k + 1) - passed(k))

@@ -126,7 +126,7 @@ def _counts(broadcast):
         get = a.__getitem__
         for b in batches:
             n, tokens, unknown = [], [], []
-            for t in pc.fill_null(b.column("text"), "").to_pylist():
+            for t in pc.fill_null(b.column(b.num_columns - 1), "").to_pylist():
                 lens = np.fromiter(map(get, words(t)), np.int64)
                 bad = int(np.count_nonzero(lens < 0))
                 n.append(len(lens))
@@ -144,4 +144,4 @@ def token_counts(docs: DataFrame, pieces: tuple[str, ...], mark: str = MARK, key
     automaton = docs.sparkSession.sparkContext.broadcast((tuple(pieces), mark))
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "n_words long, n_tokens long, n_unknown long"])
-    return docs.select(*key_cols, F.col(text_col).alias("text")).mapInArrow(_counts(automaton), schema)
+    return docs.select(*key_cols, F.col(text_col).alias("__text")).mapInArrow(_counts(automaton), schema)
