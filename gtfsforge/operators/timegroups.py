@@ -3,13 +3,12 @@ and expand them again (O-T2..O-T7, O-T10, O-T13).
 
 Journeys are the unit of work: every window is partitioned by a journey or a
 pattern key, so the work spreads over as many tasks as there are journeys.
-The only sequential fold (O-T5) runs per (pattern, time-demand group) with
-``applyInPandas``; a group holds the links of one pattern (tens of rows).
+The only sequential fold (O-T5) is an array aggregate per (pattern, time-demand
+group); a group holds the links of one pattern (tens of rows).
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,11 +56,13 @@ def group_codes(lk: DataFrame) -> DataFrame:
     link = F.struct("timinglinkorder", "userstopcodebegin", "userstopcodeend", "totaldrivetime", "drivetime",
                     "stopwaittime")
     per_journey = lk.groupBy(*JOURNEY, "journeypatterncode").agg(F.sort_array(F.collect_list(link)).alias("signature"))
+    # two 64-bit hashes stand for the list in every shuffle after this one
+    per_journey = per_journey.withColumns({"sig_a": F.xxhash64("signature"), "sig_b": F.xxhash64(F.lit(1), "signature")})
     first_seen = F.struct("organizationalunitcode", "schedulecode", "scheduletypecode", "journeynumber")
-    sigs = per_journey.groupBy(*TDG_PK, "signature").agg(F.min(first_seen).alias("first_journey"))
+    sigs = per_journey.groupBy(*TDG_PK, "sig_a", "sig_b").agg(F.min(first_seen).alias("first_journey"))
     w = Window.partitionBy(*TDG_PK).orderBy("first_journey")
     codes = sigs.withColumn("timedemandgroupcode", (F.row_number().over(w) - 1).cast("int")).drop("first_journey")
-    return per_journey.join(codes, TDG_PK + ["signature"])
+    return per_journey.join(codes, TDG_PK + ["sig_a", "sig_b"]).drop("sig_a", "sig_b")
 
 
 # ------------------------------------------------------------------ O-T4
@@ -112,104 +113,70 @@ def min_distance(link: DataFrame) -> DataFrame:
 SPREAD_KEYS = TDG_PK + ["timedemandgroupcode"]
 
 
-def spread_fold(drive: list[int], dist: list[int]) -> list[int]:
-    """Sequential fold over one group's links (ordered by timinglinkorder).
+# A fold over a group's links in order.  The state is what is finished and the open run: `done` holds final
+# drive times, `time` the run's total so far and `dist` the distances of its links (empty: no run is open).
+_STATE = "struct<done:array<bigint>,time:bigint,dist:array<bigint>>"
+_LEAST = 4  # seconds of a link whose share rounds to nothing
+_NONE = "cast(array() as array<bigint>)"
 
-    A run is: the row before a zero drive time, the zeros, and the first
-    non-zero row after them.  The run's total time is spread by distance
-    (integer share, at least 4 s), the remainder goes to the last row; the row
-    that closes a run may open the next one with its new value.  Every group's
-    trailing run is flushed; a run with total distance 0 is left as it is.
-    """
-    drive = list(drive)
-    n = len(drive)
-
-    def flush(buf):
-        total_d = sum(dist[x] for x in buf)
-        total_t = sum(drive[x] for x in buf)
-        if total_d == 0:
-            return
-        allocated = 0
-        for x in buf:
-            num = total_t * dist[x]
-            # exact quotient truncated toward zero (a run's total can turn negative)
-            a = num // total_d if num >= 0 else -((-num) // total_d)
-            if a == 0:
-                a = 4
-            allocated += a
-            drive[x] = a
-        drive[buf[-1]] += total_t - allocated
-
-    buf: list[int] = []
-    for i in range(n):
-        if buf and drive[i] != 0:
-            buf.append(i)
-            flush(buf)
-            buf = []
-        if drive[i] == 0 or (i < n - 1 and drive[i + 1] == 0):
-            buf.append(i)
-    if buf:
-        flush(buf)
-    return drive
-
-
-def _spread_partitions(batches):
-    """mapInPandas body: rows arrive sorted by group and link order.
-
-    Complete groups of a batch are folded; the last group of a batch is
-    carried into the next batch because it may continue there.  Groups with
-    no zero drive time pass through untouched.
+
+def _let(name: str, value: str, body: str, kind: str = "array<bigint>") -> str:
+    """SQL of body with name standing for value, which is worked out once."""
+    return f"aggregate(array({value}), cast(null as {kind}), (_{name}, {name}) -> {body})"
+
+
+def _shares(time: str, dist: str, last: str) -> str:
+    """SQL of a run's drive times: `time` by distance in whole seconds, what is left over on the last link.
+
+    A run without any distance keeps its times: its first link's and `last`, zeros between.
     """
-    carry = None
-    for pdf in batches:
-        if carry is not None and len(carry):
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-        if not len(pdf):
-            continue
-        keys = pdf[SPREAD_KEYS].astype(str).agg("\x1f".join, axis=1)
-        starts = (keys != keys.shift()).to_numpy().nonzero()[0].tolist()
-        last = starts[-1]
-        carry = pdf.iloc[last:].reset_index(drop=True)
-        done = pdf.iloc[:last].copy()
-        if len(done):
-            yield _fold_frame(done, starts[:-1] + [last])
-    if carry is not None and len(carry):
-        yield _fold_frame(carry.copy(), [0, len(carry)])
-
-
-def _fold_frame(pdf: pd.DataFrame, bounds: list[int]) -> pd.DataFrame:
-    drive = pdf["totaldrivetime"].to_numpy().copy()
-    dist = pdf["distance"].to_numpy()
-    if bounds[-1] != len(pdf):
-        bounds = bounds + [len(pdf)]
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        if b > a and (drive[a:b] == 0).any():
-            drive[a:b] = spread_fold([int(v) for v in drive[a:b]], [int(v) for v in dist[a:b]])
-    pdf["totaldrivetime"] = drive
-    return pdf
+    cut = f"transform(ds, d -> case when ({time}) * d div total = 0 then {_LEAST}L else ({time}) * d div total end)"
+    fitted = f"concat(slice(cut, 1, size(cut) - 1), array(element_at(cut, -1) + ({time}) - aggregate(cut, 0L, (a, w) -> a + w)))"
+    kept = f"transform(ds, (d, i) -> case when i = size(ds) - 1 then {last} when i = 0 then ({time}) - {last} else 0L end)"
+    spread = _let("total", "aggregate(ds, 0L, (a, d) -> a + d)", f"case when total = 0 then {kept} else {_let('cut', cut, fitted)} end")
+    return _let("ds", dist, spread)
+
+
+def _spread_sql(links: str) -> str:
+    """SQL that folds `links` (array of struct with drive, dist and opens: the next link has no time) into drive times."""
+    going = f"""aggregate({links}, cast(named_struct('done', {_NONE}, 'time', 0L, 'dist', {_NONE}) as {_STATE}), (s, x) ->
+      case when size(s.dist) = 0 and x.drive != 0 and not x.opens
+             then named_struct('done', concat(s.done, array(x.drive)), 'time', 0L, 'dist', {_NONE})
+           when size(s.dist) = 0 or x.drive = 0
+             then named_struct('done', s.done, 'time', s.time + x.drive, 'dist', concat(s.dist, array(x.dist)))
+           else aggregate(array({_shares("s.time + x.drive", "concat(s.dist, array(x.dist))", "x.drive")}), s, (t, run) ->
+             case when element_at(run, -1) = 0 or x.opens
+                    then named_struct('done', concat(t.done, slice(run, 1, size(run) - 1)), 'time', element_at(run, -1), 'dist', array(x.dist))
+                  else named_struct('done', concat(t.done, run), 'time', 0L, 'dist', {_NONE}) end)
+      end,
+      s -> case when size(s.dist) = 0 then s.done else concat(s.done, {_shares("s.time", "s.dist", "case when size(s.dist) = 1 then s.time else 0L end")}) end)"""
+    return going
 
 
 def spread_zero_times(timdemrnt: DataFrame, link: DataFrame) -> DataFrame:
     """Spread zero drive times over their run by link distance (O-T5).
 
-    Inner join with the minimum link distance (O-T6) drops links without a
-    measured distance, as in the source.  The fold is sequential per group:
-    rows are hash-partitioned by the group key and sorted inside the
-    partition, then one Arrow-batched pass folds every group of a partition.
+    A run is the link before a zero, the zeros, and the first link with a time
+    after them; a run's last link may be the first of the next, with its new
+    time.  Links without a measured distance are dropped by the inner join, as
+    in the source.  A group is the links of one pattern; only groups that hold
+    a zero are folded, inside the JVM.
     """
     df = timdemrnt.join(min_distance(link), ["version", "userstopcodebegin", "userstopcodeend"])
-    df = df.select(
-        *[F.col(c) for c in SPREAD_KEYS],
-        F.col("timinglinkorder").cast("int"),
-        "userstopcodebegin",
-        "userstopcodeend",
-        F.col("totaldrivetime").cast("long"),
-        F.col("stopwaittime").cast("long"),
-        F.col("distance").cast("long"),
+    one = F.struct(
+        F.col("timinglinkorder").cast("int").alias("timinglinkorder"), "userstopcodebegin", "userstopcodeend",
+        F.col("totaldrivetime").cast("long").alias("drive"), F.col("stopwaittime").cast("long").alias("stopwaittime"),
+        F.col("distance").cast("long").alias("dist"),
+    )
+    groups = df.groupBy(*SPREAD_KEYS).agg(F.sort_array(F.collect_list(one)).alias("links"))
+    flagged = "transform(links, (x, i) -> named_struct('drive', x.drive, 'dist', x.dist, 'opens', coalesce(get(links, i + 1).drive = 0, false)))"
+    times = f"case when exists(links, x -> x.drive = 0) then {_spread_sql('flagged')} else transform(links, x -> x.drive) end"
+    spread = groups.withColumn("flagged", F.expr(flagged)).withColumn("times", F.expr(times))
+    return spread.select(*SPREAD_KEYS, "times", F.posexplode("links").alias("at", "x")).select(
+        *SPREAD_KEYS, F.col("x.timinglinkorder").alias("timinglinkorder"), F.col("x.userstopcodebegin").alias("userstopcodebegin"),
+        F.col("x.userstopcodeend").alias("userstopcodeend"), F.get("times", F.col("at")).alias("totaldrivetime"),
+        F.col("x.stopwaittime").alias("stopwaittime"), F.col("x.dist").alias("distance"),
     )
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartition(n, *SPREAD_KEYS).sortWithinPartitions(*SPREAD_KEYS, "timinglinkorder")
-    return ordered.mapInPandas(_spread_partitions, schema=df.schema)
 
 
 # ------------------------------------------------------------------ O-T7

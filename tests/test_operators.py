@@ -12,69 +12,46 @@ from gtfsforge.operators import first as fo
 from gtfsforge.operators import timegroups as tg
 
 
-def _spread_reference(drive, dist):
-    """Straight restatement of the sequential pass over one group (with final flush)."""
-    rows = [[d, s] for d, s in zip(drive, dist)]
-    buf = []
-
-    def flush(b):
-        td = sum(rows[x][1] for x in b)
-        tt = sum(rows[x][0] for x in b)
-        if td == 0:
-            return
-        alloc = 0
-        for x in b:
-            a = int(tt * rows[x][1] / td)
-            if a == 0:
-                a = 4
-            alloc += a
-            rows[x][0] = a
-        rows[b[-1]][0] += tt - alloc
-
-    for i in range(len(rows)):
-        if buf and rows[i][0] != 0:
-            buf.append(i)
-            flush(buf)
-            buf = []
-        if rows[i][0] == 0 or (i < len(rows) - 1 and rows[i + 1][0] == 0):
-            buf.append(i)
-    if buf:
-        flush(buf)
-    return [r[0] for r in rows]
-
-
-def test_spread_fold_matches_reference_and_keeps_total():
-    rnd = random.Random(7)
-    for _ in range(3000):
-        n = rnd.randint(1, 12)
-        drive = [rnd.choice([0, 0, 30, 60, 120]) for _ in range(n)]
-        dist = [rnd.choice([10, 100, 400, 1000]) for _ in range(n)]
-        out = tg.spread_fold(drive, dist)
-        assert out == _spread_reference(drive, dist)
-        assert sum(out) == sum(drive)
-
-
-def test_spread_zero_times_distributed(spark):
-    rows, links = [], []
-    rnd = random.Random(3)
-    for g in range(40):
-        n = rnd.randint(2, 9)
-        for i in range(n):
-            a, b = f"S{g}_{i}", f"S{g}_{i + 1}"
-            rows.append((1, "GVB", "1", str(g), 0, i + 1, a, b, rnd.choice([0, 60, 90]), 0))
-            links.append((1, a, b, rnd.choice([100, 300, 900])))
-    rnt = spark.createDataFrame(rows, "version int, dataownercode string, lineplanningnumber string, "
-                                      "journeypatterncode string, timedemandgroupcode int, timinglinkorder int, "
-                                      "userstopcodebegin string, userstopcodeend string, totaldrivetime long, "
-                                      "stopwaittime long")
+RNT = ("version int, dataownercode string, lineplanningnumber string, journeypatterncode string, timedemandgroupcode int, timinglinkorder int, "
+       "userstopcodebegin string, userstopcodeend string, totaldrivetime long, stopwaittime long")
+
+
+def _spread(spark, groups):
+    """Spread times of groups [(drive, distance), ...] as lists."""
+    rows = [(1, "GVB", "1", str(g), 0, i + 1, f"S{g}_{i}", f"S{g}_{i + 1}", t, 0) for g, x in enumerate(groups) for i, (t, _) in enumerate(x)]
+    links = [(1, f"S{g}_{i}", f"S{g}_{i + 1}", d) for g, x in enumerate(groups) for i, (_, d) in enumerate(x)]
     lk = spark.createDataFrame(links, "version int, userstopcodebegin string, userstopcodeend string, distance long")
-    got = {(r.journeypatterncode, r.timinglinkorder): r.totaldrivetime
-           for r in tg.spread_zero_times(rnt, lk).collect()}
-    dist = {(a, b): d for _, a, b, d in links}
-    for g in range(40):
-        grp = sorted([r for r in rows if r[3] == str(g)], key=lambda r: r[5])
-        exp = _spread_reference([r[8] for r in grp], [dist[(r[6], r[7])] for r in grp])
-        assert [got[(str(g), r[5])] for r in grp] == exp
+    got = {(int(r.journeypatterncode), r.timinglinkorder): r.totaldrivetime for r in tg.spread_zero_times(spark.createDataFrame(rows, RNT), lk).collect()}
+    return [[got[g, i + 1] for i in range(len(x))] for g, x in enumerate(groups)]
+
+
+def test_spread_by_hand(spark):
+    cases = [
+        ([(60, 100), (0, 100), (90, 100)], [50, 50, 50]),  # a run between two times
+        ([(60, 100), (0, 300)], [15, 45]),  # a run at the end
+        ([(0, 100), (80, 300), (30, 5)], [20, 60, 30]),  # a run at the start, then an untouched link
+        ([(10, 100), (0, 1), (31, 9900)], [4, 4, 33]),  # shares that round to nothing, the rest on the last link
+        ([(60, 100), (0, 100), (60, 200), (0, 200), (40, 400)], [30, 30, 25, 25, 50]),  # a run's last link opens the next
+        ([(60, 0), (0, 0), (30, 0)], [60, 0, 30]),  # no distance, no change
+        ([(60, 7), (30, 9)], [60, 30]),
+        ([(0, 5)], [4 - 4]),
+    ]
+    got = _spread(spark, [x for x, _ in cases])
+    assert got == [y for _, y in cases]
+
+
+def test_spread_properties(spark):
+    rnd = random.Random(7)
+    groups = [[(rnd.choice([0, 0, 30, 60, 120]), rnd.choice([10, 100, 400, 1000])) for _ in range(rnd.randint(1, 12))] for _ in range(500)]
+    for x, y in zip(groups, _spread(spark, groups)):
+        times = [t for t, _ in x]
+        assert sum(y) == sum(times)
+        if 0 not in times:
+            assert y == times
+        # a link that neither is zero nor lies next to one keeps its time
+        for i, t in enumerate(times):
+            if t and (i == 0 or times[i - 1]) and (i + 1 == len(x) or times[i + 1]):
+                assert y[i] == t
 
 
 def test_rollover_matches_sequential(spark):
