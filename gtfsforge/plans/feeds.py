@@ -4,7 +4,7 @@ Each function writes every GTFS file of a feed under ``out_dir/<name>/``
 (part files with a header, NULL as an empty field).  Small tables go out as a
 single file; trips and stop_times are range-partitioned and sorted so that the
 part files together are in (trip_id[, stop_sequence]) order, as the source's
-ORDER BY exports are.  Long derivations are cut with a reliable checkpoint in
+ORDER BY exports are.  Agency and feed_info, a few rows each, are one file.  Long derivations are cut with a reliable checkpoint in
 the cluster's checkpoint folder before they fan out into several files.
 """
 
@@ -30,14 +30,14 @@ def _write(out_dir: str, files: dict[str, tuple[DataFrame, bool]]) -> None:
         sinks.write_gtfs(df, out_dir, name, single_file=small)
 
 
-def write_kv1_passing_feed(t: dict[str, DataFrame], out_dir: str, as_of: str) -> None:
+def write_kv1_passing_feed(t: dict[str, DataFrame], out_dir: str, as_of: str, publisher: tuple[str, str]) -> None:
     """KV1 passing-time feed: agency, feed_info, stops, routes, calendar_dates, trips, stop_times, shapes."""
     routes = kv1.routes_kv1(t)
     files = {
         "agency": (kv1.agency_kv1(routes), True),
-        "feed_info": (kv1.feed_info(t["operday"], as_of), True),
-        "stops": (kv1.stops_kv1(t), True),
-        "routes": (routes, True),
+        "feed_info": (kv1.feed_info(t["operday"], as_of, publisher), True),
+        "stops": (kv1.stops_kv1(t), False),
+        "routes": (routes, False),
         "calendar_dates": (kv1.calendar_operday(t["operday"]), False),
         "trips": (kv1.trips_passing(t), False),
         "stop_times": (kv1.stop_times_passing(t), False),
@@ -49,7 +49,7 @@ def write_kv1_passing_feed(t: dict[str, DataFrame], out_dir: str, as_of: str) ->
     _write(out_dir, files)
 
 
-def write_kv1_drivetime_feed(t: dict[str, DataFrame], link: DataFrame, out_dir: str, as_of: str) -> None:
+def write_kv1_drivetime_feed(t: dict[str, DataFrame], link: DataFrame, out_dir: str, as_of: str, publisher: tuple[str, str]) -> None:
     """KV1 drive-time feed: compress passings (stored as tables in the source), spread and
     accumulate drive times, then trips, stop_times and the expanded calendar.
 
@@ -60,22 +60,22 @@ def write_kv1_drivetime_feed(t: dict[str, DataFrame], link: DataFrame, out_dir:
     regular = cal.calendar_regular(t["pegrval"], t["tive"], t["pujo"], t["version"], t["excopday"], as_of)
     exception = cal.calendar_exception(t["pegrval"], t["tive"], t["pujo"], t["version"], t["excopday"], as_of)
     _write(out_dir, {
-        "feed_info": (kv1.feed_info(t["version"], as_of, date_col="validfrom", end_col="validthru"), True),
-        "routes": (kv1.routes_kv1(t), True),
+        "feed_info": (kv1.feed_info(t["version"], as_of, publisher, date_col="validfrom", end_col="validthru"), True),
+        "routes": (kv1.routes_kv1(t), False),
         "calendar_dates": (cal.calendar_union(regular, exception), False),
         "trips": (kv1.trips_drivetime(t), False),
         "stop_times": (kv1.stop_times_drivetime(t), False),
     })
 
 
-def write_iff_feed(t: dict[str, DataFrame], out_dir: str, as_of: str) -> None:
+def write_iff_feed(t: dict[str, DataFrame], out_dir: str, as_of: str, publisher: tuple[str, str]) -> None:
     """IFF rail feed: agency, feed_info, stops, routes, calendar_dates, trips, stop_times, transfers, empty shapes."""
     spark = t["service"].sparkSession
     _write(out_dir, {
         "agency": (iff.agency_iff(t), True),
-        "feed_info": (iff.feed_info_iff(t["delivery"], as_of), True),
-        "stops": (iff.stops_iff(t), True),
-        "routes": (iff.routes_iff(t), True),
+        "feed_info": (iff.feed_info_iff(t["delivery"], as_of, publisher), True),
+        "stops": (iff.stops_iff(t), False),
+        "routes": (iff.routes_iff(t), False),
         "calendar_dates": (cal.calendar_footnote(t["footnote"], "NS:"), False),
         "trips": (iff.trips_iff(t), False),
         "stop_times": (iff.stop_times_iff(t), False),
@@ -84,14 +84,14 @@ def write_iff_feed(t: dict[str, DataFrame], out_dir: str, as_of: str) -> None:
     })
 
 
-def write_pas_feed(t: dict[str, DataFrame], out_dir: str, as_of: str) -> None:
+def write_pas_feed(t: dict[str, DataFrame], out_dir: str, as_of: str, publisher: tuple[str, str]) -> None:
     """PAS metro/tram feed."""
     spark = t["pujo"].sparkSession
     _write(out_dir, {
         "agency": (pas.agency_pas(spark), True),
-        "feed_info": (pas.feed_info_pas(t["voetnoot"], as_of), True),
-        "stops": (pas.stops_pas(t["stops"]), True),
-        "routes": (pas.routes_pas(t["pujo"], t["linepublicnumber"]), True),
+        "feed_info": (pas.feed_info_pas(t["voetnoot"], as_of, publisher), True),
+        "stops": (pas.stops_pas(t["stops"]), False),
+        "routes": (pas.routes_pas(t["pujo"], t["linepublicnumber"]), False),
         "calendar_dates": (pas.calendar_pas(t["voetnoot"]), False),
         "trips": (pas.trips_pas(t["pujo"], t["pujopass"], t["stops"]), False),
         "stop_times": (pas.stop_times_pas(t["pujopass"]), False),

@@ -36,21 +36,20 @@ COMPANY_URL = [
     (501, "http://www.breng.nl"), (52, "http://www.breng.nl"), (801, "http://www.syntus.nl"),
     (999, "http://www.eurostar.com"), (54, "http://www.valleilijn.nl"),
 ]
-# Companies of a rail delivery (company, code, name) plus the added Eurostar row.
-COMPANIES = [(100, "ns", "NS"), (200, "nshs", "NS Hispeed"), (960, "nsi", "NS International"), (22, "gvb", "GVB"),
-             (980, "sncf", "SNCF"), (300, "tha", "Thalys"), (999, "EUROSTAR", "Eurostar")]
-# Transport modes and their descriptions (after the 'stoptrein' -> 'Stoptrein' correction).
-TRNSMODES = [("IC", "Intercity"), ("SPR", "Sprinter"), ("ICE", "ICE"), ("INT", "Internationale Trein"),
-             ("ST", "Stoptrein"), ("B", "Bus"), ("NSS", "Stoptreinvervangende bus"), ("NST", "Tram"),
-             ("NSM", "Metro"), ("BNS", "Buurtbus"), ("TGV", "TGV"), ("THA", "Thalys"), ("ES", "Eurostar")]
+# The company that services of the ES mode are split off to; deliveries don't list it.
+ADDED_COMPANY = (999, "EUROSTAR", "Eurostar")
 
 
-def company_table(spark) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(COMPANIES, "company int, code string, name string"))
+def companies(company: DataFrame) -> DataFrame:
+    """The delivered companies and the added one, unless the delivery has its number itself."""
+    added = company.sparkSession.createDataFrame([ADDED_COMPANY], "company int, code string, name string")
+    mine = company.select(F.col("company").cast("int").alias("company"), "code", "name")
+    return mine.unionByName(added.join(mine.select("company"), "company", "left_anti"))
 
 
-def trnsmode_table(spark) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(TRNSMODES, "code string, description string"))
+def modes(trnsmode: DataFrame) -> DataFrame:
+    """Delivered transport modes; a description in lower case by mistake is mended."""
+    return trnsmode.select("code", F.when(F.col("description") == "stoptrein", "Stoptrein").otherwise(F.col("description")).alias("description"))
 
 
 def correct_services(service: DataFrame, transport: DataFrame) -> DataFrame:
@@ -109,14 +108,14 @@ def agency_iff(t: dict[str, DataFrame]) -> DataFrame:
     spark = t["service"].sparkSession
     used = correct_services(t["service"], t["transport"]).select(F.col("companynumber").alias("company")).distinct()
     url = F.broadcast(spark.createDataFrame(COMPANY_URL, "company int, agency_url string"))
-    return company_table(spark).join(used, "company", "left_semi").join(url, "company", "left").select(
+    return companies(t["company"]).join(used, "company", "left_semi").join(url, "company", "left").select(
         F.upper("code").alias("agency_id"), F.col("name").alias("agency_name"), "agency_url",
         F.lit("Europe/Amsterdam").alias("agency_timezone"), F.lit("nl").alias("agency_lang"))
 
 
-def feed_info_iff(delivery: DataFrame, as_of: str) -> DataFrame:
+def feed_info_iff(delivery: DataFrame, as_of: str, publisher: tuple[str, str]) -> DataFrame:
     """feed_info from the delivery line; the later of the two exports wins (version = as_of) (O-B2)."""
-    return delivery.select(F.lit("OVapi").alias("feed_publisher_name"), F.lit("http://ovapi.nl/").alias("feed_publisher_url"),
+    return delivery.select(F.lit(publisher[0]).alias("feed_publisher_name"), F.lit(publisher[1]).alias("feed_publisher_url"),
                            F.lit("nl").alias("feed_lang"), yyyymmdd("firstday").alias("feed_start_date"),
                            yyyymmdd("lastday").alias("feed_end_date"), F.lit(as_of).alias("feed_version"))
 
@@ -181,11 +180,11 @@ def routes_iff(t: dict[str, DataFrame]) -> DataFrame:
             .join(names.withColumnRenamed("shortname", "begin_station").withColumnRenamed("name", "begin_name"), "begin_station")
             .join(names.withColumnRenamed("shortname", "dest_station").withColumnRenamed("name", "dest_name"), "dest_station"))
     base = (t["transport"].select("serviceid", "transmode")
-            .join(trnsmode_table(spark).withColumnRenamed("code", "transmode"), "transmode")
+            .join(modes(t["trnsmode"]).withColumnRenamed("code", "transmode"), "transmode", "left")
             .join(s.select("serviceid", "companynumber", "servicenumber", "laststop", "servicename"), "serviceid")
-            .join(company_table(spark).withColumnRenamed("company", "companynumber"), "companynumber")
+            .join(companies(t["company"]).withColumnRenamed("company", "companynumber"), "companynumber")
             .join(ends, "serviceid"))
-    hundred = (F.floor(F.col("servicenumber") / 100) * 100).cast("int")
+    hundred = (F.expr("servicenumber div 100") * 100).cast("int")
     rail = base.filter(~F.col("transmode").isin(*ROAD_MODES)).withColumn("hundred", hundred)
     rail = first_per(rail, ["transmode", "companynumber", "hundred"],
                      [(F.col("servicenumber") % 2 == 0).asc_nulls_last(), F.col("laststop").desc_nulls_first(), "serviceid"])
@@ -214,7 +213,7 @@ def _route_id(mode="transmode"):
     lo, hi = F.least("begin_station", "dest_station"), F.greatest("begin_station", "dest_station")
     road = F.concat(F.col("companynumber").cast("string"), F.lit("-"), F.col(mode), F.lit("-"), lo, F.lit("-"), hi)
     rail = F.concat(F.col("companynumber").cast("string"), F.lit("-"), F.col(mode), F.lit("-"),
-                    F.coalesce((F.floor(F.col("servicenumber") / 100) * 100).cast("int"), F.lit(0)).cast("string"))
+                    F.coalesce((F.expr("servicenumber div 100") * 100).cast("int"), F.lit(0)).cast("string"))
     return F.when(F.col(mode).isin(*ROAD_MODES), road).otherwise(rail)
 
 
@@ -350,9 +349,8 @@ def transfers_iff(t: dict[str, DataFrame]) -> DataFrame:
 # ------------------------------------------------------------------ O-B7 (older, per mode) and O-B19
 def routes_iff_simple(t: dict[str, DataFrame]) -> DataFrame:
     """One route per (mode, company) named by the mode description (older variant of O-B7)."""
-    spark = t["service"].sparkSession
     j = (t["transport"].select("serviceid", "transmode")
-         .join(trnsmode_table(spark).withColumnRenamed("code", "transmode"), "transmode")
+         .join(modes(t["trnsmode"]).withColumnRenamed("code", "transmode"), "transmode", "left")
          .join(t["service"].select("serviceid", "companynumber"), "serviceid"))
     rtype = (F.when(F.col("transmode").isin("NSS", "NSB", "B", "BNS", "X", "U", "Y"), 3)
              .when(F.col("transmode") == "NSM", 1).when(F.col("transmode") == "NST", 0).otherwise(2))

@@ -189,14 +189,14 @@ def agency_kv1(routes: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ O-B2
-def feed_info(days: DataFrame, as_of: str, date_col: str = "validdate", end_col: str | None = None) -> DataFrame:
-    """feed_info: global first/last day (O-B2, O-A1); ``as_of`` replaces now()."""
-    name, url, lang = lookup.FEED_PUBLISHER
+def feed_info(days: DataFrame, as_of: str, publisher: tuple[str, str], date_col: str = "validdate", end_col: str | None = None) -> DataFrame:
+    """feed_info: global first/last day (O-B2, O-A1); ``as_of`` replaces now(), ``publisher`` is (name, url)."""
+    name, url = publisher
     end_col = end_col or date_col
     return days.agg(F.min(date_col).alias("s"), F.max(end_col).alias("e")).select(
         F.lit(name).alias("feed_publisher_name"),
         F.lit(url).alias("feed_publisher_url"),
-        F.lit(lang).alias("feed_lang"),
+        F.lit(lookup.FEED_LANG).alias("feed_lang"),
         yyyymmdd("s").alias("feed_start_date"),
         yyyymmdd("e").alias("feed_end_date"),
         F.lit(as_of).alias("feed_version"),

@@ -82,10 +82,10 @@ def agency_pas(spark) -> DataFrame:
                                                "agency_timezone string, agency_lang string")
 
 
-def feed_info_pas(voetnoot: DataFrame, as_of: str) -> DataFrame:
+def feed_info_pas(voetnoot: DataFrame, as_of: str, publisher: tuple[str, str]) -> DataFrame:
     from gtfsforge.plans.gtfs_kv1 import feed_info
 
-    return feed_info(voetnoot, as_of, date_col="datum")
+    return feed_info(voetnoot, as_of, publisher, date_col="datum")
 
 
 def calendar_pas(voetnoot: DataFrame) -> DataFrame:

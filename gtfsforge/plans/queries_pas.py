@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gtfsforge.functions import geo
 from gtfsforge.plans import gtfs_pas as pas
-from gtfsforge.plans.registry import AS_OF, register
+from gtfsforge.plans.registry import AS_OF, PUBLISHER, register
 from gtfsforge.plans.views import World, oracle
 
 SQL_CLEAN = """
@@ -58,11 +58,11 @@ def q_stop_times_pas(spark, sf):
 
 
 @register("gtfs_feed_info_pas_b2", oracle(["pas_voetnoot"], f"""
-SELECT 'OVapi' AS feed_publisher_name, 'http://ovapi.nl/' AS feed_publisher_url, 'nl' AS feed_lang,
+SELECT '{PUBLISHER[0]}' AS feed_publisher_name, '{PUBLISHER[1]}' AS feed_publisher_url, 'nl' AS feed_lang,
        strftime(min(datum), '%Y%m%d') AS feed_start_date, strftime(max(datum), '%Y%m%d') AS feed_end_date,
        '{AS_OF}' AS feed_version FROM pas_voetnoot"""))
 def q_feed_info_pas(spark, sf):
-    return pas.feed_info_pas(World(spark, sf).pas_voetnoot, AS_OF)
+    return pas.feed_info_pas(World(spark, sf).pas_voetnoot, AS_OF, PUBLISHER)
 
 
 @register("cal_pas_dates_c2", oracle(["pas_voetnoot"], """

@@ -338,8 +338,8 @@ _view("iff_nstops", ("kv_passing_raw",), "SELECT k, CAST(count(*) AS INT) AS nst
 
 _view("iff_service", ("iff_nstops",), """
 SELECT CAST(o_orderkey AS INT) AS serviceid,
-       CASE WHEN o_orderkey % 4 = 0 THEN 100 WHEN o_orderkey % 4 = 1 THEN 200 WHEN o_orderkey % 4 = 2 THEN 960
-            ELSE 22 END AS companynumber,
+       CASE WHEN o_orderkey % 4 = 0 THEN 100 WHEN o_orderkey % 4 = 2 THEN 960 WHEN o_orderkey % 4 = 3 THEN 22
+            ELSE CAST(2000 + o_custkey % 25 AS INT) END AS companynumber,
        CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(NULLIF(o_orderkey % 5000, 0) AS INT) END AS servicenumber,
        CASE WHEN o_orderkey % 7 = 0 AND o_orderkey % 2 = 0 THEN CAST(o_custkey AS STRING)
             WHEN o_orderkey % 11 = 0 THEN CAST(o_custkey AS STRING) ELSE NULL END AS variant,
@@ -347,14 +347,24 @@ SELECT CAST(o_orderkey AS INT) AS serviceid,
        CASE WHEN o_orderkey % 6 = 0 THEN 'Sprinter ' || CAST(o_custkey % 10 AS STRING) ELSE NULL END AS servicename
 FROM {orders} JOIN iff_nstops n ON n.k = o_orderkey""")
 
+# the delivered companies: one a nation, and those that services of the fixed numbers run for
+_view("iff_company", (), """
+SELECT CAST(2000 + n_nationkey AS INT) AS company, 'n' || CAST(n_nationkey AS STRING) AS code, n_name AS name FROM {nation}
+UNION ALL
+SELECT CASE n_nationkey WHEN 0 THEN 100 WHEN 1 THEN 960 WHEN 2 THEN 22 WHEN 3 THEN 980 ELSE 300 END, 'c' || CAST(n_nationkey AS STRING),
+       'Company of ' || n_name FROM {nation} WHERE n_nationkey < 5""")
+
+# the delivered modes: all in use but one, which has no description
+_view("iff_trnsmode", ("iff_transport",), """
+SELECT DISTINCT transmode AS code, CASE WHEN transmode = 'ST' THEN 'stoptrein' ELSE 'Mode ' || transmode END AS description
+FROM iff_transport WHERE transmode <> 'HSN'""")
+
 _view("iff_transport", ("iff_nstops",), """
 SELECT serviceid, transmode, firststop, laststop FROM (
   SELECT CAST(o_orderkey AS INT) AS serviceid,
-         CASE WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 0 THEN 'IC' WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 1 THEN 'SPR'
-              WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 2 THEN 'ICE' WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 3 THEN 'INT'
-              WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 4 THEN 'ST' WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 5 THEN 'B'
-              WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 6 THEN 'NSS' WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 7 THEN 'NST'
-              WHEN CAST(floor(o_orderkey / 4) AS BIGINT) % 10 = 8 THEN 'NSM' ELSE 'BNS' END AS transmode,
+         CASE CAST(floor(o_orderkey / 4) AS BIGINT) % 20 WHEN 0 THEN 'IC' WHEN 1 THEN 'SPR' WHEN 2 THEN 'ICE' WHEN 3 THEN 'INT' WHEN 4 THEN 'ST' WHEN 5 THEN 'B' WHEN 6 THEN 'NSS'
+              WHEN 7 THEN 'NST' WHEN 8 THEN 'NSM' WHEN 9 THEN 'BNS' WHEN 10 THEN 'TGV' WHEN 11 THEN 'THA' WHEN 12 THEN 'ES' WHEN 13 THEN 'HSN'
+              WHEN 14 THEN 'EC' WHEN 15 THEN 'EN' WHEN 16 THEN 'S' WHEN 17 THEN 'NSB' WHEN 18 THEN 'X' ELSE 'U' END AS transmode,
          1 AS firststop,
          CASE WHEN o_orderkey % 10 = 0 AND n.nstops >= 4 THEN CAST(floor(n.nstops / 2) AS INT) ELSE n.nstops END AS laststop
   FROM {orders} JOIN iff_nstops n ON n.k = o_orderkey

@@ -43,12 +43,16 @@ def local_session(cpus: int | str = "*", app: str = "gtfsforge") -> SparkSession
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Only when the session names none (local tests) a scratch folder is set.
+    A local session (tests, bench) that names none gets a scratch folder; on a
+    cluster a folder of one machine would lose data, so there it is an error.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
         cur = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not cur:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="gtfsforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)

@@ -53,8 +53,7 @@ AGENCIES = [
 AGENCY_TIMEZONE = "Europe/Amsterdam"
 AGENCY_LANG = "nl"
 
-# Feed publisher.
-FEED_PUBLISHER = ("OVapi", "http://ovapi.nl/", "nl")
+FEED_LANG = "nl"
 
 
 def route_type(spark: SparkSession) -> DataFrame:

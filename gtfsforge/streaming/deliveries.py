@@ -1,22 +1,24 @@
 """Delivery folder ingest as Structured Streaming (the loader's folder loop, O-S8, O-V5..O-V6b).
 
-The reference walks a folder of deliveries, skips the ones already loaded and
-merges every new one into the running baseline.  Here the folder is a file
-stream: the stream's checkpoint (in the cluster's shared checkpoint folder)
-records which files were loaded, so a restart after a lost driver or executor
-neither skips nor repeats a delivery.  Each micro-batch is one delivery
-(``maxFilesPerTrigger``), merged with a merge policy in ``foreachBatch`` and
-written as a new generation of the base table; readers take the newest
-generation.
+A folder of deliveries is a file stream; each micro-batch is one delivery
+(``maxFilesPerTrigger``), merged into the base table with a merge policy.  The
+base table is a row of generations: a batch reads the newest complete one and
+writes the next, data and the list of files merged so far, and completes it
+with a marker.  A generation that is read is never written.  A file in the
+list is left out of a batch, so a replayed epoch, a restart after a lost commit
+or a stream with a fresh checkpoint merges no delivery twice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gtfsforge.operators import versions
 from gtfsforge.session import ensure_checkpoint_dir
 
+MARKER = "_COMPLETE"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -24,23 +26,44 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def latest_generation(spark: SparkSession, base_dir: str) -> str | None:
-    """Newest ``gen_*`` folder of the base table that finished writing (has ``_SUCCESS``)."""
+def latest_generation(spark: SparkSession, base_dir: str) -> int | None:
+    """Number of the newest generation of the base table that is complete."""
     p, fs = _fs(spark, base_dir)
     if not fs.exists(p):
         return None
-    gens = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("gen_"))
-    for g in reversed(gens):
-        full = f"{base_dir.rstrip('/')}/{g}"
-        q, _ = _fs(spark, f"{full}/_SUCCESS")
-        if fs.exists(q):
-            return full
-    return None
+    found = sorted((int(s.getPath().getName()[4:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("gen_")), reverse=True)
+    return next((g for g in found if fs.exists(_fs(spark, f"{_folder(base_dir, g)}/{MARKER}")[0])), None)
+
+
+def _folder(base_dir: str, generation: int) -> str:
+    return f"{base_dir.rstrip('/')}/gen_{generation:010d}"
 
 
 def read_base(spark: SparkSession, base_dir: str, schema) -> DataFrame:
-    cur = latest_generation(spark, base_dir)
-    return spark.read.schema(schema).parquet(cur) if cur else spark.createDataFrame([], schema)
+    g = latest_generation(spark, base_dir)
+    return spark.createDataFrame([], schema) if g is None else spark.read.schema(schema).parquet(f"{_folder(base_dir, g)}/data")
+
+
+def merged_files(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Files (column `file`) whose rows the newest generation holds."""
+    g = latest_generation(spark, base_dir)
+    return spark.createDataFrame([], "file string") if g is None else spark.read.parquet(f"{_folder(base_dir, g)}/files")
+
+
+def merge_batch(spark: SparkSession, batch: DataFrame, base_dir: str, schema, policy: str) -> None:
+    """Merge the rows of batch (with their `file`) that come from files not merged yet, as a new generation."""
+    known = merged_files(spark, base_dir)
+    fresh = batch.join(known, "file", "left_anti")
+    if fresh.isEmpty():
+        return
+    g = latest_generation(spark, base_dir)
+    at = _folder(base_dir, 0 if g is None else g + 1)
+    merged = versions.merge(read_base(spark, base_dir, schema), fresh.drop("file"), None, policy)
+    # an unfinished attempt may be in the way; no reader takes it, as it has no marker
+    merged.write.mode("overwrite").parquet(f"{at}/data")
+    known.unionByName(fresh.select("file").distinct()).write.mode("overwrite").parquet(f"{at}/files")
+    marker, fs = _fs(spark, f"{at}/{MARKER}")
+    fs.create(marker, True).close()
 
 
 def merge_deliveries(spark: SparkSession, staged_dir: str, base_dir: str, schema, policy: str = "days",
@@ -53,14 +76,7 @@ def merge_deliveries(spark: SparkSession, staged_dir: str, base_dir: str, schema
     """
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/delivery-ingest"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_delivery).parquet(staged_dir)
-
-    def apply(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        base = read_base(spark, base_dir, schema)
-        merged = versions.merge(base, batch, None, policy)
-        merged.write.mode("overwrite").parquet(f"{base_dir.rstrip('/')}/gen_{epoch:010d}")
-
-    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
+    named = stream.withColumn("file", F.col("_metadata.file_path"))
+    q = (named.writeStream.foreachBatch(lambda batch, _: merge_batch(spark, batch, base_dir, schema, policy))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()

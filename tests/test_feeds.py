@@ -29,7 +29,7 @@ def test_kv1_passing_feed(spark, tmp_path):
     w = World(spark, SF)
     t = reg.kv1_tables(w)
     t.update(pool=w.kv_pool, point_all=w.kv_point_all)
-    feeds.write_kv1_passing_feed(t, str(tmp_path), reg.AS_OF)
+    feeds.write_kv1_passing_feed(t, str(tmp_path), reg.AS_OF, reg.PUBLISHER)
     assert _header(tmp_path / "stop_times") == ("trip_id,arrival_time,departure_time,stop_id,stop_headsign,"
                                                 "stop_sequence,pickup_type,drop_off_type")
     trips = [r.split(",")[2] for r in _rows(tmp_path / "trips")]
@@ -42,13 +42,13 @@ def test_drivetime_iff_pas_feeds(spark, tmp_path):
     w = World(spark, SF)
     t = reg.drive_tables(w)
     t.update(timdemrnt=reg.compressed(w)[1], pegrval=w.kv_pegrval, tive=w.kv_tive, excopday=w.kv_excopday)
-    feeds.write_kv1_drivetime_feed(t, w.kv_link, str(tmp_path / "dt"), reg.AS_OF)
+    feeds.write_kv1_drivetime_feed(t, w.kv_link, str(tmp_path / "dt"), reg.AS_OF, reg.PUBLISHER)
     assert _header(tmp_path / "dt" / "calendar_dates") == "service_id,date,exception_type"
-    feeds.write_iff_feed(iff_tables(w), str(tmp_path / "iff"), reg.AS_OF)
+    feeds.write_iff_feed(iff_tables(w), str(tmp_path / "iff"), reg.AS_OF, reg.PUBLISHER)
     assert _header(tmp_path / "iff" / "transfers").startswith("from_stop_id,to_stop_id")
     pt = {"pujo": w.pas_pujo, "pujopass": w.pas_pujopass, "stops": w.pas_stops, "voetnoot": w.pas_voetnoot,
           "linepublicnumber": w.pas_linepublicnumber}
-    feeds.write_pas_feed(pt, str(tmp_path / "pas"), reg.AS_OF)
+    feeds.write_pas_feed(pt, str(tmp_path / "pas"), reg.AS_OF, reg.PUBLISHER)
     st = _rows(tmp_path / "pas" / "stop_times")
     keys = [(r.split(",")[0], int(r.split(",")[4])) for r in st]
     assert keys == sorted(keys)
