@@ -21,8 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import trimmed
+
 #: Pre-tokens kept by a Python worker, and the longest one kept.
-CACHE_ENTRIES, CACHE_LENGTH = 200_000, 48
+CACHE_ENTRIES, CACHE_LENGTH = 60_000, 32
 
 
 def byte_characters() -> list[str]:
@@ -177,7 +179,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, key_cols: tuple[str,
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "ids array<int>", "decoded binary"])
     rows = docs.select(*key_cols, F.col(text_col).alias("__text"))
-    return rows.mapInArrow(lambda batches: _codec_map(batches, model, pattern), schema)
+    return rows.mapInArrow(trimmed(lambda batches: _codec_map(batches, model, pattern)), schema)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -185,7 +187,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key_cols: tuple[str, ...] =
     model = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(path)))
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "ids array<int>"])
-    return docs.select(*key_cols, F.col(text_col).alias("__text")).mapInArrow(_encode(model, pattern), schema)
+    return docs.select(*key_cols, F.col(text_col).alias("__text")).mapInArrow(trimmed(_encode(model, pattern)), schema)
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
@@ -193,4 +195,4 @@ def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> Da
     model = rows.sparkSession.sparkContext.broadcast(serialise(read_ranks(path)))
     src = rows.select(*[c for c in rows.columns if c not in (ids_col, "decoded")], F.col(ids_col).cast("array<int>").alias("ids"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields), "decoded binary"])
-    return src.mapInArrow(_decode(model, pattern), schema)
+    return src.mapInArrow(trimmed(_decode(model, pattern)), schema)

@@ -22,9 +22,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import trimmed
 from .shingles import chunks
 
 BUCKETS = 1 << 16
@@ -34,7 +35,7 @@ SMOOTHING = 0.1
 PENALTY = 3.0
 UNDETERMINED = "und"
 #: Most cells (trigrams by languages) worked on at once.
-CELLS = 2 << 20
+CELLS = 1 << 20
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -64,7 +65,7 @@ def _taught(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
     for b in batches:
         for at, part in _parts(b.column("text"), 1):
-            code, count = trigrams(part)
+            code, count = trigrams(_folded(part))
             langs = b.column("lang").slice(at, len(part)).dictionary_encode()
             names = langs.dictionary.to_pylist()
             of = langs.indices.to_numpy(zero_copy_only=False)[code >> 16]
@@ -84,15 +85,16 @@ def _summed(key, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": [key[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
 
-def _folded(text_col: str) -> Column:
-    """The text in lower case between two gaps."""
-    return F.concat(F.lit(" "), F.lower(F.col(text_col)), F.lit(" "))
+def _folded(texts: pa.Array) -> pa.Array:
+    """Texts in lower case between two gaps; null becomes empty."""
+    gap = pa.scalar(" ", texts.type)
+    return pc.binary_join_element_wise(gap, pc.utf8_lower(pc.fill_null(texts, "")), gap, pa.scalar("", texts.type))
 
 
 def learn(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Language names and their trigram probabilities (buckets by languages), from all rows with a text and a label."""
-    rows = rows.select(_folded(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    sums = rows.mapInArrow(_taught, "lang string, counts binary").groupBy("lang").applyInPandas(_summed, "lang string, counts binary")
+    rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
+    sums = rows.mapInArrow(trimmed(_taught), "lang string, counts binary").groupBy("lang").applyInPandas(_summed, "lang string, counts binary")
     found = sorted((r.lang, np.frombuffer(zlib.decompress(r.counts), np.int64)) for r in sums.collect())  # one row a language
     if not found:
         return [], np.zeros((BUCKETS, 0))
@@ -167,13 +169,13 @@ def infer(prob: np.ndarray, code: np.ndarray, count: np.ndarray, rows: int, pena
     return out
 
 
-def _identified(model, penalty: float):
+def _identified(model, penalty: float, text_at: int, keys: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, prob = model.value
         for b in batches:
-            texts, letters = b.column(b.num_columns - 2), b.column(b.num_columns - 1).to_pylist()
-            for at, part in _parts(texts, len(names)):
-                code, count = trigrams(part)
+            for at, part in _parts(b.column(text_at), len(names)):
+                letters = pc.fill_null(pc.match_substring_regex(part, r"\p{L}"), False).to_pylist()
+                code, count = trigrams(_folded(part))
                 share = np.zeros((len(part), len(names)))
                 # as many rows at once as keep (trigrams by languages) small
                 ends = np.searchsorted(code >> 16, np.arange(len(part)), side="right")
@@ -187,16 +189,16 @@ def _identified(model, penalty: float):
                 pred, score, mix = [], [], []
                 for i, x in enumerate(share):
                     j = int(x.argmax()) if len(names) else 0
-                    if not letters[at + i] or not names or not x.any():
-                        found = UNDETERMINED if not letters[at + i] or not names else names[0]
+                    if not letters[i] or not names or not x.any():
+                        found = UNDETERMINED if not letters[i] or not names else names[0]
                         pred.append(found), score.append(0.0), mix.append([])
                     else:
                         pred.append(names[j]), score.append(min(1.0, float(x[j])))
                         mix.append([(names[l], float(x[l])) for l in np.flatnonzero(x)])
                 out = b.slice(at, len(part))
                 yield pa.RecordBatch.from_arrays(
-                    [*out.columns[:-2], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(mix, pa.map_(pa.string(), pa.float64()))],
-                    names=[*b.schema.names[:-2], "lang_pred", "score", "proportions"],
+                    [*out.columns[:keys], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(mix, pa.map_(pa.string(), pa.float64()))],
+                    names=[*b.schema.names[:keys], "lang_pred", "score", "proportions"],
                 )
 
     return run
@@ -211,5 +213,6 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], key_cols: tup
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "lang_pred string, score double, proportions map<string,double>"])
-    rows = docs.select(*key_cols, _folded(text_col).alias("__folded"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__lettered"))
-    return rows.mapInArrow(_identified(shared, penalty), schema)
+    rows = keys if text_col in key_cols else docs.select(*key_cols, F.col(text_col).alias("__text"))
+    at = key_cols.index(text_col) if text_col in key_cols else len(key_cols)
+    return rows.mapInArrow(trimmed(_identified(shared, penalty, at, len(key_cols))), schema)

@@ -22,11 +22,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, trimmed
 
 MARK = "▁"
 #: Words kept by a Python worker, and the longest one kept.
-CACHE_ENTRIES, CACHE_LENGTH = 300_000, 64
+CACHE_ENTRIES, CACHE_LENGTH = 200_000, 32
 
 
 class Automaton(dict):
@@ -144,4 +144,4 @@ def token_counts(docs: DataFrame, pieces: tuple[str, ...], mark: str = MARK, key
     automaton = docs.sparkSession.sparkContext.broadcast((tuple(pieces), mark))
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "n_words long, n_tokens long, n_unknown long"])
-    return docs.select(*key_cols, F.col(text_col).alias("__text")).mapInArrow(_counts(automaton), schema)
+    return docs.select(*key_cols, F.col(text_col).alias("__text")).mapInArrow(trimmed(_counts(automaton)), schema)
