@@ -482,10 +482,9 @@ _WORLDS: dict = {}
 class World:
     """Lazy accessor: ``World(spark, sf_dir).kv_pujopass`` -> DataFrame.
 
-    Each view is built once per (session, folder) from its dependencies and
-    persisted (memory, then disk), so a plan that reads a view several times
-    scans the cached relation instead of re-deriving it.  Lost cache blocks are
-    recomputed from lineage, so an executor loss costs time, not results.
+    Each view is planned once per (session, folder) over its dependencies.
+    Nothing is persisted: every query derives what it needs from Parquet, and
+    a plan that reads a view several times reuses its exchanges.
     """
 
     def __new__(cls, spark, sf_dir: str):
@@ -504,8 +503,6 @@ class World:
 
     def view(self, name: str):
         if name not in self._cache:
-            from pyspark import StorageLevel
-
             deps, body = VIEWS[name]
             for d in deps:
                 self.view(d)
@@ -513,22 +510,15 @@ class World:
             sql = re.sub(r"\{(\w+)\}", lambda m: tables[m.group(1)], body)
             for d in sorted(deps, key=len, reverse=True):
                 sql = re.sub(rf"\b{d}\b", self._prefix + d, sql)
-            df = self.spark.sql(sql).persist(StorageLevel.MEMORY_AND_DISK)
+            df = self.spark.sql(sql)
             df.createOrReplaceTempView(self._prefix + name)
             self._cache[name] = df
         return self._cache[name]
 
     def memo(self, name: str, build):
-        """Persist a derived result once per world (stored tables in a real deployment)."""
+        """The plan of a derived result, built once per world."""
         if name not in self._cache:
-            from pyspark import StorageLevel
-
-            out = build()
-            if isinstance(out, tuple):
-                out = tuple(d.persist(StorageLevel.MEMORY_AND_DISK) for d in out)
-            else:
-                out = out.persist(StorageLevel.MEMORY_AND_DISK)
-            self._cache[name] = out
+            self._cache[name] = build()
         return self._cache[name]
 
     def __getattr__(self, name):
