@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, hash_cut
 from .vectors import classes, common_length, finite, in_order_products, matrix, result
 
-#: Vectors that the parts and the classifier are fitted on, at most.
+#: Vectors that the parts and the classifier are fitted on, about.
 SAMPLE = 8192
 #: Vectors of a block, and about how many there are in a part while parts can still grow in number.
 BLOCK, PART = 4096, 2048
@@ -209,8 +209,8 @@ def nearest(rows: DataFrame, k: int = 20, asked=None, id_col: str = "vec_id", ve
     parts = max(1, min(n // part, sample // 32))
     x = np.zeros((0, d))
     if parts > 1:
-        taken = found.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).toArrow()  # at most `sample` vectors
-        x = matrix(taken.column("v"), d)
+        taken = found.select("v", F.xxhash64("v").alias("h")).where(F.col("h") <= hash_cut(n, sample)).toArrow()  # about `sample` vectors
+        x = matrix(taken.sort_by("h").column("v"), d)
     router, probes = fit(x, parts, k, recall)
     router = spark.sparkContext.broadcast(router)
     placed = durable(found.mapInArrow(_placed(router, d), "cid long, v array<double>, ids array<long>, low long, part int"))

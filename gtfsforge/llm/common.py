@@ -48,6 +48,22 @@ def trimmed(run: Callable) -> Callable:
     return wrapped
 
 
+def hash_cut(total: int, n: int) -> int:
+    """The hash up to which about n of `total` evenly spread 64-bit hashes lie; the largest one if there are no more than n."""
+    return (1 << 63) - 1 if total <= n else -(1 << 63) + (1 << 64) * n // total
+
+
+def hash_sample(rows: DataFrame, column: str, n: int) -> DataFrame:
+    """x and its hash h: about n distinct values of a column, those of the smallest hashes (all, if there are no more).
+
+    Only a count goes to the driver, and copies of a value are one before they
+    are sent anywhere, so what is taken is as small on any number of tasks.
+    """
+    hashed = rows.select(F.col(column).alias("x")).withColumn("h", F.xxhash64("x"))
+    total = hashed.select("h").distinct().count()
+    return hashed.where(F.col("h") <= hash_cut(total, n)).dropDuplicates(["h"])
+
+
 def id_bound(df: DataFrame, limit: int) -> bool:
     """Whether df has at most `limit` rows; reads no more than limit + 1 of them."""
     return df.limit(limit + 1).count() <= limit

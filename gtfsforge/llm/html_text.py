@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled pages that weights are learnt from, at most.
+from .common import hash_sample
+
+#: Labelled pages that weights are learnt from, about.
 LABELLED = 400
 
 # Element names of HTML by what they mean here.
@@ -228,11 +230,11 @@ def _texts(weights):
 def extract_text(pages: DataFrame, key_cols: tuple[str, ...] = ("page_id", "url"), html_col: str = "html", labelled: int = LABELLED) -> DataFrame:
     """key_cols and text, the main text of each whole page.
 
-    Weights come from at most `labelled` pages that mark exactly one article,
+    Weights come from about `labelled` pages that mark exactly one article,
     those of the smallest hashes; the rest of the work covers all pages.
     """
     marked = pages.select(F.col(html_col).alias("html")).where(F.regexp_count("html", F.lit("(?i)<article[ >]")) == 1).where("instr(html, '</article>') > 0")
-    taken = [r.html for r in marked.orderBy(F.xxhash64("html"), "html").limit(labelled).collect()]
+    taken = [r.x for r in sorted(hash_sample(marked, "html", labelled).collect(), key=lambda r: r.h)]  # about `labelled` pages
     weights = pages.sparkSession.sparkContext.broadcast(learn_weights(taken))
     keys = pages.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "text string"])

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import crf
+from .common import hash_cut, trimmed
 from .shingles import chunks
 
 # Kinds in order, their patterns, and the least length of a match (of group 2 for the first).
@@ -33,7 +34,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # a run of 32 or more: what [0-9a-f]+ matche
 MAYBE = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]""", "AKIA[A-Z0-9]{12}", "[0-9a-f]{32}")
 #: Words that name a secret, as neighbours of a token.
 WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "key", "auth", "bearer", "credential", "credentials", "private_key", "access_key", "access_token")
-#: Documents (with and without matches each) and lines that the field learns from, at most.
+#: Documents (with and without matches each, about) and lines that the field learns from, at most.
 DOCUMENTS, LINES, WINDOW = 400, 1500, 60
 
 
@@ -221,9 +222,12 @@ def scan_secrets(docs: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), text_
     """key_cols and spans array<struct<kind, start, end>> of each whole text, by start, then kind."""
     texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
     hit = F.col("text").rlike("|".join((MAYBE[0], "AKIA[A-Z0-9]{12}", "[0-9a-f]{32}")).replace("(?i)", "(?i:", 1).replace("[:=]|", "[:=])|", 1))
-    labelled = texts.select("text", hit.alias("hit")).withColumn("h", F.xxhash64("text"))
-    taken = [r.text for flag in ("hit", "not hit") for r in labelled.where(flag).orderBy("h", "text").limit(documents).collect()]
+    hashed = texts.withColumn("h", F.xxhash64("text"))
+    counts = hashed.select("h", hit.alias("hit")).distinct().groupBy("hit").count().collect()  # two rows
+    cut = {flag: hash_cut(next((r["count"] for r in counts if r.hit == flag), 0), documents) for flag in (True, False)}
+    few = hashed.where(F.col("h") <= max(cut.values())).withColumn("hit", hit).where(f"(hit and h <= {cut[True]}) or (not hit and h <= {cut[False]})")
+    taken = [r.text for r in sorted(few.dropDuplicates(["h"]).collect(), key=lambda r: (not r.hit, r.h))]  # about 2 * documents
     model = docs.sparkSession.sparkContext.broadcast(learn(taken))
     keys = docs.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields), "spans array<struct<kind:string,start:bigint,end:bigint>>"])
-    return docs.select(*key_cols, F.col(text_col).alias("__text")).mapInArrow(_scanned(model), schema)
+    return docs.select(*key_cols, F.col(text_col).alias("__text")).mapInArrow(trimmed(_scanned(model)), schema)
