@@ -53,7 +53,7 @@ def iff_lines(w: World):
 
 def _iff(w: World):
     t = tagged.iff_timetable(iff_lines(w))
-    return tuple(t[k] for k in ("service", "validity", "stop", "platform"))
+    return tuple(t[k].drop("file") for k in ("service", "validity", "stop", "platform"))
 
 
 SQL_STOPS = """
@@ -114,11 +114,9 @@ def changes_lines(w: World):
     w_in = Window.partitionBy("station").orderBy("fromservice", "toservice")
     det = c.select(F.lit("changes").alias("file"),
                    (sid * 1_000_000_000 + F.row_number().over(w_in)).alias("pos"),
-                   F.format_string("%05d", F.col("fromservice")).alias("tag_body"),
-                   F.concat(F.lit(","), F.format_string("%05d", F.col("toservice")), F.lit(","),
-                            F.col("possiblechange").cast("string")).alias("rest"))
-    det = det.select("file", "pos", F.substring("tag_body", 1, 1).alias("tag"),
-                     F.concat(F.expr("substring(tag_body, 2)"), "rest").alias("body"))
+                   F.lit("-").alias("tag"),
+                   F.concat_ws(",", F.format_string("%05d", F.col("fromservice")), F.format_string("%05d", F.col("toservice")),
+                               F.col("possiblechange").cast("string")).alias("body"))
     head = c.select("station").distinct().select(F.lit("changes").alias("file"),
                                                   (F.substring("station", 2, 20).cast("long") * 1_000_000_000).alias("pos"),
                                                   F.lit("#").alias("tag"), F.col("station").alias("body"))
@@ -150,3 +148,21 @@ def q_iff_footnotes(spark, sf):
     w = World(spark, sf)
     first = w.iff_delivery.select("firstday").scalar()
     return tagged.iff_groups(footnote_lines(w), "footnote", firstday=first)
+
+
+def pas_footnote_lines(w: World):
+    """PAS footnote file text: one ``@id,bits`` line for each footnote, a bit for each day from the first one."""
+    from gtfsforge.operators.calendar import footnote_bits
+
+    first = w.pas_voetnoot.agg(F.min("datum").alias("a"), (F.datediff(F.max("datum"), F.min("datum")) + 1).alias("n"))
+    d = w.pas_voetnoot.withColumn("first", first.select("a").scalar()).withColumn("n", first.select("n").scalar())
+    bits = footnote_bits(d, "voetnoot", "datum", F.col("first"), F.col("n"))
+    return bits.select(F.lit("RET.VTN").alias("file"), F.col("voetnoot").cast("long").alias("pos"), F.lit("@").alias("tag"),
+                       F.concat("voetnoot", F.lit(","), "bits").alias("body"))
+
+
+@register("src_pas_footnotes_s15", oracle(["pas_voetnoot"], "SELECT voetnoot, datum FROM pas_voetnoot"))
+def q_pas_footnotes(spark, sf):
+    w = World(spark, sf)
+    first = w.pas_voetnoot.agg(F.min("datum").alias("a")).scalar()
+    return tagged.pas_footnotes(pas_footnote_lines(w), first)

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 # Owners whose deliveries are ISO-8859-15 encoded (the rest is UTF-8).
 LATIN9_OWNERS = ("QBUZZ", "CXX", "EBS")
 
-# Column names that open a KV1 header line.
-HEADER_MARKERS = ("Tablename", "[TableName]", "TableName", "tablename")
+# Names of the second column, the version, by which a KV1 header line is known.
+HEADER_MARKERS = ("Version_Number", "VersionNumber", "VERSIONNUMBER", "version")
 
 
 def table_of(path) -> F.Column:
@@ -49,8 +49,8 @@ def read_kv1(spark: SparkSession, path: str, table: str, schema, owner: str = ""
     raw = (spark.read.schema(as_text).option("sep", "|").option("header", "false").option("nullValue", "")
            .option("quote", '"').option("escape", '"').option("encoding", charset_for(owner)).csv(path)
            .withColumn("__table", table_of(F.col("_metadata.file_path"))))
-    first = fields[0].name
-    df = raw.filter(F.col("__table") == table).filter(~F.trim(F.col(first)).isin(*HEADER_MARKERS))
+    second = F.trim(F.col(fields[1].name))
+    df = raw.filter(F.col("__table") == table).filter(second.isNull() | ~second.isin(*HEADER_MARKERS))
     cols = []
     for f in schema.fields:
         if f.name in set(profile_absent):
@@ -94,12 +94,13 @@ def expand_archives(spark: SparkSession, glob: str) -> DataFrame:
 def delivery_meta(operday_lines: DataFrame) -> DataFrame:
     """Owner and first/last operating day of a delivery from its OPERDAY rows (O-S5).
 
-    Rows with fewer than 8 fields are skipped.  Input: a ``value`` text column.
+    A header line and rows with fewer than 8 fields are skipped.  Input: a
+    ``value`` text column.
     """
     parts = F.split("value", r"\|")
-    ok = operday_lines.filter(F.size(parts) >= 8)
+    ok = operday_lines.filter((F.size(parts) >= 8) & ~F.trim(F.get(parts, 1)).isin(*HEADER_MARKERS))
     return ok.select(F.trim(F.get(parts, 3)).alias("dataownercode"),
-                     F.to_date(F.trim(F.get(parts, 7))).alias("validdate")).filter(
+                     F.trim(F.get(parts, 7)).try_cast("date").alias("validdate")).filter(
         F.col("validdate").isNotNull()).groupBy("dataownercode").agg(
         F.min("validdate").alias("validfrom"), F.max("validdate").alias("validthru"))
 

@@ -74,33 +74,38 @@ def _stop_index(df: DataFrame) -> DataFrame:
 
 
 def iff_timetable(lines: DataFrame) -> dict[str, DataFrame]:
-    """IFF timetable records -> timetable_{service,validity,transport,attribute,stop,platform} (O-S11)."""
+    """IFF timetable records -> timetable_{service,validity,transport,attribute,stop,platform} (O-S11).
+
+    Every table carries its `file`, as service ids are only unique within a delivery.
+    """
     b = assign_blocks(lines).filter(F.col("block").isNotNull())
     # the block's id comes from its header row, in the same window partition as the stop index
     sid = F.max(F.when(F.col("tag") == "#", F.trim("body").cast("int"))).over(Window.partitionBy("file", "block"))
-    rec = _stop_index(b).withColumn("serviceid", sid)
+    f = _fields(6)
+    # a platform record belongs to the stop before it: its station comes from the same window as its index
+    so_far = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    at = F.last(F.when(F.col("tag").isin(*STOP_TAGS), f[0]), ignorenulls=True).over(so_far)
+    rec = _stop_index(b).withColumns({"serviceid": sid, "at_station": at})
     # records are partitioned by block once; every table below is a filter + projection of it
     out: dict[str, DataFrame] = {}
-    f = _fields(6)
     out["service"] = rec.filter(F.col("tag") == "%").select(
         "serviceid", _num(f[0]).alias("companynumber"), _num(f[1]).alias("servicenumber"),
         F.nullif(f[2], F.lit("")).alias("variant"), _num(f[3]).alias("firststop"), _num(f[4]).alias("laststop"),
-        F.nullif(f[5], F.lit("")).alias("servicename"))
+        F.nullif(f[5], F.lit("")).alias("servicename"), "file")
     out["validity"] = rec.filter(F.col("tag") == "-").select(
-        "serviceid", f[0].cast("int").alias("footnote"), _num(f[1]).alias("firststop"), _num(f[2]).alias("laststop"))
+        "serviceid", f[0].cast("int").alias("footnote"), _num(f[1]).alias("firststop"), _num(f[2]).alias("laststop"), "file")
     out["transport"] = rec.filter(F.col("tag") == "&").select(
-        "serviceid", f[0].alias("transmode"), _num(f[1]).alias("firststop"), _num(f[2]).alias("laststop"))
+        "serviceid", f[0].alias("transmode"), _num(f[1]).alias("firststop"), _num(f[2]).alias("laststop"), "file")
     out["attribute"] = rec.filter(F.col("tag") == "*").select(
-        "serviceid", f[0].alias("code"), _num(f[1]).alias("firststop"), _num(f[2]).alias("laststop"))
+        "serviceid", f[0].alias("code"), _num(f[1]).alias("firststop"), _num(f[2]).alias("laststop"), "file")
     t2, t3 = hhmm(f[1]), hhmm(f[2])
     arr = (F.when(F.col("tag") == ".", t2).when(F.col("tag") == "+", t2).when(F.col("tag") == "<", t2))
     dep = (F.when(F.col("tag") == ">", t2).when(F.col("tag") == ".", t2).when(F.col("tag") == "+", t3))
     out["stop"] = rec.filter(F.col("tag").isin(*STOP_TAGS)).select(
-        "serviceid", F.col("idx").cast("int"), f[0].alias("station"), arr.alias("arrivaltime"), dep.alias("departuretime"))
-    stop_station = out["stop"].select("serviceid", "idx", F.col("station"))
+        "serviceid", F.col("idx").cast("int"), f[0].alias("station"), arr.alias("arrivaltime"), dep.alias("departuretime"), "file")
     out["platform"] = rec.filter(F.col("tag") == "?").select(
         "serviceid", F.col("idx").cast("int"), f[0].alias("arrival"), f[1].alias("departure"),
-        f[2].cast("int").alias("footnote")).join(stop_station, ["serviceid", "idx"], "left")
+        f[2].cast("int").alias("footnote"), F.col("at_station").alias("station"), "file")
     return out
 
 
@@ -144,8 +149,11 @@ def iff_list(lines: DataFrame, kind: str) -> DataFrame:
                            (g(2).cast("int") * 60).alias("connectiontime"), g(3).alias("connectionmode"))
     if kind == "country":
         return rows.select(g(0).alias("code"), (g(1) == "1").alias("inland"), g(2).alias("name"))
-    if kind in ("trnsmode", "trnsattr", "connmode"):
+    if kind == "trnsmode":
         return rows.select(g(0).alias("code"), g(1).alias("description"))
+    if kind in ("trnsattr", "connmode"):
+        number = "processingcode" if kind == "trnsattr" else "connectiontype"
+        return rows.select(g(0).alias("code"), _num(g(1)).alias(number), g(2).alias("description"))
     if kind == "company":
         return rows.select(g(0).cast("int").alias("company"), g(1).alias("code"), g(2).alias("name"),
                            hhmm(g(3)).alias("timeturn"))
@@ -177,6 +185,28 @@ def pas_journeys(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pujo.drop("file", "block"), pujopass
 
 
+def pas_validity(lines: DataFrame) -> DataFrame:
+    """First and last day of each PAS file from its ``&ddmmyyyy-ddmmyyyy`` line (O-S16)."""
+    days = F.split("body", "-")
+    return lines.filter(F.col("tag") == "&").select(
+        "file", F.to_date(F.trim(F.get(days, 0)), "ddMMyyyy").alias("firstday"), F.to_date(F.trim(F.get(days, 1)), "ddMMyyyy").alias("lastday"))
+
+
+def pas_bad_format(lines: DataFrame, expected: str = "RETPAS1") -> DataFrame:
+    """Format lines (``!``) of PAS files that name another format than the expected one (report rows)."""
+    return lines.filter((F.col("tag") == "!") & (F.trim("body") != expected)).select("file", F.col("body").alias("format"))
+
+
+def pas_footnotes(lines: DataFrame, firstday) -> DataFrame:
+    """PAS footnote file: ``@id,bits`` lines, a bit for each day from `firstday` -> (voetnoot, datum) (O-S15)."""
+    from gtfsforge.operators.calendar import expand_footnotes
+
+    f = _fields(2)
+    first = F.lit(firstday).cast("date") if isinstance(firstday, str) else firstday
+    rows = lines.filter(F.col("tag") == "@").select(f[0].alias("voetnoot"), f[1].alias("bits"), first.alias("firstday"))
+    return expand_footnotes(rows, "voetnoot", "bits", "firstday").withColumnRenamed("servicedate", "datum")
+
+
 def pas_stops(lines: DataFrame) -> DataFrame:
     """PAS stop list: 17 comma fields, trimmed, blank -> NULL (O-S17)."""
     names = ["overstaphalte", "halteid", "overstaptijd", "maxoverstaptijd", "landcode", "tijdzone", "attribuut", "x",
@@ -195,7 +225,7 @@ def iff_groups(lines: DataFrame, kind: str, firstday=None) -> DataFrame:
 
     ``timezone``: ``#tznumber`` then ``-``/``+`` difference,firstday,lastday;
     ``trnsaqst``: ``#code,type,question`` then ``-attribute`` rows (one output row per attribute);
-    ``changes``: ``#station`` then from,to,change rows;
+    ``changes``: ``#station`` then tagged from,to,change rows;
     ``footnote``: ``#id`` then one line of day bits from ``firstday`` (expanded to dates).
     Header fields reach the detail rows by an equi-join on (file, block), so a
     large block (a hub station's changes) is just a skewed join key for AQE.
@@ -215,9 +245,9 @@ def iff_groups(lines: DataFrame, kind: str, firstday=None) -> DataFrame:
         return h.join(d, ["file", "block"]).drop("file", "block")
     if kind == "changes":
         h = _headers(b, [F.trim("body").alias("station")])
-        parts = F.split(F.concat("tag", "body"), ",")
-        d = det.select("file", "block", F.get(parts, 0).cast("int").alias("fromservice"),
-                       F.get(parts, 1).cast("int").alias("toservice"), F.trim(F.get(parts, 2)).cast("int").alias("possiblechange"))
+        # the first character of a detail line is its tag, whatever it is
+        d = det.select("file", "block", f[0].cast("int").alias("fromservice"), f[1].cast("int").alias("toservice"),
+                       f[2].cast("int").alias("possiblechange"))
         return h.join(d, ["file", "block"]).drop("file", "block")
     if kind == "footnote":
         from gtfsforge.operators.calendar import expand_footnotes

@@ -42,7 +42,7 @@ def test_pas_rollover(spark, tmp_path):
 def test_kv1_reader_header_and_profile(spark, tmp_path):
     d = tmp_path / "kv1"
     d.mkdir()
-    (d / "DESTX.csv").write_text("Tablename|Version|Implicit|DataOwnerCode|DestCode|DestNameFull\n"
+    (d / "DESTX.csv").write_text("[Recordtype]|Version_Number|Implicit|DataOwnerCode|DestCode|DestNameFull\n"
                                  "DEST|1|I|GVB|D1|Centraal Station\nDEST|1|I|GVB|D2|\n")
     (d / "LINE.TMI").write_text("LINE|1|I|GVB|001|1\n")
     schema = StructType([StructField("tablename", StringType()), StructField("version", IntegerType()),
@@ -117,6 +117,44 @@ def test_iff_grouped_files(spark, tmp_path):
         None, "asd", 180, None, 121000, "Amsterdam Centraal")
 
 
+def _lines(spark, *files):
+    rows = [(name, i, x[0], x[1:]) for name, text in files for i, x in enumerate(text)]
+    return spark.createDataFrame(rows, "file string, pos long, tag string, body string")
+
+
+def test_iff_changes_and_lists_from_real_lines(spark):
+    got = tagged.iff_groups(_lines(spark, ("changes", ["#asd    ", "-00123,00456,1", "-00456,00789,2"])), "changes").collect()
+    assert sorted(tuple(r) for r in got) == [("asd", 123, 456, 1), ("asd", 456, 789, 2)]
+    r = tagged.iff_list(_lines(spark, ("trnsattr", ["FIET,0001,Meenemen fiets"])), "trnsattr").first()
+    assert (r.code, r.processingcode, r.description) == ("FIET", 1, "Meenemen fiets")
+    r = tagged.iff_list(_lines(spark, ("connmode", ["B   ,2,Bus"])), "connmode").first()
+    assert (r.code, r.connectiontype, r.description) == ("B", 2, "Bus")
+
+
+def test_platforms_of_two_files_with_the_same_service(spark):
+    block = ["#00000001", ">asd    ,0900", "?2a,2a,00001", "<ut     ,0930", "?5 ,7 ,00001"]
+    t = tagged.iff_timetable(_lines(spark, ("one", block), ("two", block)))
+    got = sorted((r.file, r.idx, r.station, r.arrival, r.departure) for r in t["platform"].collect())
+    assert got == [(f, i, s, a, d) for f in ("one", "two") for i, s, a, d in ((1, "asd", "2a", "2a"), (2, "ut", "5", "7"))]
+    assert sorted(r.file for r in t["stop"].collect()) == ["one", "one", "two", "two"]
+
+
+def test_pas_validity_format_and_footnotes(spark):
+    lines = _lines(spark, ("RET.PAS", ["!RETPAS1", "&01012024-31012024"]), ("OLD.PAS", ["!RETPAS0"]))
+    assert [(r.file, str(r.firstday), str(r.lastday)) for r in tagged.pas_validity(lines).collect()] == [("RET.PAS", "2024-01-01", "2024-01-31")]
+    assert [(r.file, r.format) for r in tagged.pas_bad_format(lines).collect()] == [("OLD.PAS", "RETPAS0")]
+    got = tagged.pas_footnotes(_lines(spark, ("RET.VTN", ["@00007,0101", "@00008,1000"])), "2024-01-01").collect()
+    assert sorted((r.voetnoot, r.datum.day) for r in got) == [("00007", 2), ("00007", 4), ("00008", 1)]
+
+
+def test_delivery_meta_skips_header_and_bad_dates(spark):
+    text = ["[Recordtype]|Version_Number|I|Owner|a|b|c|ValidDate", "OPERDAY|1|I|GVB|U|S|T|2024-01-03|x", "OPERDAY|1|I|GVB|U|S|T|2024-01-01", "OPERDAY|1|I|GVB|U|S|T|soon", "short|1"]
+    r = kv1.delivery_meta(spark.createDataFrame([(x,) for x in text], "value string")).collect()
+    assert [(x.dataownercode, str(x.validfrom), str(x.validthru)) for x in r] == [("GVB", "2024-01-01", "2024-01-03")]
+    assert kv1.not_expired(kv1.delivery_meta(spark.createDataFrame([(text[1],)], "value string")), "2024-01-04").count() == 1
+    assert kv1.not_expired(kv1.delivery_meta(spark.createDataFrame([(text[1],)], "value string")), "2024-01-05").count() == 0
+
+
 def test_conform(spark):
     raw = spark.createDataFrame([(" 001 ", "t", "", "12")], "code string, flag string, name string, n string")
     schema = StructType([StructField("code", StringType()), StructField("flag", __import__("pyspark.sql.types",
