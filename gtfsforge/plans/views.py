@@ -14,8 +14,8 @@ Only a common SQL subset is used (no ``div``, no dialect date functions);
 Mapping of the order key ``k``:
   version = k % 3 + 1, owner = GVB (even k) / HTM (odd k),
   organisational unit = 'U' || (k div 2) % 2, schedule = k div 600,
-  schedule type = SAT when k % 5 = 0 else WEEK, line = k % 20,
-  journey pattern = k % 40 (so a pattern belongs to one line), journey = k.
+  schedule type = SAT when k % 5 = 0 else WEEK, line = k % 20 within blocks of 4000 keys,
+  journey pattern = k % 40 within the same blocks (a pattern belongs to one line; both grow with the keys), journey = k.
 """
 
 from __future__ import annotations
@@ -82,10 +82,10 @@ FROM kv_passing_t""")
 # KV1 PUJOPASS: one row per journey and stop
 _view("kv_pujopass", ("kv_passing_s",), f"""
 SELECT {_service('k')},
-       CAST(k % 20 AS STRING) AS lineplanningnumber,
+       CAST(k % 20 + 20 * CAST(floor(k / 4000) AS BIGINT) AS STRING) AS lineplanningnumber,
        k AS journeynumber,
        stoporder,
-       CAST(k % 40 AS STRING) AS journeypatterncode,
+       CAST(k % 40 + 40 * CAST(floor(k / 4000) AS BIGINT) AS STRING) AS journeypatterncode,
        'S' || CAST(l_suppkey AS STRING) AS userstopcode,
        CASE WHEN stoporder = 1 THEN NULL ELSE {_hms('dep_s - stoporder * 5')} END AS targetarrivaltime,
        CASE WHEN stoporder = nstops THEN NULL ELSE {_hms('dep_s')} END AS targetdeparturetime,
@@ -169,21 +169,21 @@ _view("kv_line", (), """
 SELECT version, dataownercode, lineplanningnumber, linepublicnumber, linename, transporttype FROM (
   SELECT CAST(c_nationkey % 3 + 1 AS INT) AS version,
          CASE WHEN c_custkey % 2 = 0 THEN 'GVB' ELSE 'HTM' END AS dataownercode,
-         CAST(c_custkey % 20 AS STRING) AS lineplanningnumber,
-         CAST(c_custkey % 20 AS STRING) AS linepublicnumber,
-         CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey % 20 AS STRING) ELSE c_name END AS linename,
+         CAST(c_custkey % 20 + 20 * CAST(floor(c_custkey / 100) AS BIGINT) AS STRING) AS lineplanningnumber,
+         CAST(c_custkey % 20 + 20 * CAST(floor(c_custkey / 100) AS BIGINT) AS STRING) AS linepublicnumber,
+         CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey % 20 + 20 * CAST(floor(c_custkey / 100) AS BIGINT) AS STRING) ELSE c_name END AS linename,
          CASE WHEN c_custkey % 13 = 0 THEN NULL
               WHEN c_mktsegment = 'AUTOMOBILE' THEN 'BUS' WHEN c_mktsegment = 'BUILDING' THEN 'TRAM'
               WHEN c_mktsegment = 'FURNITURE' THEN 'METRO' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'BOAT'
               ELSE 'TRAIN' END AS transporttype,
-         row_number() OVER (PARTITION BY c_nationkey % 3, c_custkey % 20 ORDER BY c_custkey) AS rn
+         row_number() OVER (PARTITION BY c_nationkey % 3, c_custkey % 20, floor(c_custkey / 100) ORDER BY c_custkey) AS rn
   FROM {customer}) x
 WHERE rn = 1""")
 
 _view("kv_jopa", ("kv_pujopass",), """
 SELECT version, dataownercode, lineplanningnumber, journeypatterncode,
        'BUS' AS journeypatterntype,
-       CAST(floor(CAST(journeypatterncode AS INT) / 20) AS INT) + 1 AS direction
+       CAST(floor((CAST(journeypatterncode AS BIGINT) % 40) / 20) AS INT) + 1 AS direction
 FROM (SELECT DISTINCT version, dataownercode, lineplanningnumber, journeypatterncode FROM kv_pujopass) x""")
 
 # JOPATILI: the timing links of each pattern, taken from its first journey
@@ -259,9 +259,9 @@ SELECT CAST(o_orderkey % 3 + 1 AS INT) AS version,
        CASE WHEN o_orderpriority = '1-URGENT' THEN '12345' WHEN o_orderpriority = '2-HIGH' THEN '6'
             WHEN o_orderpriority = '3-MEDIUM' THEN '7' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '67'
             ELSE '1234567' END AS daytype,
-       CAST(o_orderkey % 20 AS STRING) AS lineplanningnumber,
+       CAST(o_orderkey % 20 + 20 * CAST(floor(o_orderkey / 4000) AS BIGINT) AS STRING) AS lineplanningnumber,
        o_orderkey AS journeynumber,
-       CAST(o_orderkey % 40 AS STRING) AS journeypatterncode,
+       CAST(o_orderkey % 40 + 40 * CAST(floor(o_orderkey / 4000) AS BIGINT) AS STRING) AS journeypatterncode,
        CASE WHEN o_custkey % 3 = 0 THEN 'ACCESSIBLE' WHEN o_custkey % 3 = 1 THEN 'NOTACCESSIBLE' ELSE 'UNKNOWN' END
            AS wheelchairaccessible,
        o_orderstatus <> 'F' AS dataownerisoperator,
@@ -282,7 +282,7 @@ SELECT version, dataownercode, organizationalunitcode, periodgroupcode,
 FROM kv_pujo
 GROUP BY version, dataownercode, organizationalunitcode, periodgroupcode""")
 
-# EXCOPDAY: one exception day per month (the busiest order day), run as the weekday of its first digit
+# EXCOPDAY: exception days, a few in a month, run as the weekday of their first digit
 _view("kv_excopday", (), """
 SELECT CAST(month(validdate) % 3 + 1 AS INT) AS version,
        CASE WHEN month(validdate) % 2 = 0 THEN 'GVB' ELSE 'HTM' END AS dataownercode,
@@ -290,11 +290,9 @@ SELECT CAST(month(validdate) % 3 + 1 AS INT) AS version,
        validdate,
        CAST(((sc % 7) + 1) * 1000000 + sc % 100 AS INT) AS daytypeason,
        'SD' AS specificdaycode
-FROM (SELECT d AS validdate, sc,
-             row_number() OVER (PARTITION BY year(d), month(d) ORDER BY n DESC, d) AS rn
-      FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n, sum(o_custkey) AS sc
-            FROM {orders} GROUP BY CAST(o_orderdate AS DATE)) per_day) x
-WHERE rn = 1""")
+FROM (SELECT CAST(o_orderdate AS DATE) AS validdate, sum(o_custkey) AS sc
+      FROM {orders} GROUP BY CAST(o_orderdate AS DATE)) per_day
+WHERE (sc + day(validdate)) % 12 = 0""")
 
 # ---------------------------------------------------------------- PAS (metro/tram) world
 _view("pas_stops", (), """
