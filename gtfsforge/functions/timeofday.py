@@ -57,10 +57,13 @@ def ddmmyyyy(c) -> Column:
     return F.to_date(F.trim(_c(c)), "ddMMyyyy")
 
 
-def fix_seconds(c) -> Column:
-    """Append ``:00`` when a time has only ``HH:MM`` (O-T12)."""
-    v = _c(c)
-    return F.when(F.length(v) == 5, F.concat(v, F.lit(":00"))).otherwise(v)
+def fix_seconds(c, by=None) -> Column:
+    """Append ``:00`` to a time when `by` (default: the time itself) has only ``HH:MM`` (O-T12).
+
+    A row's two times are both mended by the length of the arrival.
+    """
+    v, by = _c(c), _c(c if by is None else by)
+    return F.when(F.length(by) == 5, F.concat(v, F.lit(":00"))).otherwise(v)
 
 
 def yyyymmdd(d) -> Column:

@@ -143,7 +143,8 @@ def derive_schedvers(tive: DataFrame, pegrval: DataFrame, pujo: DataFrame) -> Da
         F.col("daytype").alias("scheduletypecode"),
         F.col("t_from").alias("validfrom"),
         F.coalesce("t_thru", "p_thru").alias("validthru"),
-        F.concat_ws("-", *SERVICE7, "daytype").alias("description"),
+        # a NULL part makes the description NULL
+        F.concat(*[x for c in (*SERVICE7, "daytype") for x in (F.lit("-"), F.col(c).cast("string"))][1:]).alias("description"),
     )
 
 

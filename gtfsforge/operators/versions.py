@@ -44,10 +44,15 @@ def clip_before_schedule(operday_d: DataFrame, schedvers: DataFrame) -> DataFram
 def overwrite_range(base: DataFrame, schedvers_d: DataFrame, unit_match: bool = False) -> DataFrame:
     """Delete base days inside any staged [validfrom, validthru] of the same unit/owner (O-V3, O-V4).
 
-    ``unit_match`` adds the unit code to the key (HTM).
+    ``unit_match`` adds the unit code to the key (HTM).  Ranges are cut to the
+    days that the base has, so an open end makes no more days than that.
     """
     keys = UNIT + (["unitcode"] if unit_match else [])
-    days = explode_range(schedvers_d.select(*keys, "validfrom", "validthru"), "validfrom", "validthru", "validdate")
+    ends = base.agg(F.min("validdate").alias("a"), F.max("validdate").alias("b"))
+    staged = schedvers_d.where("validfrom is not null and validthru is not null")
+    staged = staged.select(*keys, F.greatest("validfrom", ends.select("a").scalar()).alias("validfrom"),
+                                F.least("validthru", ends.select("b").scalar()).alias("validthru"))
+    days = explode_range(staged, "validfrom", "validthru", "validdate")
     return base.join(days.select(*keys, "validdate").distinct(), keys + ["validdate"], "left_anti")
 
 

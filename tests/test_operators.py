@@ -110,3 +110,9 @@ def test_footnote_round_trip(spark):
     bits = spark.createDataFrame([(7, "1010011", date(2024, 1, 1))], "fn int, bits string, first date")
     got = sorted(r.servicedate.day for r in cal.expand_footnotes(bits, "fn", "bits", "first").collect())
     assert got == [1, 3, 6, 7]
+
+
+def test_fix_seconds_by_the_arrival(spark):
+    df = spark.createDataFrame([("08:00", "08:01"), ("08:00:00", "08:01"), (None, "08:01")], "a string, d string")
+    got = [tuple(r) for r in df.select(tod.fix_seconds("a"), tod.fix_seconds("d", by="a")).collect()]
+    assert got == [("08:00:00", "08:01:00"), ("08:00:00", "08:01"), (None, "08:01")]
