@@ -15,14 +15,22 @@ from pyspark.sql import DataFrame
 from gtfsforge import sinks
 from gtfsforge.operators import calendar as cal
 from gtfsforge.operators import timegroups as tg
+from gtfsforge.operators.quality import pk_violations
 from gtfsforge.plans import gtfs_iff as iff
 from gtfsforge.plans import gtfs_kv1 as kv1
 from gtfsforge.plans import gtfs_pas as pas
 from gtfsforge.session import cut_lineage
 
 
+#: Keys that a feed's files must not repeat.
+KEYS = {"agency": ["agency_id"], "stops": ["stop_id"], "routes": ["route_id"], "trips": ["trip_id"], "stop_times": ["trip_id", "stop_sequence"]}
+
+
 def _write(out_dir: str, files: dict[str, tuple[DataFrame, bool]]) -> None:
+    """Each file of a feed; before it, where it has a key, the keys that it repeats (``<name>_repeated_keys``, empty if none)."""
     for name, (df, small) in files.items():
+        if name in KEYS:
+            sinks.write_gtfs(pk_violations(df, KEYS[name]), out_dir, f"{name}_repeated_keys", single_file=False)
         if name == "trips":
             df = sinks.sorted_for_output(df, ["trip_id"])
         elif name == "stop_times":
@@ -51,7 +59,8 @@ def write_kv1_passing_feed(t: dict[str, DataFrame], out_dir: str, as_of: str, pu
 
 def write_kv1_drivetime_feed(t: dict[str, DataFrame], link: DataFrame, out_dir: str, as_of: str, publisher: tuple[str, str]) -> None:
     """KV1 drive-time feed: compress passings (stored as tables in the source), spread and
-    accumulate drive times, then trips, stop_times and the expanded calendar.
+    accumulate drive times, then trips, stop_times and the expanded calendar; agency, stops,
+    routes by the drive-time rule, and shapes.
 
     ``t['pujo']`` holds the drive-time journeys with their time-demand group.
     """
@@ -61,7 +70,10 @@ def write_kv1_drivetime_feed(t: dict[str, DataFrame], link: DataFrame, out_dir:
     exception = cal.calendar_exception(t["pegrval"], t["tive"], t["pujo"], t["version"], t["excopday"], as_of)
     _write(out_dir, {
         "feed_info": (kv1.feed_info(t["version"], as_of, publisher, date_col="validfrom", end_col="validthru"), True),
-        "routes": (kv1.routes_kv1(t), False),
+        "agency": (kv1.agency_kv1(kv1.routes_drivetime(t)), True),
+        "stops": (kv1.stops_kv1(t), False),
+        "routes": (kv1.routes_drivetime(t), False),
+        "shapes": (kv1.shapes(t) if "pool" in t and "point_all" in t else sinks.empty_gtfs(t["pujo"].sparkSession, "shapes"), False),
         "calendar_dates": (cal.calendar_union(regular, exception), False),
         "trips": (kv1.trips_drivetime(t), False),
         "stop_times": (kv1.stop_times_drivetime(t), False),

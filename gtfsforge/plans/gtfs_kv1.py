@@ -174,6 +174,31 @@ def routes_kv1(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+# Agencies of the drive-time feed by the first character of the line planning number.
+AGENCY_BY_PREFIX = {"U": "GVU", "A": "BRENG", "X": "BRENG", "L": "HERMES"}
+
+
+def routes_drivetime(t: dict[str, DataFrame]) -> DataFrame:
+    """routes of the drive-time feed (O-B6): agency by line prefix, the long name always, lines without a transport type left out."""
+    spark = _spark(t)
+    formula = t["jopatili"].select("version", "dataownercode", "lineplanningnumber", "productformulatype").distinct()
+    served = (
+        t["line"].filter(F.col("transporttype").isNotNull() & (F.col("transporttype") != "TRAIN"))
+        .join(lookup.route_type(spark), "transporttype")
+        .join(formula.join(lookup.product_formula(spark), "productformulatype", "left"), ["version", "dataownercode", "lineplanningnumber"])
+    )
+    newest = first_per(served, ["dataownercode", "lineplanningnumber"], [F.col("version").desc(), F.col("productformulatype").asc_nulls_last()])
+    by_prefix = F.create_map(*[F.lit(x) for kv in AGENCY_BY_PREFIX.items() for x in kv])
+    return newest.select(
+        key("dataownercode", "lineplanningnumber").alias("route_id"),
+        F.coalesce(F.try_element_at(by_prefix, F.substring("lineplanningnumber", 1, 1)), "dataownercode").alias("agency_id"),
+        F.col("linepublicnumber").alias("route_short_name"),
+        F.col("linename").alias("route_long_name"),
+        "route_type",
+        "localized_route_type",
+    )
+
+
 # ------------------------------------------------------------------ O-B1
 def agency_kv1(routes: DataFrame) -> DataFrame:
     """Agencies in use by the routes, with name/url from the fixed list (O-B1)."""
