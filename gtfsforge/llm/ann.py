@@ -26,11 +26,11 @@ from .vectors import classes, common_length, finite, in_order_products, matrix,
 #: Vectors that the parts and the classifier are fitted on, about.
 SAMPLE = 8192
 #: Vectors of a block, and about how many there are in a part while parts can still grow in number.
-BLOCK, PART = 4096, 2048
+BLOCK, PART = 16384, 4096
 #: Neighbours that the graph joins a sampled vector with, and units of the hidden layer.
 DEGREE, HIDDEN = 10, 64
 #: Share of the sample's neighbours that the probed parts must hold.
-RECALL = 0.97
+RECALL = 0.95
 
 
 def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import trimmed
 
 #: Pre-tokens kept by a Python worker, and the longest one kept.
-CACHE_ENTRIES, CACHE_LENGTH = 60_000, 32
+CACHE_ENTRIES, CACHE_LENGTH = 120_000, 32
 
 
 def byte_characters() -> list[str]:
