@@ -131,7 +131,6 @@ def trips_passing(t: dict[str, DataFrame]) -> DataFrame:
             "wheelchair_accessible",
             "trip_bikes_allowed",
         )
-        .dropDuplicates(["trip_id"])
     )
 
 
