@@ -49,6 +49,12 @@ AGENCIES = [
     ("BRENG", "Breng", "http://www.breng.nl/"),
     ("HERMES", "Hermes", "http://www.hermes.nl/"),
     ("GVU", "GVU", "http://www.gvu.nl/"),
+    ("ARR", "Arriva", "http://www.arriva.nl/"),
+    ("VTN", "Veolia", "http://www.veolia.nl/"),
+    ("QBUZZ", "Qbuzz", "http://www.qbuzz.nl/"),
+    ("SYNTUS", "Syntus", "http://www.syntus.nl/"),
+    ("EBS", "EBS", "http://www.ebs-ov.nl/"),
+    ("RET", "RET", "http://www.ret.nl/"),
 ]
 AGENCY_TIMEZONE = "Europe/Amsterdam"
 AGENCY_LANG = "nl"
