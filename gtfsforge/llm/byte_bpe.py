@@ -89,9 +89,8 @@ class Codec(dict):
         self.to_piece = {b: c for b, c in enumerate(chars)}
         inverse = {c: b for b, c in enumerate(chars)}
         n = self.sp.get_piece_size() - 1
-        pieces = [self.sp.id_to_piece(i) for i in range(n)]
-        self.whole = {p: i for i, p in enumerate(pieces)}
-        self.raw = [bytes(inverse[c] for c in p) for p in pieces]
+        self.whole = {self.sp.id_to_piece(i): i for i in range(n)}
+        self.raw = [bytes(inverse[c] for c in p) for p in self.whole]
 
     def __missing__(self, token: str) -> tuple[list[int], bytes]:
         mapped = token.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.to_piece)
@@ -135,6 +134,7 @@ def _encode(model, pattern: str):
                 ids = [c.encode(t) if t else [] for t in texts[at : at + 512]]
                 out = pa.array(ids, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*b.slice(at, 512).columns[:-1], out], names=[*b.schema.names[:-1], "ids"])
+        c.clear()
 
     return run
 
@@ -171,6 +171,7 @@ def _codec_map(batches: Iterator[pa.RecordBatch], model, pattern: str) -> Iterat
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())], names=[*keep, "ids", "decoded"]
             )
+    c.clear()  # the worker lives on, and what runs next in it needs the memory
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, key_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
