@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, hash_cut
+from .common import durable, hash_cut, trim
 from .vectors import classes, common_length, finite, in_order_products, matrix, result
 
 #: Vectors that the parts and the classifier are fitted on, about.
-SAMPLE = 8192
+SAMPLE = 4096
 #: Vectors of a block, and about how many there are in a part while parts can still grow in number.
 BLOCK, PART = 16384, 4096
 #: Neighbours that the graph joins a sampled vector with, and units of the hidden layer.
@@ -36,8 +36,8 @@ RECALL = 0.95
 def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:
     """The `degree` nearest others of each row, by inner product."""
     out = []
-    for at in range(0, len(x), 1024):
-        s = x[at : at + 1024] @ x.T
+    for at in range(0, len(x), 128):
+        s = x[at : at + 128] @ x.T
         s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
         out.append(np.argpartition(-s, degree - 1, axis=1)[:, :degree])
     return np.concatenate(out)
@@ -123,8 +123,7 @@ def fit(x: np.ndarray, parts: int, k: int, recall: float) -> tuple[Router | None
     part = balanced_parts(seen, neighbour_graph(seen, min(DEGREE, len(seen) - 1)), parts)
     router = Router(seen, part, parts)
     placed = router.scores(seen).argmax(1)
-    s = asked @ seen.T
-    near = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    near = np.concatenate([np.argpartition(-(asked[at : at + 128] @ seen.T), k - 1, axis=1)[:, :k] for at in range(0, len(asked), 128)])
     order = np.argsort(-router.scores(asked), axis=1, kind="stable")
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(parts)[None, :], axis=1)
@@ -212,6 +211,7 @@ def nearest(rows: DataFrame, k: int = 20, asked=None, id_col: str = "vec_id", ve
         taken = found.select("v", F.xxhash64("v").alias("h")).where(F.col("h") <= hash_cut(n, sample)).toArrow()  # about `sample` vectors
         x = matrix(taken.sort_by("h").column("v"), d)
     router, probes = fit(x, parts, k, recall)
+    trim()
     router = spark.sparkContext.broadcast(router)
     placed = durable(found.mapInArrow(_placed(router, d), "cid long, v array<double>, ids array<long>, low long, part int"))
     sizes = {r.part: r.c for r in placed.groupBy("part").agg(F.count("*").alias("c")).collect()}  # a row for each part
