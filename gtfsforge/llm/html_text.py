@@ -46,28 +46,62 @@ NAMES = {
     "footer", "foot", "masthead", "comment", "comments", "disqus", "replies", "reply", "respond", "discussion", "share", "sharing", "social", "related", "recommended", "recommendations",
     "newsletter", "subscribe", "subscription", "signup", "login", "search", "skip", "complementary", "contentinfo", "toc", "hidden", "copyright",
 }
+#: Those that say it inside an article or main part too, what may stand beside them there, and what turns them round ("no-sidebar").
+SURE = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsored", "cookie", "cookies", "gdpr", "sidebar", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination",
+    "comments", "disqus", "newsletter", "complementary", "contentinfo",
+}
+BESIDE = {"area", "bar", "block", "box", "container", "content", "form", "inner", "item", "items", "links", "list", "panel", "section", "slot", "thread", "unit", "wrap", "wrapper"}
+TURNED = {"free", "has", "hide", "no", "non", "with", "without"}
+#: Elements that hold others; and those of text, whose names are never a verdict.
+CONTAINERS = {"center", "details", "div", "dl", "fieldset", "ol", "section", "table", "ul"}
+TEXTUAL = {"b", "blockquote", "caption", "code", "dd", "dt", "em", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "i", "li", "p", "pre", "strong", "td", "th", "tr"}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|[^<]+|<", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_MARKS = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\shidden(?=[\s>=/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z]+|[0-9]+", re.I)
 
 
-def boilerplate(tag: str, name: str, titled: bool) -> bool:
-    """Whether an element is none of the article by what it is or is called; titled: it is a header in an article with the main heading."""
+def surely(parts: list[str], last: bool) -> bool:
+    """Whether the words of a name are boilerplate's in an article too; last: its last word may say so alone ("story-advert")."""
+    if not parts or parts[0] in TURNED:
+        return False
+    return last and parts[-1] in SURE or not SURE.isdisjoint(parts) and all(x in SURE or x in NAMES or x in BESIDE for x in parts)
+
+
+def boilerplate(tag: str, name: str, titled: bool, art: int = 0) -> bool:
+    """Whether an element is none of the article by what it is or is called; titled: it is a header in an article with the main heading.
+
+    Names of text elements and ids of sections, which are slugs of headings,
+    say nothing.  In an article or main part (art) only unambiguous names of
+    containers count, an id's if it is of several words.
+    """
     if name in OUTSIDE or name in RAW or name == "header" and not titled:
         return True
     if "=" not in tag and "hidden" not in tag:
         return False
     if name in ("html", "body", "article", "main"):
         return False
-    if _HIDDEN.search(tag):
+    marks = {}
+    for key, *values in _ATTRIBUTE.findall(tag, 1 + len(name)):
+        marks.setdefault(key.lower(), "".join(values).lower())
+    if "hidden" in marks or marks.get("aria-hidden") == "true" or _NONE.search(marks.get("style", "")):
         return True
-    # a name is what its last word says ("story-header" is a header, "ad-free-story" is a story), unless it begins with an advert's
-    for groups in _MARKS.findall(tag):
-        for word in "".join(groups).lower().split():
-            parts = [x for x in _PARTS.findall(word) if not x.isdigit()]
-            if parts and (parts[-1] in NAMES or parts[0] in NAMES):
+    if name in TEXTUAL or art and name not in CONTAINERS:
+        return False
+    split = lambda x: [y for y in _PARTS.findall(x) if not y.isdigit()]
+    slug = name == "section" or "section" in marks.get("class", "").split()
+    for key in ("class", "role", "id", "aria-label"):
+        if key == "id" and slug:
+            continue
+        for word in marks.get(key, "").split() if key != "aria-label" or not art else [marks.get(key, "")]:
+            parts = split(word)
+            if art:
+                if (key != "id" or len(parts) > 1) and surely(parts, key in ("class", "role")):
+                    return True
+            # a name is what its last word says ("story-header" is a header), or its first ("ad-box")
+            elif parts and (parts[-1] in NAMES or parts[0] in NAMES):
                 return True
     return False
 
@@ -122,7 +156,7 @@ def events(html: str) -> Iterator[tuple[str, str, bool, int]]:
             yield "open", name, bad > 0, art
             continue
         titled = name == "header" and art > 0 and "<h1" in html[at : (html.find("</header", at) + 1 or n + 1) - 1].lower()
-        outside = boilerplate(t, name, titled)
+        outside = boilerplate(t, name, titled, art)
         if name in RAW:
             lower = lower if lower is not None else html.lower()
             end = lower.find(f"</{name}", at)

@@ -40,6 +40,19 @@ def test_a_header_with_the_articles_main_heading_belongs_to_it():
     assert main_text(page(f"<header>Site</header><article><header><h1>Heading here</h1></header>{TEXT}</article>"), W) == "Heading here\n" + WANT
 
 
+def test_everyday_names_in_an_article_lose_nothing():
+    for part, want in (
+        ('<section id="discussion"><p>What it means.</p></section>', "What it means."), ('<h2 id="job-search">Finding work</h2>', "Finding work"), ('<p class="notice">Mind this.</p>', "Mind this."),
+        ('<div id="related-work" class="level2"><p>Others did.</p></div>', "Others did."), ('<section id="comments">Our own.</section>', "Our own."), ('<div data-id="sidebar">Kept text.</div>', "Kept text."),
+        ('<div title="id=ad class=ad">Kept text.</div>', "Kept text."), ('<p title="a hidden door">Kept text.</p>', "Kept text."), ('<div class="cookie-recipe no-sidebar ad-free-story">Bake.</div>', "Bake."),
+        ('<section class="search" aria-label="Side effects discussion">Kept text.</section>', "Kept text."), ('<h2 id="comments">Remarks</h2>', "Remarks"),
+    ):
+        for around in ("article", "main"):
+            assert main_text(page(f"<{around}>{TEXT}{part}{TEXT}</{around}>"), W) == f"{WANT}\n{want}\n{WANT}", part
+    for part in ('<section id="search"><p>How we looked.</p></section>', '<h2 id="search">How we looked.</h2>', '<p class="notice">How we looked.</p>', '<div class="section" id="search">How we looked.</div>'):
+        assert main_text(page(TEXT + part + TEXT), W) == f"{WANT}\nHow we looked.\n{WANT}", part
+
+
 def test_references_space_and_broken_markup():
     assert main_text(page("<p>a &amp; b&nbsp;&lt;c&gt; &eacute;\n\t d<b>e</b>f<br>g</p><p>h < i"), W) == "a & b <c> é def g\nh < i"
     assert main_text("just words", W) == "just words"
