@@ -4,7 +4,8 @@ A page is a sequence of words and tags.  Words score positive and tags
 negative; a linear scan finds the contiguous stretch of the highest sum, the
 content region.  How much a kind of word or tag weighs is learnt from labelled
 pages, those that mark their article themselves: kinds that lie outside more
-often weigh against a region, links and boilerplate containers among them.
+often weigh against a region, links and boilerplate containers among them; links
+of headings and of a page's own marked article don't.
 Within the region the text of blocks is taken, without what is no article by
 its element or by its container's name.
 
@@ -39,6 +40,7 @@ BLOCKS = {
     "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre", "section",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
 }
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Words in a container's class, id, role or label that say what it is.
 NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices",
@@ -215,6 +217,34 @@ BOUNDS = {"word outside": (-0.1, -0.05), "tag outside": (-0.1, -0.05), "word lin
 UNSEEN = -0.2
 
 
+#: Least weight of a linked word that is the page's own: of a heading or of its marked article.
+OWN = 1.0
+
+
+def own_links(seq: list) -> list[bool]:
+    """Whether each event is of the page's own article, or a link's in or around a heading."""
+    out, headed, titled, links = [], False, False, 0
+    for kind, x, bad, art in seq:
+        if kind != "text":
+            if x in BLOCKS:
+                headed = kind == "open" and x in HEADINGS
+            links += (x == "a") * (1 if kind == "open" else -1)
+            titled = headed and links > 0 or titled and not (x == "a" and kind == "open")
+        out.append(not bad and (art == 2 or headed and (kind == "text" or x == "a") or titled and kind == "close" and x == "a"))
+    return out
+
+
+def scored(seq: list, weights: dict[str, float]) -> list[float]:
+    """The weight of each event; linked words of the page's own weigh as words whatever was learnt, and its tags lose no more than unseen ones."""
+    out = []
+    for kind, (what, x, *_), own in zip(kinds(seq), seq, own_links(seq)):
+        w = weights[kind] if what == "text" else weights.get(kind, UNSEEN)
+        if own and (what != "text" or kind == "word linked"):
+            w = max(w, OWN if what == "text" else UNSEEN)
+        out.append(len(x.split()) * w if what == "text" else w)
+    return out
+
+
 def best_region(scores: list[float]) -> tuple[int, int]:
     """First and last + 1 of the contiguous stretch of the highest sum; (0, 0) if no score is positive.  Of equal sums the longer, then the first."""
     best, where = 0.0, (0, 0)
@@ -232,8 +262,7 @@ def main_text(html: str | None, weights: dict[str, float]) -> str:
     if not html:
         return ""
     seq = list(events(html))
-    scores = [len(x.split()) * weights[kind] if what == "text" else weights.get(kind, UNSEEN) for kind, (what, x, *_) in zip(kinds(seq), seq)]
-    first, last = best_region(scores)
+    first, last = best_region(scored(seq, weights))
     blocks: list[str] = []
     now: list[str] = []
     for kind, x, bad, _ in seq[first:last]:

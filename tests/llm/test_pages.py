@@ -53,6 +53,17 @@ def test_everyday_names_in_an_article_lose_nothing():
         assert main_text(page(TEXT + part + TEXT), W) == f"{WANT}\nHow we looked.\n{WANT}", part
 
 
+def test_linked_titles_and_link_only_last_blocks_stay():
+    menus = page("<div>" + "<a href=x>Menu entry</a>" * 30 + f"</div><article>{TEXT}</article>")
+    for weights in (W, learn_weights([menus] * 40)):
+        for title in ("<h1><a href=x>Title</a></h1>", "<a href=x><h1>Title</h1></a>"):
+            assert main_text(page(title + TEXT), weights) == "Title\n" + WANT, title
+            assert main_text(page(f"<article>{title}{TEXT}</article>"), weights) == "Title\n" + WANT, title
+        for last, want in (("<p><a href=x>Source one</a></p>", "Source one"), ("<ul><li><a href=x>One</a></li><li><a href=y>Two more</a></li></ul>", "One\nTwo more")):
+            assert main_text(page(f"<article>{TEXT}{last}</article><div>after</div>"), weights) == f"{WANT}\n{want}", last
+        assert main_text(page(TEXT + "<h2><a href=x>Sources</a></h2>"), weights) == WANT + "\nSources"
+
+
 def test_references_space_and_broken_markup():
     assert main_text(page("<p>a &amp; b&nbsp;&lt;c&gt; &eacute;\n\t d<b>e</b>f<br>g</p><p>h < i"), W) == "a & b <c> é def g\nh < i"
     assert main_text("just words", W) == "just words"
