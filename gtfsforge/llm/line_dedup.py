@@ -35,7 +35,8 @@ def spread_lines(lines: DataFrame, min_sites: int, sigmas: float = 5.0) -> DataF
     low, high = min_sites * (1 - sigmas * ERROR), min_sites * (1 + sigmas * ERROR)
     spread = durable(
         lines.groupBy("h1", "h2").agg(
-            F.hll_sketch_agg("site", LG_K).alias("sites"), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rk", "pos")).alias("first"),
+            # with a letter before it, as the sketch leaves out empty strings
+            F.hll_sketch_agg(F.concat(F.lit("s"), "site"), LG_K).alias("sites"), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rk", "pos")).alias("first"),
         )
         .select("h1", "h2", "first", F.hll_sketch_estimate("sites").alias("estimate")).where(F.col("estimate") >= low)
     )

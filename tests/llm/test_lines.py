@@ -20,6 +20,13 @@ def test_against_sql(spark, make_docs, against_sql):
     assert got == want
 
 
+def test_an_empty_source_is_a_site(spark, make_docs, against_sql):
+    docs = make_docs(rows() + [(500 + i, f"on five sites with an empty one\nown line number {i}", None, s) for i, s in enumerate(["", "a", "b", "c", "d"])])
+    got, want = against_sql(spark, op5_line_dedup, SQL_LINES, documents=docs)
+    assert got == want
+    assert {r.doc_id: r.n_removed for r in line_dedup(docs).where("doc_id >= 500").collect()} == {500: 0, 501: 1, 502: 1, 503: 1, 504: 1}
+
+
 def test_first_occurrence_stays_and_clean_documents_are_left(spark, make_docs):
     out = {r.doc_id: r for r in line_dedup(make_docs(rows())).collect()}
     assert out[0].n_removed == 0 and FOOT in out[0].text
