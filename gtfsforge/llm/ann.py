@@ -30,7 +30,7 @@ BLOCK, PART = 16384, 4096
 #: Neighbours that the graph joins a sampled vector with, and units of the hidden layer.
 DEGREE, HIDDEN = 10, 64
 #: Share of the sample's neighbours that the probed parts must hold.
-RECALL = 0.95
+RECALL = 0.97
 
 
 def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from gtfsforge.llm.ann import balanced_parts, nearest, neighbour_graph
+from gtfsforge.llm.ann import RECALL, balanced_parts, fit, nearest, neighbour_graph
 from gtfsforge.llm.mips import top_inner_products
 from gtfsforge.llm.queries_vectors import SQL_TOP, op2_learned_partitions, op9_top_inner_products
 from pyspark.sql import functions as F
@@ -87,6 +87,16 @@ def test_recall_over_several_parts(spark):
     assert hit / n >= 0.9
 
 
+def test_probes_hold_the_stated_share_of_held_out_neighbours():
+    x = np.random.default_rng(5).normal(size=(2000, 16))
+    router, probes = fit(x, 40, 10, RECALL)
+    held = np.arange(len(x)) % 8 == 0
+    near = np.argsort(-(x[held] @ x[~held].T), axis=1)[:, :10]
+    asked = np.argsort(-router.scores(x[held]), axis=1)[:, :probes]
+    found = (router.scores(x[~held]).argmax(1)[near][:, :, None] == asked[:, None, :]).any(2)
+    assert found.mean() >= 0.97
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(1000, 8)) + np.repeat(rng.normal(size=(4, 8)) * 3, (700, 100, 100, 100), axis=0)
