@@ -27,6 +27,8 @@ from .vectors import classes, common_length, finite, in_order_products, matrix,
 SAMPLE = 4096
 #: Vectors of a block, and about how many there are in a part while parts can still grow in number.
 BLOCK, PART = 16384, 4096
+#: Pairs of a query and a candidate that are scored in order at once, about.
+PAIRS = 1 << 16
 #: Neighbours that the graph joins a sampled vector with, and units of the hidden layer.
 DEGREE, HIDDEN = 10, 64
 #: Share of the sample's neighbours that the probed parts must hold.
@@ -176,16 +178,29 @@ def _block_best(k: int, d: int):
             return schema.empty_table()
         cands = cands.sort_by("low")
         c, cid = matrix(cands.column("v"), d), cands.column("cid").to_numpy()
-        take = min(len(c), k + 9)  # a few more, for sums that round differently
+        take = min(len(c), k + 1)
+        # two sums of a product differ by at most d * eps of the lengths, so what may be among the best is within twice that
+        slack = 2 * d * np.finfo(np.float64).eps * np.sqrt((c**2).sum(1).max())
         out = []
         for at in range(0, queries.num_rows, 512):
             part = queries.slice(at, 512)
             q, qid = matrix(part.column("v"), d), part.column("qid").to_numpy()
             s = q @ c.T
-            pick = np.sort(np.argpartition(-s, take - 1, axis=1)[:, :take], axis=1)
-            exact = in_order_products(q[:, None, :], c[pick])
-            best = np.argsort(-exact, axis=1, kind="stable")[:, : k + 1]  # ties: the smaller id, as candidates are sorted
-            out.append(pa.table([np.repeat(qid, best.shape[1]), cid[np.take_along_axis(pick, best, 1)].ravel(), np.take_along_axis(exact, best, 1).ravel()], schema=schema))
+            least = -np.partition(-s, take - 1, axis=1)[:, take - 1] - slack * np.sqrt((q**2).sum(1))
+            maybe = ~(s < least[:, None])
+            # as many queries at once as keep the products small
+            ends = np.cumsum(maybe.sum(1))
+            begin = 0
+            while begin < len(q):
+                to = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PAIRS, side="right")))
+                i, j = np.nonzero(maybe[begin:to])
+                exact = in_order_products(q[begin + i], c[j])
+                order = np.lexsort((j, -exact, i))  # ties: the smaller id, as candidates are sorted
+                i = i[order]
+                order = order[np.arange(len(i)) - np.searchsorted(i, i) < take]
+                j, exact = j[order], exact[order]
+                out.append(pa.table([np.repeat(qid[begin:to], take), cid[j], exact], schema=schema))
+                begin = to
         return pa.concat_tables(out)
 
     return run

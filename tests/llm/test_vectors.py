@@ -97,6 +97,17 @@ def test_probes_hold_the_stated_share_of_held_out_neighbours():
     assert found.mean() >= 0.97
 
 
+def test_many_distinct_vectors_that_tie(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in v], 0) for i, v in zip(rng.permutation(1024).tolist(), np.array(np.meshgrid(*[[-1, 1]] * 10)).reshape(10, -1).T)]
+    want = {}
+    for q, v, _ in rows:
+        if q % 20 == 0:
+            want[q] = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w, _ in rows if i != q)[:20]
+    got = rows_of(nearest(spark.createDataFrame(rows, SCHEMA), 20, F.col("vec_id") % 20 == 0))
+    assert got == {(q, n + 1, i, -s) for q, xs in want.items() for n, (s, i) in enumerate(xs)}
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(1000, 8)) + np.repeat(rng.normal(size=(4, 8)) * 3, (700, 100, 100, 100), axis=0)
