@@ -12,6 +12,7 @@ exclusive, over the whole text.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -143,15 +144,21 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn(texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-    """The field's weights from documents whose labels are the patterns' matches; None if nothing matches."""
-    xs, ys, sizes, some, labelled = [], [], [], 0, 0
+    """The field's weights from documents whose labels are the patterns' matches; None if nothing matches.
+
+    Lines without a match are drawn by hash, half of them from documents
+    without any; what one kind of document lacks the other has.
+    """
+    labelled, plain = [], {True: [], False: []}
     for t in texts:
         raw, first = _bytes(pa.array([t]))
         s, e, row, new = tokens(raw, first)
         if not len(s):
             continue
         tag = np.zeros(len(s), np.int8)
-        for a, b in secret_parts(t):
+        parts = list(secret_parts(t))
+        mine, seed = plain[bool(parts)], hashlib.blake2b(raw.tobytes(), digest_size=16).digest()
+        for a, b in parts:
             a, b = len(t[:a].encode()), len(t[:b].encode())
             inside = np.flatnonzero((s >= a) & (e <= b))
             if len(inside):
@@ -166,13 +173,21 @@ def learn(texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
                 b = min(b, a + WINDOW)
                 if tag[a] == crf.INSIDE:
                     tag[a] = crf.BEGIN
-            if len(sizes) < LINES and (len(hits) or len(sizes) - labelled < LINES // 2):
-                labelled += len(hits) > 0
-                xs.append(x[a:b]), ys.append(tag[a:b]), sizes.append(b - a)
-                some += len(hits)
-    if not some:
+            if len(hits):
+                if len(labelled) < LINES:
+                    labelled.append((x[a:b].copy(), tag[a:b]))
+            else:
+                drawn = hashlib.blake2b(int(a).to_bytes(8, "big"), key=seed, digest_size=8).digest()
+                mine.append((drawn, x[a:b].copy(), tag[a:b]))
+        mine.sort(key=lambda r: r[0])
+        del mine[LINES // 2 :]
+    if not labelled:
         return None
-    return crf.train(np.concatenate(xs).astype(np.float64), np.concatenate(ys), np.array(sizes))
+    few, many = sorted(plain.values(), key=len)
+    few = few[: LINES // 4]
+    drawn = [r[1:] for r in few + many[: LINES // 2 - len(few)]]
+    xs, ys = zip(*labelled[: LINES - len(drawn)], *drawn)
+    return crf.train(np.concatenate(xs).astype(np.float64), np.concatenate(ys), np.array([len(y) for y in ys]))
 
 
 def added_spans(texts: pa.Array, model, base: list[list]) -> Iterator[tuple[int, int, int]]:

@@ -58,6 +58,19 @@ def test_field_finds_secrets_by_itself_and_leaves_prose():
     assert list(secrets.added_spans(pa.array(new[:1]), model, [[("hex", 0, len(new[0]))]])) == []
 
 
+def test_clean_documents_teach_however_many_have_secrets(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(crf, "train", lambda x, tags, lengths: seen.update(x=x, tags=tags, lengths=lengths))
+    line = lambda i, j: f"plain words of line {'abcdefghij'[j % 10]} and {'abcdefghij'[i % 10]}\n"
+    for secret, clean, want in ((400, 400, 375), (400, 20, 200), (10, 400, 650)):
+        texts = ["".join(line(i, j) for j in range(10)) + f'token = "{i:040x}"' for i in range(secret)] + ["".join(line(i, j) for j in range(10)) for i in range(clean)]
+        secrets.learn(texts)
+        first = np.cumsum(seen["lengths"]) - seen["lengths"]
+        hits = np.maximum.reduceat(seen["tags"], first) > 0
+        named = seen["x"][first, 37] > 0  # a file that names secrets
+        assert hits.sum() == secret and (~hits).sum() == 750 and (~named).sum() == want
+
+
 def test_viterbi_is_the_best_of_all_taggings():
     import itertools
 
