@@ -7,7 +7,8 @@ spread line stays where it first occurs (smallest id, then position) and is
 removed everywhere else.  Only DataFrame functions are used.
 
 A line is what lies between newlines, compared without white space at its
-ends; lines of fewer than `min_words` words are never removed.  A null site is
+ends; lines without a word, or of fewer than `min_words` words where that is
+asked for, are never removed.  A null site is
 no site.  Null texts stay null, texts without spread lines stay as they are,
 a text that loses all its lines becomes empty.  Rows with equal id, site and
 text are one document and get the same text.
@@ -18,12 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, word_count
+from .common import durable, id_bound, word_count
 
 #: log2 of the sketch's buckets, and its relative standard error.
 LG_K = 12
 ERROR = 1.04 / 2 ** (LG_K / 2)
 BLANK = " \t\r\v\f"
+#: At most so many spread lines are broadcast (under 100 bytes each); beyond, a shuffle join that splits frequent lines is used.
+BROADCAST_LINES = 300_000
 
 
 def _key(id_col: str, site_col: str, text_col: str) -> Column:
@@ -49,7 +52,7 @@ def spread_lines(lines: DataFrame, min_sites: int, sigmas: float = 5.0) -> DataF
     return spread.where(F.col("estimate") >= high).unionByName(near).select("h1", "h2", "first")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = 5, min_words: int = 3) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = 5, min_words: int = 1) -> DataFrame:
     """docs with the cleaned text in text_col, and n_lines and n_removed (these names replace columns of docs)."""
     key = _key(id_col, site_col, text_col)
     lines = docs.select(
@@ -61,15 +64,16 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = durable(lines.select("doc_id", "site", "rk", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")))
     found = durable(spread_lines(lines, min_sites))
     removed = (
-        lines.join(found, ["h1", "h2"])
-        .where((F.col("rk") != F.col("first.rk")) | (F.col("pos") != F.col("first.pos")))
-        .groupBy("rk").agg(F.collect_set("pos").alias("gone"))
+        lines.join(F.broadcast(found) if id_bound(found, BROADCAST_LINES) else found, ["h1", "h2"])
+        .where(~((F.col("rk") == F.col("first.rk")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
+        .groupBy("rk", "doc_id").agg(F.collect_set("pos").alias("gone"))  # the key and the id, so that two rows don't meet by chance
     )
     out = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     every = F.split(F.col(f"d.{text_col}"), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("r.gone"))
     text = F.when(F.col("r.gone").isNull(), F.col(f"d.{text_col}")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(every, i)), "\n"))
-    joined = docs.select(*out, key.alias("__rk")).alias("d").join(removed.alias("r"), F.col("d.__rk") == F.col("r.rk"), "left")
+    same = (F.col("d.__rk") == F.col("r.rk")) & F.col("d.__id").eqNullSafe(F.col("r.doc_id"))
+    joined = docs.select(*out, key.alias("__rk"), F.col(id_col).cast("long").alias("__id")).alias("d").join(removed.alias("r"), same, "left")
     return joined.select(
         *[(text if c == text_col else F.col(f"d.`{c}`")).alias(c) for c in out],
         F.when(F.col(f"d.{text_col}").isNull(), 0).otherwise(F.size(every)).cast("long").alias("n_lines"),

@@ -25,7 +25,7 @@ from .common import durable, id_bound, word_count
 WEIGHTS = (5, 2, 1)
 #: At most so many sources are broadcast (about 100 bytes each); beyond, a shuffle join that splits large sources is used.
 BROADCAST_SOURCES = 50_000
-#: At most so many row keys with their copies are broadcast (12 bytes each).
+#: At most so many row keys with their copies are broadcast (20 bytes each).
 BROADCAST_ROWS = 500_000
 
 
@@ -86,11 +86,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
     Rows of equal id, text and source are one document, taken as often as all of them.
     """
-    taken = mix(docs, id_col, text_col, source_col, **how).groupBy("rk").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
-    taken = durable(taken.select(F.col("rk").alias("__rk"), F.col("copies").alias("__copies")))
-    keyed = docs.withColumn("__rk", row_key(id_col, text_col, source_col))
-    one = Window.partitionBy("__rk").orderBy(*[c for c in docs.columns if c != text_col])
-    rows = keyed.join(F.broadcast(taken) if id_bound(taken, BROADCAST_ROWS) else taken, "__rk")
+    taken = mix(docs, id_col, text_col, source_col, **how).groupBy("rk", "doc_id").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
+    taken = durable(taken.select(F.col("rk").alias("__taken"), F.col("doc_id").alias("__of"), F.col("copies").alias("__copies")))
+    # the key and the id, so that two rows don't meet by chance
+    keyed = docs.withColumns({"__rk": row_key(id_col, text_col, source_col), "__id": F.col(id_col).cast("long")})
+    one = Window.partitionBy("__rk", "__id").orderBy(*[c for c in docs.columns if c != text_col])
+    taken = F.broadcast(taken) if id_bound(taken, BROADCAST_ROWS) else taken
+    rows = keyed.join(taken, (F.col("__rk") == F.col("__taken")) & F.col("__id").eqNullSafe(F.col("__of")))
     rows = rows.withColumn("__n", F.row_number().over(one)).where("__n = 1")
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 

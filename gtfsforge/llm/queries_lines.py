@@ -21,7 +21,7 @@ k AS (
   SELECT doc_id, source, pos, line, trim(line, concat(' ', chr(9), chr(13), chr(11), chr(12))) AS bare FROM l),
 b AS (
   SELECT bare, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM k
-  WHERE len(regexp_extract_all(bare, '[^\x20\x09-\x0D]+')) >= 3
+  WHERE bare <> ''
   GROUP BY bare HAVING count(DISTINCT source) >= 5),
 m AS (
   SELECT k.doc_id, k.pos, k.line, b.bare IS NOT NULL AND (k.doc_id <> b.first.doc_id OR k.pos <> b.first.pos) AS gone

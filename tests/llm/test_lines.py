@@ -33,7 +33,10 @@ def test_first_occurrence_stays_and_clean_documents_are_left(spark, make_docs):
     assert out[1].text == "own line number 1\nlast words of 1"
     assert out[100].text == "shared by four sites only" and out[203].text == "" and out[203].n_removed == 2
     assert out[300].text is None and out[301].text == "" and out[302].text == "\n\n" and out[304].text == "two words"
-    assert out[400].n_removed == 0 and out[401].text == "two words"
+    # short lines too: 304 has the first of six sites
+    assert out[400].text == "exactly five sites here" and out[401].text == "" and out[401].n_removed == 2
+    kept = {r.doc_id: r.text for r in line_dedup(make_docs(rows()), min_words=3).collect()}
+    assert kept[400] == "exactly five sites here\ntwo words" and kept[401] == "two words"
 
 
 def test_near_threshold_lines_are_counted_exactly(spark):
