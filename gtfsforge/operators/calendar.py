@@ -2,7 +2,8 @@
 
 Date ranges are expanded with ``explode(sequence(...))`` only after the
 service keys are de-duplicated (a schedule has one row per journey in the
-source), so the explosion is (services x days), never (journeys x days).
+source), their ranges are united and cut to the version's days, so the
+explosion is (services x days that count), never (journeys x days).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gtfsforge.functions.timeofday import yyyymmdd
 from gtfsforge.operators.first import first_per, key, union_distinct
+from gtfsforge.operators.intervals import interval_join, merged_ranges
 
 
 def _c(c) -> Column:
@@ -48,70 +50,57 @@ SERVICE7 = ["version", "dataownercode", "timetableversioncode", "organizationalu
             "specificdaycode"]
 
 
-def _periods(pegrval: DataFrame, tive: DataFrame, pujo: DataFrame, with_daytype: bool) -> DataFrame:
-    """Distinct (service, validity range) rows: period group validity x timetable version x journeys."""
-    pv = pegrval.select("version", "dataownercode", "organizationalunitcode", "periodgroupcode",
-                        F.col("validfrom").alias("pv_from"), F.col("validthru").alias("pv_thru"))
-    tv = tive.select("version", "dataownercode", "organizationalunitcode", "timetableversioncode", "periodgroupcode",
-                     "specificdaycode", F.col("validthru").alias("tv_thru"))
-    cols = SERVICE7 + (["daytype"] if with_daytype else [])
-    # the journey join omits the organisational unit, as the source does
-    pj = pujo.select("version", "dataownercode", "timetableversioncode", "periodgroupcode", "specificdaycode",
-                     *(["daytype"] if with_daytype else [])).distinct()
-    return (
-        pv.join(tv, ["version", "dataownercode", "organizationalunitcode", "periodgroupcode"])
-        .join(pj, ["version", "dataownercode", "timetableversioncode", "periodgroupcode", "specificdaycode"])
-        .select(*cols, F.col("pv_from").alias("validfrom"), F.coalesce("tv_thru", "pv_thru").alias("validthru"))
-        .distinct()
-    )
+#: What an exception day belongs to.
+SCOPE = ["version", "dataownercode", "organizationalunitcode"]
+
+
+def service_ranges(pegrval: DataFrame, tive: DataFrame, pujo: DataFrame, version: DataFrame, as_of: str) -> DataFrame:
+    """Service, day type and the disjoint ranges of days on which it may run.
+
+    A service is named by its journeys, their organisational unit included.  Its
+    timetable version and the period's validity agree on the unit between
+    themselves; journeys are found by version, owner, timetable version, period
+    group and specific day alone.  An open end is the first day; days outside
+    the version's validity or before the day before ``as_of`` don't count.
+    """
+    period = ["version", "dataownercode", "organizationalunitcode", "periodgroupcode"]
+    run = ["version", "dataownercode", "timetableversioncode", "periodgroupcode", "specificdaycode"]
+    pv = pegrval.select(*period, F.col("validfrom").alias("first"), F.col("validthru").alias("p_last"))
+    tv = tive.select(*period, "timetableversioncode", "specificdaycode", F.col("validthru").alias("t_last"))
+    spans = pv.join(tv, period).select(*run, "first", F.coalesce("t_last", "p_last", "first").alias("last")).distinct()
+    v = version.where("validfrom is not null and validthru is not null").select(
+        "version", "dataownercode", F.greatest("validfrom", F.date_sub(F.lit(as_of).cast("date"), 1)).alias("v_first"), F.col("validthru").alias("v_last"))
+    spans = spans.join(v, ["version", "dataownercode"]).select(*run, F.greatest("first", "v_first").alias("validfrom"), F.least("last", "v_last").alias("validthru"))
+    services = pujo.select(*SERVICE7, "daytype").distinct()
+    return merged_ranges(services.join(spans.where("validfrom <= validthru"), run), [*SERVICE7, "daytype"], "validfrom", "validthru")
 
 
-def _in_version(df: DataFrame, version: DataFrame, date: str = "date") -> DataFrame:
-    v = version.select("version", "dataownercode", F.col("validfrom").alias("v_from"), F.col("validthru").alias("v_thru"))
-    return df.join(v, ["version", "dataownercode"]).filter(F.col(date).between(F.col("v_from"), F.col("v_thru"))).drop(
-        "v_from", "v_thru")
+def _exceptions(excopday: DataFrame) -> DataFrame:
+    """Exception days by version, owner and unit, and the weekday whose service they run."""
+    return excopday.select(*SCOPE, F.to_date("validdate").alias("date"), F.substring(F.col("daytypeason").cast("string"), 1, 1).alias("runs_as")).distinct()
+
+
+def _dates(days: DataFrame) -> DataFrame:
+    return days.select(key(*SERVICE7, "daytype").alias("service_id"), yyyymmdd("date").alias("date"), F.lit(1).alias("exception_type"))
 
 
 def calendar_regular(pegrval, tive, pujo, version, excopday, as_of: str) -> DataFrame:
-    """Regular days of every drive-time service (O-C3).
+    """Regular days of every drive-time service, one row per (service, day) (O-C3).
 
-    Dates of the validity range whose weekday is in the day type, inside the
-    version's validity, not an exception day of another day type, and not
-    before the day before ``as_of``.
+    Days of its ranges whose weekday is in the day type, but for its version's,
+    owner's and unit's exception days that run as another weekday.
     """
-    cal = explode_range(_periods(pegrval, tive, pujo, True), "validfrom", "validthru", "date")
-    cal = cal.filter(runs_on("daytype", "date")).filter(F.col("date") >= F.date_sub(F.lit(as_of).cast("date"), 1))
-    cal = _in_version(cal, version)
-    # exception days whose own day type is another weekday block every service that day
-    foreign = (
-        excopday.select(F.to_date("validdate").alias("date"),
-                        F.substring(F.col("daytypeason").cast("string"), 1, 1).alias("dta"))
-        .filter(F.instr("dta", iso_dow("date").cast("string")) == 0)
-        .select("date")
-        .distinct()
-    )
-    cal = cal.join(foreign, "date", "left_anti")
-    return cal.select(key(*SERVICE7, "daytype").alias("service_id"), yyyymmdd("date").alias("date"),
-                      F.lit(1).alias("exception_type"))
+    days = explode_range(service_ranges(pegrval, tive, pujo, version, as_of), "validfrom", "validthru", "date").filter(runs_on("daytype", "date"))
+    other = _exceptions(excopday).filter(F.col("runs_as") != iso_dow("date").cast("string"))
+    return _dates(days.join(other.select(*SCOPE, "date").distinct(), [*SCOPE, "date"], "left_anti"))
 
 
 def calendar_exception(pegrval, tive, pujo, version, excopday, as_of: str) -> DataFrame:
-    """Exception days (O-C4): a date in EXCOPDAY runs the day type of the
-    service whose digits contain the exception's day type."""
-    days = explode_range(_periods(pegrval, tive, pujo, False), "validfrom", "validthru", "date")
-    exc = excopday.select(F.to_date("validdate").alias("date"),
-                          F.substring(F.col("daytypeason").cast("string"), 1, 1).alias("dta")).distinct()
-    daytypes = pujo.select(*[c for c in SERVICE7], "daytype").distinct()
-    x = (
-        days.join(exc, "date")
-        .join(daytypes, SERVICE7)
-        .filter(F.instr("daytype", F.col("dta")) > 0)
-        .filter(F.col("date") >= F.date_sub(F.lit(as_of).cast("date"), 1))
-    )
-    x = _in_version(x, version)
-    # one row per (service, day): the source only ever uses this inside a UNION
-    return x.select(key(*SERVICE7, "daytype").alias("service_id"), yyyymmdd("date").alias("date"),
-                    F.lit(1).alias("exception_type")).distinct()
+    """Exception days, one row per (service, day) (O-C4): a day in EXCOPDAY runs
+    the services of its version, owner and unit whose day type has its weekday."""
+    ranges = service_ranges(pegrval, tive, pujo, version, as_of)
+    days = interval_join(_exceptions(excopday), ranges, SCOPE, "date", "validfrom", "validthru")
+    return _dates(days.filter(F.instr("daytype", F.col("runs_as")) > 0)).distinct()
 
 
 def calendar_union(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -1,11 +1,11 @@
 """Version merge, purge and orphan removal for timetable deliveries (O-V1..O-V10).
 
 A delivery is staged as DataFrames with the base schema; merge policies are
-anti-joins against the base.  Interval overwrites (O-V3/O-V4) would join on a
-low-cardinality key (organisational unit, owner) plus a date range, which puts
-a whole owner in one task; instead the staged ranges are expanded to days
-(bounded by the range length) and the delete is an equi anti-join on
-(unit, owner, day), spread over all tasks.
+anti-joins against the base.  Interval overwrites (O-V3/O-V4) are interval
+anti-joins (O-J5), which spread an owner's days over all tasks.
+
+``merge_tables`` merges a whole delivery: OPERDAY decides, and what loses its
+last operating day goes from every table below (``keygraph``).
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gtfsforge.operators.calendar import explode_range
 from gtfsforge.operators.first import latest, union_all
+from gtfsforge.operators.intervals import interval_join
+from gtfsforge.operators.keygraph import KV1_GRAPH, SCHED_KEY, cascade_all, load_order
 
-SCHED_KEY = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode"]
 UNIT = ["organizationalunitcode", "dataownercode"]
 
 
@@ -44,16 +44,10 @@ def clip_before_schedule(operday_d: DataFrame, schedvers: DataFrame) -> DataFram
 def overwrite_range(base: DataFrame, schedvers_d: DataFrame, unit_match: bool = False) -> DataFrame:
     """Delete base days inside any staged [validfrom, validthru] of the same unit/owner (O-V3, O-V4).
 
-    ``unit_match`` adds the unit code to the key (HTM).  Ranges are cut to the
-    days that the base has, so an open end makes no more days than that.
+    ``unit_match`` adds the unit code to the key (HTM).
     """
     keys = UNIT + (["unitcode"] if unit_match else [])
-    ends = base.agg(F.min("validdate").alias("a"), F.max("validdate").alias("b"))
-    staged = schedvers_d.where("validfrom is not null and validthru is not null")
-    staged = staged.select(*keys, F.greatest("validfrom", ends.select("a").scalar()).alias("validfrom"),
-                                F.least("validthru", ends.select("b").scalar()).alias("validthru"))
-    days = explode_range(staged, "validfrom", "validthru", "validdate")
-    return base.join(days.select(*keys, "validdate").distinct(), keys + ["validdate"], "left_anti")
+    return interval_join(base, schedvers_d, keys, "validdate", "validfrom", "validthru", "anti")
 
 
 def overwrite_days(base: DataFrame, delta: DataFrame) -> DataFrame:
@@ -79,11 +73,32 @@ POLICIES = {
 
 
 def merge(base: DataFrame, delta: DataFrame, schedvers_d: DataFrame | None, policy: str) -> DataFrame:
-    """Apply a delete policy, then append the staged rows (O-V6b)."""
+    """Apply a delete policy to one table, then append the staged rows."""
     kept = POLICIES[policy](base, delta, schedvers_d).select(*base.columns)
     return union_all(kept, delta.select(*base.columns))
 
 
+def merge_tables(base: dict[str, DataFrame], staged: dict[str, DataFrame], policy: str, graph=KV1_GRAPH) -> dict[str, DataFrame]:
+    """A whole delivery merged into a base, tables in load order (O-V6b).
+
+    The policy deletes base days; schedules that had days and have none left
+    after the merge are removed, with all rows that refer to them, level by
+    level.  Then the staged rows of every table are appended.  A table that only
+    one side has is taken from it.
+    """
+    old = base["operday"]
+    days = merge(old, staged["operday"], staged.get("schedvers"), policy) if "operday" in staged else old
+    lost = old.select(*SCHED_KEY).distinct().join(days.select(*SCHED_KEY).distinct(), SCHED_KEY, "left_anti")
+    kept = cascade_all({k: df for k, df in base.items() if k != "operday"}, graph, {"schedvers": lost}) | {"operday": days}
+    out = {}
+    for name in load_order(graph, {*base, *staged}):
+        parts = [kept[name]] if name in kept else []
+        if name in staged and name != "operday":
+            parts.append(staged[name].select(*kept[name].columns) if name in kept else staged[name])
+        out[name] = union_all(*parts)
+    return out
+
+
 def purge(version: DataFrame, operday: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
     """Set validthru = last operating day per version; versions ending before
     yesterday (or without days) are purged (O-V7).  Returns (kept, purged)."""
@@ -99,10 +114,17 @@ def cascade(child: DataFrame, purged: DataFrame, on=("version", "dataownercode")
     return child.join(purged.select(*on), list(on), "left_anti")
 
 
-def withdraw(tables: dict[str, DataFrame], version: DataFrame, filenames: DataFrame) -> dict[str, DataFrame]:
+def purge_tables(tables: dict[str, DataFrame], as_of: str, graph=KV1_GRAPH) -> tuple[dict[str, DataFrame], DataFrame, bool]:
+    """(tables without expired versions, the purged versions, whether there are any) (O-V7)."""
+    kept, gone = purge(tables["version"], tables["operday"], as_of)
+    below = cascade_all({k: df for k, df in tables.items() if k != "version"}, graph, {}, {"version": gone})
+    return {"version": kept, **below}, gone, not gone.isEmpty()
+
+
+def withdraw(tables: dict[str, DataFrame], version: DataFrame, filenames: DataFrame, graph=KV1_GRAPH) -> dict[str, DataFrame]:
     """Withdraw unpublished deliveries by file name, cascading to every table (O-V8)."""
-    gone = version.join(filenames.select("filename"), "filename", "left_semi").select("version", "dataownercode")
-    return {k: cascade(df, gone) for k, df in tables.items()}
+    gone = version.join(filenames.select("filename"), "filename", "left_semi")
+    return cascade_all(tables, graph, {}, {"version": gone})
 
 
 def drop_orphans(df: DataFrame, operday: DataFrame, keys=SCHED_KEY) -> DataFrame:

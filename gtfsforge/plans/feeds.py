@@ -1,10 +1,9 @@
 """Whole GTFS exports: the builders of one input family written as one feed.
 
-Each function writes every GTFS file of a feed under ``out_dir/<name>/``
-(part files with a header, NULL as an empty field).  Small tables go out as a
-single file; trips and stop_times are range-partitioned and sorted so that the
-part files together are in (trip_id[, stop_sequence]) order, as the source's
-ORDER BY exports are.  Agency and feed_info, a few rows each, are one file.  Long derivations are cut with a reliable checkpoint in
+Each function writes every GTFS file of a feed as ``out_dir/<name>.txt``, a
+header and the rows, NULL as an empty field (``sinks.write_gtfs``).  Tables with
+a key are in its order, and rows that repeat one go to ``rejected/``; each
+table is derived once.  Long derivations are cut with a reliable checkpoint in
 the cluster's checkpoint folder before they fan out into several files.
 """
 
@@ -15,45 +14,38 @@ from pyspark.sql import DataFrame
 from gtfsforge import sinks
 from gtfsforge.operators import calendar as cal
 from gtfsforge.operators import timegroups as tg
-from gtfsforge.operators.quality import pk_violations
 from gtfsforge.plans import gtfs_iff as iff
 from gtfsforge.plans import gtfs_kv1 as kv1
 from gtfsforge.plans import gtfs_pas as pas
 from gtfsforge.session import cut_lineage
 
 
-#: Keys that a feed's files must not repeat.
+#: Keys that a feed's files must not repeat, and the order of the others.
 KEYS = {"agency": ["agency_id"], "stops": ["stop_id"], "routes": ["route_id"], "trips": ["trip_id"], "stop_times": ["trip_id", "stop_sequence"]}
+ORDER = {"calendar_dates": ["service_id", "date"], "shapes": ["shape_id", "shape_pt_sequence"]}
 
 
-def _write(out_dir: str, files: dict[str, tuple[DataFrame, bool]]) -> None:
-    """Each file of a feed; before it, where it has a key, the keys that it repeats (``<name>_repeated_keys``, empty if none)."""
-    for name, (df, small) in files.items():
-        if name in KEYS:
-            sinks.write_gtfs(pk_violations(df, KEYS[name]), out_dir, f"{name}_repeated_keys", single_file=False)
-        if name == "trips":
-            df = sinks.sorted_for_output(df, ["trip_id"])
-        elif name == "stop_times":
-            df = sinks.sorted_for_output(df, ["trip_id", "stop_sequence"])
-        sinks.write_gtfs(df, out_dir, name, single_file=small)
+def _write(out_dir: str, tables: dict[str, DataFrame]) -> None:
+    for name, df in tables.items():
+        sinks.write_gtfs(df, out_dir, name, sort=KEYS.get(name) or ORDER.get(name), key=KEYS.get(name))
 
 
 def write_kv1_passing_feed(t: dict[str, DataFrame], out_dir: str, as_of: str, publisher: tuple[str, str]) -> None:
     """KV1 passing-time feed: agency, feed_info, stops, routes, calendar_dates, trips, stop_times, shapes."""
     routes = kv1.routes_kv1(t)
     files = {
-        "agency": (kv1.agency_kv1(routes), True),
-        "feed_info": (kv1.feed_info(t["operday"], as_of, publisher), True),
-        "stops": (kv1.stops_kv1(t), False),
-        "routes": (routes, False),
-        "calendar_dates": (kv1.calendar_operday(t["operday"]), False),
-        "trips": (kv1.trips_passing(t), False),
-        "stop_times": (kv1.stop_times_passing(t), False),
+        "agency": kv1.agency_kv1(routes),
+        "feed_info": kv1.feed_info(t["operday"], as_of, publisher),
+        "stops": kv1.stops_kv1(t),
+        "routes": routes,
+        "calendar_dates": kv1.calendar_operday(t["operday"]),
+        "trips": kv1.trips_passing(t),
+        "stop_times": kv1.stop_times_passing(t),
     }
     if "pool" in t and "point_all" in t:
-        files["shapes"] = (kv1.shapes(t), False)
+        files["shapes"] = kv1.shapes(t)
     else:
-        files["shapes"] = (sinks.empty_gtfs(t["pujopass"].sparkSession, "shapes"), True)
+        files["shapes"] = sinks.empty_gtfs(t["pujopass"].sparkSession, "shapes")
     _write(out_dir, files)
 
 
@@ -69,14 +61,14 @@ def write_kv1_drivetime_feed(t: dict[str, DataFrame], link: DataFrame, out_dir:
     regular = cal.calendar_regular(t["pegrval"], t["tive"], t["pujo"], t["version"], t["excopday"], as_of)
     exception = cal.calendar_exception(t["pegrval"], t["tive"], t["pujo"], t["version"], t["excopday"], as_of)
     _write(out_dir, {
-        "feed_info": (kv1.feed_info(t["version"], as_of, publisher, date_col="validfrom", end_col="validthru"), True),
-        "agency": (kv1.agency_kv1(kv1.routes_drivetime(t)), True),
-        "stops": (kv1.stops_kv1(t), False),
-        "routes": (kv1.routes_drivetime(t), False),
-        "shapes": (kv1.shapes(t) if "pool" in t and "point_all" in t else sinks.empty_gtfs(t["pujo"].sparkSession, "shapes"), False),
-        "calendar_dates": (cal.calendar_union(regular, exception), False),
-        "trips": (kv1.trips_drivetime(t), False),
-        "stop_times": (kv1.stop_times_drivetime(t), False),
+        "feed_info": kv1.feed_info(t["version"], as_of, publisher, date_col="validfrom", end_col="validthru"),
+        "agency": kv1.agency_kv1(kv1.routes_drivetime(t)),
+        "stops": kv1.stops_kv1(t),
+        "routes": kv1.routes_drivetime(t),
+        "shapes": kv1.shapes(t) if "pool" in t and "point_all" in t else sinks.empty_gtfs(t["pujo"].sparkSession, "shapes"),
+        "calendar_dates": cal.calendar_union(regular, exception),
+        "trips": kv1.trips_drivetime(t),
+        "stop_times": kv1.stop_times_drivetime(t),
     })
 
 
@@ -84,15 +76,15 @@ def write_iff_feed(t: dict[str, DataFrame], out_dir: str, as_of: str, publisher:
     """IFF rail feed: agency, feed_info, stops, routes, calendar_dates, trips, stop_times, transfers, empty shapes."""
     spark = t["service"].sparkSession
     _write(out_dir, {
-        "agency": (iff.agency_iff(t), True),
-        "feed_info": (iff.feed_info_iff(t["delivery"], as_of, publisher), True),
-        "stops": (iff.stops_iff(t), False),
-        "routes": (iff.routes_iff(t), False),
-        "calendar_dates": (cal.calendar_footnote(t["footnote"], "NS:"), False),
-        "trips": (iff.trips_iff(t), False),
-        "stop_times": (iff.stop_times_iff(t), False),
-        "transfers": (iff.transfers_iff(t), False),
-        "shapes": (sinks.empty_gtfs(spark, "shapes"), True),
+        "agency": iff.agency_iff(t),
+        "feed_info": iff.feed_info_iff(t["delivery"], as_of, publisher),
+        "stops": iff.stops_iff(t),
+        "routes": iff.routes_iff(t),
+        "calendar_dates": cal.calendar_footnote(t["footnote"], "NS:"),
+        "trips": iff.trips_iff(t),
+        "stop_times": iff.stop_times_iff(t),
+        "transfers": iff.transfers_iff(t),
+        "shapes": sinks.empty_gtfs(spark, "shapes"),
     })
 
 
@@ -100,11 +92,11 @@ def write_pas_feed(t: dict[str, DataFrame], out_dir: str, as_of: str, publisher:
     """PAS metro/tram feed."""
     spark = t["pujo"].sparkSession
     _write(out_dir, {
-        "agency": (pas.agency_pas(spark), True),
-        "feed_info": (pas.feed_info_pas(t["voetnoot"], as_of, publisher), True),
-        "stops": (pas.stops_pas(t["stops"]), False),
-        "routes": (pas.routes_pas(t["pujo"], t["linepublicnumber"]), False),
-        "calendar_dates": (pas.calendar_pas(t["voetnoot"]), False),
-        "trips": (pas.trips_pas(t["pujo"], t["pujopass"], t["stops"]), False),
-        "stop_times": (pas.stop_times_pas(t["pujopass"]), False),
+        "agency": pas.agency_pas(spark),
+        "feed_info": pas.feed_info_pas(t["voetnoot"], as_of, publisher),
+        "stops": pas.stops_pas(t["stops"]),
+        "routes": pas.routes_pas(t["pujo"], t["linepublicnumber"]),
+        "calendar_dates": pas.calendar_pas(t["voetnoot"]),
+        "trips": pas.trips_pas(t["pujo"], t["pujopass"], t["stops"]),
+        "stop_times": pas.stop_times_pas(t["pujopass"]),
     })

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gtfsforge.functions.geo import rd_to_wgs84
 from gtfsforge.functions.timeofday import yyyymmdd
+from gtfsforge.operators.corrections import Rule, correct, of_table
 from gtfsforge.operators.first import first_per, key, union_distinct
 
 # Road / local modes (bus, tram, metro and replacement services); one list for routes and trips.
@@ -25,6 +26,12 @@ BIKE_MODES = ("HSN", "HSI", "NSS", "NSB", "B", "NST")
 COMPANY_BY_MODE = [("TGV", 980), ("THA", 300), ("ES", 999)]
 # Stations given directly in WGS84 (shortname, lon, lat).
 FIXED_STATIONS = [("aixtgv", 5.317222, 43.455), ("mannhe", 8.469858, 49.479633), ("magdeb", 11.627778, 52.130556)]
+# A description in lower case by mistake; service numbers that are missing, before and after the routes.
+RULES = (
+    Rule("trnsmode", "name of the stoptrein", "description = 'stoptrein'", (("description", "'Stoptrein'"),)),
+    Rule("service", "number from the variant", "servicenumber is null", (("servicenumber", "try_cast(variant as int)"),)),
+    Rule("numbered", "no number at all", "servicenumber is null and variant is null", (("servicenumber", "0"),)),
+)
 # Company -> agency url.
 COMPANY_URL = [
     (22, "http://www.gvb.nl"), (911, "http://www.keolis.de"), (500, "http://www.arriva.nl"), (23, "http://www.htm.nl"),
@@ -49,7 +56,7 @@ def companies(company: DataFrame) -> DataFrame:
 
 def modes(trnsmode: DataFrame) -> DataFrame:
     """Delivered transport modes; a description in lower case by mistake is mended."""
-    return trnsmode.select("code", F.when(F.col("description") == "stoptrein", "Stoptrein").otherwise(F.col("description")).alias("description"))
+    return correct(trnsmode.select("code", "description"), of_table(RULES, "trnsmode"))
 
 
 def correct_services(service: DataFrame, transport: DataFrame) -> DataFrame:
@@ -71,14 +78,12 @@ def variant_number(c="variant"):
 
 def routes_numbering(service: DataFrame) -> DataFrame:
     """servicenumber := variant where the number is missing (before routes)."""
-    return service.withColumn("servicenumber", F.coalesce("servicenumber", variant_number()))
+    return correct(service, of_table(RULES, "service"))
 
 
 def number_services(service: DataFrame) -> DataFrame:
     """After routes: servicenumber := variant, then 0 where both are missing."""
-    s = routes_numbering(service)
-    return s.withColumn("servicenumber", F.when(F.col("servicenumber").isNull() & F.col("variant").isNull(), F.lit(0))
-                        .otherwise(F.col("servicenumber")))
+    return correct(service, [*of_table(RULES, "service"), *of_table(RULES, "numbered")])
 
 
 def wildcard_single_mode(transport: DataFrame) -> DataFrame:

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from gtfsforge.functions.geo import rd_to_wgs84
 from gtfsforge.functions.timeofday import yyyymmdd
+from gtfsforge.operators.corrections import Rule, correct
 from gtfsforge.operators.first import first_per, key
 
 # GTFS route_type per PAS modality.
 PAS_ROUTE_TYPE = [("T", 0), ("M", 1), ("B", 3), ("H", 3), ("F", 4)]
-# Stop names that mark depots and sidings, not passenger stops.
-NON_STOP_PATTERNS = ("%Remise%", "%Garage%", "%Opstelspoor%")
-# A stop delivered with a placeholder position and its corrected RD coordinates.
-STOP_FIXES = [("HA3914", 99999, 65869, 442059)]
+# Depots and sidings are no passenger stops; a stop delivered with a placeholder position gets its own.
+STOP_RULES = (
+    Rule("stops", "depots and sidings", "naam like '%Remise%' or naam like '%Garage%' or naam like '%Opstelspoor%'"),
+    Rule("stops", "position of HA3914", "halteid = 'HA3914' and x = 99999", (("x", "65869"), ("y", "442059"))),
+)
 # The PAS agency.
 PAS_AGENCY = ("000024", "RET", "http://www.ret.nl", "Europe/Amsterdam", "nl")
 
@@ -23,16 +25,7 @@ TRIP = ["vervoerdercode", "lijnsysteemnr", "richting", "ritnummer"]
 
 def clean_stops(stops: DataFrame) -> DataFrame:
     """Drop depots/sidings (O-P10, O-P5) and apply position fixes (O-P9)."""
-    cond = None
-    for p in NON_STOP_PATTERNS:
-        c = F.col("naam").like(p)
-        cond = c if cond is None else cond | c
-    out = stops.filter(~cond | F.col("naam").isNull())
-    for hid, bad_x, x, y in STOP_FIXES:
-        hit = (F.col("halteid") == hid) & (F.col("x") == bad_x)
-        out = out.withColumn("y", F.when(hit, F.lit(y)).otherwise(F.col("y"))).withColumn(
-            "x", F.when(hit, F.lit(x)).otherwise(F.col("x")))
-    return out
+    return correct(stops, STOP_RULES)
 
 
 def stops_pas(stops: DataFrame) -> DataFrame:

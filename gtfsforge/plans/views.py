@@ -94,6 +94,13 @@ SELECT {_service('k')},
        true AS dataownerisoperator
 FROM kv_passing_s""")
 
+# the passings of a stored base, and those staged with the delta of operating days
+_view("kv_pujopass_base", ("kv_pujopass",), """
+SELECT p.* FROM kv_pujopass p JOIN {orders} o ON o.o_orderkey = p.journeynumber WHERE o.o_orderstatus <> 'P'""")
+
+_view("kv_pujopass_delta", ("kv_pujopass",), """
+SELECT p.* FROM kv_pujopass p JOIN {orders} o ON o.o_orderkey = p.journeynumber WHERE o.o_orderstatus = 'P'""")
+
 # KV1 LINK: measured distance per stop pair and delivery (several per pair; O-T6 takes the minimum)
 _view("kv_link", ("kv_passing_s",), """
 SELECT CAST(a.k % 3 + 1 AS INT) AS version,

@@ -1,12 +1,11 @@
-"""Delivery folder ingest as Structured Streaming (the loader's folder loop, O-S8, O-V5..O-V6b).
+"""Delivery folder ingest as Structured Streaming (the loader's folder loop, O-S8, O-V3..O-V6b).
 
 A folder of deliveries is a file stream; each micro-batch is one delivery
-(``maxFilesPerTrigger``), merged into the base table with a merge policy.  The
-base table is a row of generations: a batch reads the newest complete one and
-writes the next, data and the list of files merged so far, and completes it
-with a marker.  A generation that is read is never written.  A file in the
-list is left out of a batch, so a replayed epoch, a restart after a lost commit
-or a stream with a fresh checkpoint merges no delivery twice.
+(``maxFilesPerTrigger``), merged into the stored base table with a merge policy
+(``store``), which writes only the partitions that the delivery touches.  A
+file that the base holds is left out of a batch, so a replayed epoch, a restart
+after a lost commit or a stream with a fresh checkpoint merges no delivery
+twice.
 """
 
 from __future__ import annotations
@@ -14,69 +13,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gtfsforge.operators import versions
 from gtfsforge.session import ensure_checkpoint_dir
+from gtfsforge.streaming.store import latest_generation, manifest, merge_batch, merged_files, read_base
 
-MARKER = "_COMPLETE"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def latest_generation(spark: SparkSession, base_dir: str) -> int | None:
-    """Number of the newest generation of the base table that is complete."""
-    p, fs = _fs(spark, base_dir)
-    if not fs.exists(p):
-        return None
-    found = sorted((int(s.getPath().getName()[4:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("gen_")), reverse=True)
-    return next((g for g in found if fs.exists(_fs(spark, f"{_folder(base_dir, g)}/{MARKER}")[0])), None)
-
-
-def _folder(base_dir: str, generation: int) -> str:
-    return f"{base_dir.rstrip('/')}/gen_{generation:010d}"
-
-
-def read_base(spark: SparkSession, base_dir: str, schema) -> DataFrame:
-    g = latest_generation(spark, base_dir)
-    return spark.createDataFrame([], schema) if g is None else spark.read.schema(schema).parquet(f"{_folder(base_dir, g)}/data")
-
-
-def merged_files(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Files (column `file`) whose rows the newest generation holds."""
-    g = latest_generation(spark, base_dir)
-    return spark.createDataFrame([], "file string") if g is None else spark.read.parquet(f"{_folder(base_dir, g)}/files")
-
-
-def merge_batch(spark: SparkSession, batch: DataFrame, base_dir: str, schema, policy: str) -> None:
-    """Merge the rows of batch (with their `file`) that come from files not merged yet, as a new generation."""
-    known = merged_files(spark, base_dir)
-    fresh = batch.join(known, "file", "left_anti")
-    if fresh.isEmpty():
-        return
-    g = latest_generation(spark, base_dir)
-    at = _folder(base_dir, 0 if g is None else g + 1)
-    merged = versions.merge(read_base(spark, base_dir, schema), fresh.drop("file"), None, policy)
-    # an unfinished attempt may be in the way; no reader takes it, as it has no marker
-    merged.write.mode("overwrite").parquet(f"{at}/data")
-    known.unionByName(fresh.select("file").distinct()).write.mode("overwrite").parquet(f"{at}/files")
-    marker, fs = _fs(spark, f"{at}/{MARKER}")
-    fs.create(marker, True).close()
+__all__ = ["latest_generation", "manifest", "merge_batch", "merge_deliveries", "merged_files", "read_base"]
 
 
 def merge_deliveries(spark: SparkSession, staged_dir: str, base_dir: str, schema, policy: str = "days",
-                     checkpoint: str | None = None, files_per_delivery: int = 1) -> None:
+                     checkpoint: str | None = None, files_per_delivery: int = 1, schedvers_dir: str | None = None) -> None:
     """Merge every not-yet-loaded delivery file of ``staged_dir`` into ``base_dir`` and stop.
 
-    ``policy`` is a delete policy of ``operators.versions.merge`` (``days``,
-    ``tail``, ``none``); range policies need the staged schedule versions and
-    are applied by the batch path.
+    ``policy`` is a delete policy of ``operators.versions.merge``.  Range
+    policies take the schedule versions of a delivery from the files of the same
+    name in ``schedvers_dir``.
     """
+    def merge(batch: DataFrame, _) -> None:
+        ranges = None
+        if schedvers_dir:
+            names = [r[0] for r in batch.select(F.element_at(F.split("file", "/"), -1)).distinct().collect()]  # a delivery's files
+            ranges = spark.read.parquet(*[f"{schedvers_dir.rstrip('/')}/{n}" for n in names]) if names else None
+        merge_batch(spark, batch, base_dir, schema, policy, ranges)
+
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/delivery-ingest"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_delivery).parquet(staged_dir)
     named = stream.withColumn("file", F.col("_metadata.file_path"))
-    q = (named.writeStream.foreachBatch(lambda batch, _: merge_batch(spark, batch, base_dir, schema, policy))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q = named.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()

@@ -74,3 +74,55 @@ def test_replayed_epoch_and_unfinished_generation(spark, tmp_path):
     deliveries.merge_batch(spark, more, base, SCHEMA, "none")
     assert deliveries.read_base(spark, base, SCHEMA).count() == 7
     assert sorted(r.file for r in deliveries.merged_files(spark, base).collect()) == ["file1", "file2"]
+
+
+TWO = [(1, o, "U1", "A", "WEEK", date(2023 + m // 12, 1 + m % 12, d)) for o in ("GVB", "HTM") for m in range(12, 18) for d in (3, 17)]
+
+
+def _batch(spark, rows, name):
+    return spark.createDataFrame([(*r, name) for r in rows], SCHEMA + ", file string")
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    base = str(tmp_path / "base")
+    assert deliveries.merge_batch(spark, _batch(spark, TWO, "f0"), base, SCHEMA, "days") == 12
+    before = deliveries.manifest(spark, base)
+    delta = [(2, "GVB", "U1", "B", "WEEK", date(2024, 3, 17)), (2, "GVB", "U1", "B", "WEEK", date(2024, 3, 18))]
+    assert deliveries.merge_batch(spark, _batch(spark, delta, "f1"), base, SCHEMA, "days") == 1
+    after = deliveries.manifest(spark, base)
+    assert {p for p in after if after[p] != before.get(p)} == {("GVB", "202403")}
+    want = versions.merge(spark.createDataFrame(TWO, SCHEMA), spark.createDataFrame(delta, SCHEMA), None, "days")
+    assert sorted(map(tuple, deliveries.read_base(spark, base, SCHEMA).collect())) == sorted(map(tuple, want.collect()))
+    written = lambda g: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{base}/gen_{g:010d}/data") for f in fs if f.endswith(".parquet"))
+    assert written(1) * 4 < written(0)
+
+
+def test_tail_and_range_policies_on_partitions(spark, tmp_path):
+    delta = [(2, "HTM", "U1", "B", "WEEK", date(2024, 5, 9)), (2, "HTM", "U2", "B", "WEEK", date(2024, 6, 9))]
+    ranges = spark.createDataFrame([(2, "HTM", "U1", "B", "WEEK", date(2024, 2, 10), date(2024, 4, 10)), (2, "GVB", "U1", "B", "WEEK", date(2024, 6, 17), date(2030, 1, 1))],
+                                   "version int, dataownercode string, organizationalunitcode string, schedulecode string, scheduletypecode string, validfrom date, validthru date")
+    for policy, sv, hit in (("tail", None, 2), ("range", ranges, 6), ("none", None, 2)):
+        base = str(tmp_path / policy)
+        deliveries.merge_batch(spark, _batch(spark, TWO, "f0"), base, SCHEMA, "days")
+        assert deliveries.merge_batch(spark, _batch(spark, delta, "f1"), base, SCHEMA, policy, sv) == hit
+        assert deliveries.merge_batch(spark, _batch(spark, delta, "f1"), base, SCHEMA, policy, sv) == 0
+        want = versions.merge(spark.createDataFrame(TWO, SCHEMA), spark.createDataFrame(delta, SCHEMA), sv, policy)
+        assert sorted(map(tuple, deliveries.read_base(spark, base, SCHEMA).collect())) == sorted(map(tuple, want.collect()))
+        held = deliveries.manifest(spark, base)
+        assert held["HTM", "202403"] is None if policy == "range" else held["HTM", "202403"]  # a tombstone
+
+
+def test_range_policy_in_the_stream(spark, tmp_path):
+    staged, ranges, base = (str(tmp_path / x) for x in ("staged", "ranges", "base"))
+    os.makedirs(staged), os.makedirs(ranges)
+    deliveries_ = [(TWO, TWO[:1]), ([(2, "GVB", "U1", "B", "WEEK", date(2024, 2, 5))], [(2, "GVB", "U1", "B", "WEEK", date(2024, 2, 1))])]
+    for i, (rows, spans) in enumerate(deliveries_):
+        sv = spark.createDataFrame([(*r, date(2024, 3, 10)) for r in spans], SCHEMA.replace("validdate", "validfrom") + ", validthru date")
+        for df, to in ((spark.createDataFrame(rows, SCHEMA), staged), (sv, ranges)):
+            df.coalesce(1).write.parquet(f"{tmp_path}/x{i}{os.path.basename(to)}")
+            part, = [f for f in os.listdir(f"{tmp_path}/x{i}{os.path.basename(to)}") if f.endswith(".parquet")]
+            os.rename(f"{tmp_path}/x{i}{os.path.basename(to)}/{part}", f"{to}/{i}.parquet")
+        time.sleep(1.1)
+    deliveries.merge_deliveries(spark, staged, base, SCHEMA, "range", str(tmp_path / "ckpt"), schedvers_dir=ranges)
+    gvb = sorted(r.validdate for r in deliveries.read_base(spark, base, SCHEMA).where("dataownercode = 'GVB'").collect())
+    assert gvb == [d for *_, d in TWO[:2]] + [date(2024, 2, 5)] + [d for *_, d in TWO[5:12]]
