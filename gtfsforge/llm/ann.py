@@ -4,8 +4,10 @@ On a bounded sample the neighbour graph is cut into balanced parts, and a small
 classifier (one hidden layer) learns which part a vector belongs to.  Every
 vector is indexed in its most probable part.  A query goes to its most probable
 parts, as many as the sample's own queries needed to find `recall` of their
-neighbours, and is compared there in double precision.  Parts are searched in
-blocks of bounded size, so a large part is many tasks.
+neighbours, and is compared there in double precision.  The number of parts
+grows with the root of the table up to what the sample can tell apart (128), at
+small sizes too; parts are searched in blocks of bounded size, so a large part
+is many tasks.
 
 Vectors that are null, zero, hold a null or non-finite component, or don't have
 the table's commonest length take no part; nor do rows without an id.
@@ -25,8 +27,8 @@ from .vectors import classes, common_length, finite, in_order_products, matrix,
 
 #: Vectors that the parts and the classifier are fitted on, about.
 SAMPLE = 4096
-#: Vectors of a block, and about how many there are in a part while parts can still grow in number.
-BLOCK, PART = 16384, 4096
+#: Vectors of a block.
+BLOCK = 16384
 #: Pairs of a query and a candidate that are scored in order at once, about.
 PAIRS = 1 << 16
 #: Neighbours that the graph joins a sampled vector with, and units of the hidden layer.
@@ -206,10 +208,11 @@ def _block_best(k: int, d: int):
     return run
 
 
-def nearest(rows: DataFrame, k: int = 20, asked=None, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE, part: int = PART, recall: float = RECALL) -> DataFrame:
+def nearest(rows: DataFrame, k: int = 20, asked=None, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE, parts: int | None = None, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id and score of the k candidates of largest inner product found for each query row.
 
-    asked: a condition on rows for the queries (default: every row).
+    asked: a condition on rows for the queries (default: every row).  parts: how
+    many (default: by the number of vectors); one is searched whole.
     """
     spark = rows.sparkSession
     v = F.col(vector_col).cast("array<double>")
@@ -220,7 +223,7 @@ def nearest(rows: DataFrame, k: int = 20, asked=None, id_col: str = "vec_id", ve
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     found, queries = classes(rows.where(F.size("v") == d), k)
     n = found.count()
-    parts = max(1, min(n // part, sample // 32))
+    parts = max(1, min(parts or round(n**0.5 / 4), sample // 32))
     x = np.zeros((0, d))
     if parts > 1:
         taken = found.select("v", F.xxhash64("v").alias("h")).where(F.col("h") <= hash_cut(n, sample)).toArrow()  # about `sample` vectors

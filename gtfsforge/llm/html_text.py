@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -53,8 +54,12 @@ SURE = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsored", "cookie", "cookies", "gdpr", "sidebar", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination",
     "comments", "disqus", "newsletter", "complementary", "contentinfo",
 }
-BESIDE = {"area", "bar", "block", "box", "container", "content", "form", "inner", "item", "items", "links", "list", "panel", "section", "slot", "thread", "unit", "wrap", "wrapper"}
+BESIDE = {"area", "articles", "bar", "block", "body", "box", "container", "content", "form", "inner", "item", "items", "links", "list", "panel", "posts", "section", "slot", "stories", "thread", "unit", "wrap", "wrapper"}
 TURNED = {"free", "has", "hide", "no", "non", "with", "without"}
+#: Those that say it of a container as its whole name, beside such words or others that say it ("comment-list", "notice").
+WHOLE = SURE | {"comment", "notice", "notices", "related", "recommended", "share", "sharing", "social", "promo", "banner", "subscribe", "subscription", "alert"}
+#: Those that say it as a name's last word where no article or main part is marked ("top-menu").
+LAST = SURE | {"ad", "menu", "nav", "footer", "masthead", "banner", "popup", "modal", "widget", "toolbar", "consent", "notice", "login", "signup", "pager"}
 #: Elements that hold others; and those of text, whose names are never a verdict.
 CONTAINERS = {"center", "details", "div", "dl", "fieldset", "ol", "section", "table", "ul"}
 TEXTUAL = {"b", "blockquote", "caption", "code", "dd", "dt", "em", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "i", "li", "p", "pre", "strong", "td", "th", "tr"}
@@ -63,13 +68,21 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z]+|[0-9]+", re.I)
+_RAW_END = {x: re.compile(f"</{x}", re.I) for x in RAW}
 
 
 def surely(parts: list[str], last: bool) -> bool:
     """Whether the words of a name are boilerplate's in an article too; last: its last word may say so alone ("story-advert")."""
     if not parts or parts[0] in TURNED:
         return False
-    return last and parts[-1] in SURE or not SURE.isdisjoint(parts) and all(x in SURE or x in NAMES or x in BESIDE for x in parts)
+    return last and parts[-1] in SURE or not WHOLE.isdisjoint(parts) and all(x in WHOLE or x in NAMES or x in BESIDE for x in parts)
+
+
+def named(parts: list[str]) -> bool:
+    """Whether a name says boilerplate where no article is marked: by its last word, or if it has no word that says anything else."""
+    if not parts or parts[0] in TURNED:
+        return False
+    return parts[-1] in LAST or not NAMES.isdisjoint(parts) and all(x in NAMES or x in BESIDE for x in parts)
 
 
 def boilerplate(tag: str, name: str, titled: bool, art: int = 0) -> bool:
@@ -77,22 +90,25 @@ def boilerplate(tag: str, name: str, titled: bool, art: int = 0) -> bool:
 
     Names of text elements and ids of sections, which are slugs of headings,
     say nothing.  In an article or main part (art) only unambiguous names of
-    containers count, an id's if it is of several words.
+    containers count, an id's if it is of several words; a class of an article
+    tells a reader's comment from the page's own.
     """
     if name in OUTSIDE or name in RAW or name == "header" and not titled:
         return True
     if "=" not in tag and "hidden" not in tag:
         return False
-    if name in ("html", "body", "article", "main"):
+    if name in ("html", "body", "main"):
         return False
     marks = {}
     for key, *values in _ATTRIBUTE.findall(tag, 1 + len(name)):
         marks.setdefault(key.lower(), "".join(values).lower())
     if "hidden" in marks or marks.get("aria-hidden") == "true" or _NONE.search(marks.get("style", "")):
         return True
+    split = lambda x: [y for y in _PARTS.findall(x) if not y.isdigit()]
+    if name == "article":
+        return any(surely(split(word), False) for word in marks.get("class", "").split())
     if name in TEXTUAL or art and name not in CONTAINERS:
         return False
-    split = lambda x: [y for y in _PARTS.findall(x) if not y.isdigit()]
     slug = name == "section" or "section" in marks.get("class", "").split()
     for key in ("class", "role", "id", "aria-label"):
         if key == "id" and slug:
@@ -102,8 +118,7 @@ def boilerplate(tag: str, name: str, titled: bool, art: int = 0) -> bool:
             if art:
                 if (key != "id" or len(parts) > 1) and surely(parts, key in ("class", "role")):
                     return True
-            # a name is what its last word says ("story-header" is a header), or its first ("ad-box")
-            elif parts and (parts[-1] in NAMES or parts[0] in NAMES):
+            elif named(parts):
                 return True
     return False
 
@@ -114,21 +129,32 @@ def events(html: str) -> Iterator[tuple[str, str, bool, int]]:
     kind is "text", "open" or "close".  Elements that a closing tag leaves open
     inside it end with it; a new paragraph ends an open one.
     """
-    stack: list[tuple[str, bool]] = []
-    raw = None
+    stack: list[tuple[str, bool, bool]] = []
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements by name
+    blocks: list[int] = []  # places of the open blocks
     bad = articles = mains = art = 0
 
     def pop(to: int):
         nonlocal bad, articles, mains, art
         while len(stack) > to:
-            name, was = stack.pop()
+            name, was, counted = stack.pop()
+            places[name].pop()
+            if name in BLOCKS:
+                blocks.pop()
             bad -= was
-            articles -= name == "article"
-            mains -= name == "main"
+            articles -= counted and name == "article"
+            mains -= counted and name == "main"
         art = 2 if articles else 1 if mains else 0
 
+    marks: list[list[int]] = []  # where headers end and main headings begin, found once if a header asks
+
+    def has_heading(at: int) -> bool:
+        if not marks:
+            marks.extend([m.start() for m in re.finditer(x, html, re.I)] for x in ("</header", "<h1"))
+        end, first = bisect_left(marks[0], at), bisect_left(marks[1], at)
+        return first < len(marks[1]) and (end == len(marks[0]) or marks[1][first] < marks[0][end])
+
     at, n = 0, len(html)
-    lower = None
     while at < n:
         m = _TOKEN.match(html, at)
         at, t = m.end(), m.group()
@@ -142,37 +168,36 @@ def events(html: str) -> Iterator[tuple[str, str, bool, int]]:
             continue  # comment, doctype, processing instruction
         name = found.group(1).lower()
         if t[1] == "/":
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None and (name in BLOCKS or not any(x in BLOCKS for x, _ in stack[depth + 1 :])):
+            if places[name] and (name in BLOCKS or not blocks or blocks[-1] < places[name][-1]):
                 inside = bad > 0
-                pop(depth)
+                pop(places[name][-1])
                 yield "close", name, inside, art
             continue
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or name in BLOCKS:
+        if blocks and (name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or name in BLOCKS):
             # what a new block of this kind ends: an open paragraph, or its like
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCKS), None)
             ended = {name} if name in ("li", "dt", "dd", "tr", "td", "th", "option") else set()
-            if depth is not None and stack[depth][0] in ended | {"p"}:
-                pop(depth)
+            if stack[blocks[-1]][0] in ended | {"p"}:
+                pop(blocks[-1])
         if name in VOID or t.endswith("/>"):
             yield "open", name, bad > 0, art
             continue
-        titled = name == "header" and art > 0 and "<h1" in html[at : (html.find("</header", at) + 1 or n + 1) - 1].lower()
-        outside = boilerplate(t, name, titled, art)
+        outside = boilerplate(t, name, name == "header" and art > 0 and has_heading(at), art)
         if name in RAW:
-            lower = lower if lower is not None else html.lower()
-            end = lower.find(f"</{name}", at)
-            raw = html[at:] if end < 0 else html[at:end]
+            end = _RAW_END[name].search(html, at)
+            raw = html[at : end.start()] if end else html[at:]
             yield "open", name, True, art
             if raw:
                 yield "text", raw, True, art
             yield "close", name, True, art
-            at = n if end < 0 else (html.find(">", end) + 1 or n)
+            at = (html.find(">", end.start()) + 1 or n) if end else n
             continue
-        stack.append((name, outside))
+        places[name].append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
         bad += outside
-        articles += name == "article"
-        mains += name == "main"
+        stack.append((name, outside, bad == 0))
+        articles += bad == 0 and name == "article"  # a reader's comment is none
+        mains += bad == 0 and name == "main"
         art = 2 if articles else 1 if mains else 0
         yield "open", name, bad > 0, art
 

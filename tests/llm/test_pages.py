@@ -87,3 +87,34 @@ def test_nulls_repeats_long_and_clashing_names(spark):
     got = sorted(((r.page_id or 9, r.url or "", len(r.text)) for r in extract_text(df).collect()))
     assert got == [(1, "u", 0), (1, "u", 0), (2, "", len(WANT)), (2, "", len(WANT)), (9, "v", 499_999)]
     assert extract_text(df.limit(0)).count() == 0
+
+
+def test_readers_comments_notices_and_related_links_in_an_article():
+    comments = "<section class='comment-list'><article class='comment'><p>Reader one says much.</p></article><article class='comment depth-2'><p>Two.</p></article></section>"
+    for extra in (comments, "<article class='comment'><p>Reader says.</p></article>", "<div class='notice'>Site notice.</div>", "<div class='related'><a href=x>Other story</a></div>", "<ul class='related-posts'><li><a href=x>Other</a></li></ul>"):
+        for around in ("article", "main"):
+            assert main_text(page(f"<{around}>{TEXT}{extra}</{around}>"), W) == WANT, extra
+        assert main_text(page(f"<main><article>{TEXT}</article>{extra}</main>"), W) == WANT, extra
+    assert main_text(page(f"<main><article class='post has-comments'>{TEXT}</article></main>"), W) == WANT
+
+
+def test_names_that_say_something_else_lose_nothing_without_an_article():
+    for name in ("related-work", "search-engines", "side-effects", "comment-culture", "no-sidebar", "share-prices"):
+        assert main_text(page(f"{TEXT}<div class='{name}'>How it went.</div>{TEXT}"), W) == f"{WANT}\nHow it went.\n{WANT}", name
+
+
+def test_characters_that_grow_in_lower_case():
+    first = "İ" * 40
+    assert main_text(page(f"<p>{first}</p><SCRIPT>var a = 1;</Script><p>One two.</p><p>Three four.</p>"), W) == f"{first}\nOne two.\nThree four."
+
+
+def test_bad_markup_takes_linear_time():
+    import time
+
+    for bad in ("<div></p>", "<header>", "<b><div></b>", "<p><i>", "<script></script>", "<li></ul>", "<article class=x>"):
+        took = []
+        for n in (20_000, 80_000):
+            began = time.perf_counter()
+            main_text(bad * n + TEXT, W)
+            took.append(time.perf_counter() - began)
+        assert took[1] < 10 * max(took[0], 0.05), bad

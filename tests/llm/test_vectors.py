@@ -39,7 +39,7 @@ def rows_of(df):
 def test_one_part_is_exact(spark, k):
     df = spark.createDataFrame(odd_rows() + [(7, odd_rows()[7][1], 0)], SCHEMA)
     want = best(odd_rows(), lambda v, w: sum(a * b for a, b in zip(v, w)), k, any)
-    got = rows_of(nearest(df, k, F.col("vec_id") % 20 == 0))
+    got = rows_of(nearest(df, k, F.col("vec_id") % 20 == 0, parts=1))
     assert {x[:3] for x in got} == {x[:3] for x in want}
     assert all(abs(a[3] - b[3]) < 1e-12 for a, b in zip(sorted(got), sorted(want)))
 
@@ -72,19 +72,31 @@ def test_tables(spark, sf, against_sql):
     assert op2_learned_partitions(spark, sf).count() == 25 * 20
 
 
-def test_recall_over_several_parts(spark):
-    d = "/root/testdata/check_s"
-    t = spark.read.parquet(f"{d}/embeddings.parquet").toPandas()
-    x = np.array(t.embedding.tolist(), dtype=float)
-    ids = t.vec_id.to_numpy()
-    got = op2_learned_partitions(spark, d).toPandas().groupby("query_id").vec_id.apply(set)
+def recall(x, ids, found, k=20):
     hit = n = 0
     for q in np.flatnonzero(ids % 20 == 0):
         s = x @ x[q]
         s[q] = -np.inf
-        near = set(ids[np.lexsort((ids, -s))[:20]].tolist())
-        hit, n = hit + len(near & got[ids[q]]), n + 20
-    assert hit / n >= 0.9
+        near = set(ids[np.lexsort((ids, -s))[:k]].tolist())
+        hit, n = hit + len(near & found[ids[q]]), n + k
+    return hit / n
+
+
+@pytest.mark.parametrize("clusters", [1, 30])
+def test_recall_over_several_parts(spark, clusters):
+    rng = np.random.default_rng(11)
+    x = (rng.normal(size=(3000, 16)) + 4 * rng.normal(size=(clusters, 16))[rng.integers(clusters, size=3000)]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(c) for c in v], 0) for i, v in enumerate(x)], SCHEMA)
+    got = nearest(df, 20, F.col("vec_id") % 20 == 0).toPandas().groupby("query_id").vec_id.apply(set)
+    assert recall(x.astype(float), np.arange(3000), got) >= 0.9
+    assert round(3000**0.5 / 4) > 10  # that many parts
+
+
+def test_recall_on_the_table(spark, sf):
+    t = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
+    x, ids = np.array(t.embedding.tolist(), dtype=float), t.vec_id.to_numpy()
+    got = op2_learned_partitions(spark, sf).toPandas().groupby("query_id").vec_id.apply(set)
+    assert len(ids) == 500 and recall(x, ids, got) >= 0.9
 
 
 def test_probes_hold_the_stated_share_of_held_out_neighbours():
@@ -104,7 +116,7 @@ def test_many_distinct_vectors_that_tie(spark):
     for q, v, _ in rows:
         if q % 20 == 0:
             want[q] = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w, _ in rows if i != q)[:20]
-    got = rows_of(nearest(spark.createDataFrame(rows, SCHEMA), 20, F.col("vec_id") % 20 == 0))
+    got = rows_of(nearest(spark.createDataFrame(rows, SCHEMA), 20, F.col("vec_id") % 20 == 0, parts=1))
     assert got == {(q, n + 1, i, -s) for q, xs in want.items() for n, (s, i) in enumerate(xs)}
 
 
