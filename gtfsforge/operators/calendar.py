@@ -99,7 +99,7 @@ def calendar_exception(pegrval, tive, pujo, version, excopday, as_of: str) -> Da
     """Exception days, one row per (service, day) (O-C4): a day in EXCOPDAY runs
     the services of its version, owner and unit whose day type has its weekday."""
     ranges = service_ranges(pegrval, tive, pujo, version, as_of)
-    days = interval_join(_exceptions(excopday), ranges, SCOPE, "date", "validfrom", "validthru")
+    days = interval_join(_exceptions(excopday), ranges, SCOPE, "date", "validfrom", "validthru", width=30)
     return _dates(days.filter(F.instr("daytype", F.col("runs_as")) > 0)).distinct()
 
 

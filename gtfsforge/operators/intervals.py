@@ -33,12 +33,13 @@ def _axis(c: Column, kind: DataType) -> Column:
     return c
 
 
-def interval_join(left: DataFrame, right: DataFrame, on: list[str], col: str, lo: str, hi: str, how: str = "inner", split_rows: int = SPLIT_ROWS) -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, on: list[str], col: str, lo: str, hi: str, how: str = "inner", split_rows: int = SPLIT_ROWS, width: int | None = None) -> DataFrame:
     """Rows of left whose `col` lies in a range [lo, hi] of right with equal `on`.
 
     how: ``inner`` (left's columns and right's others, a row for each pair),
     ``semi`` or ``anti`` (left's rows).  Null points, ends or keys match
-    nothing, reversed ranges are empty.  Right's columns beside `on` must not
+    nothing, reversed ranges are empty.  width: that of a bin (days for dates);
+    by default it is measured, which derives right once more.  Right's columns beside `on` must not
     be named as left's for ``inner``.
     """
     if how not in ("inner", "semi", "anti"):
@@ -50,7 +51,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[str], col: str, lo
     ranges = ranges.withColumns({"__lo": _axis(F.col(lo), right.schema[lo].dataType), "__hi": _axis(F.col(hi), right.schema[hi].dataType)})
     ranges = ranges.where("__lo <= __hi").withColumns({"__a": a, "__z": z})
     cut = ranges.select((F.least("__hi", "__z") - F.greatest("__lo", "__a") + 1).alias("n")).where("n > 0")
-    width = F.greatest(F.coalesce(cut.agg(F.avg("n").alias("n")).select("n").scalar(), F.lit(1.0)), (F.col("__z") - F.col("__a") + 1) / MOST_BINS, F.lit(1.0))
+    mean = F.lit(float(width)) if width else F.coalesce(cut.agg(F.avg("n").alias("n")).select("n").scalar(), F.lit(1.0))
+    width = F.greatest(mean, (F.col("__z") - F.col("__a") + 1) / MOST_BINS, F.lit(1.0))
     ranges = ranges.withColumn("__width", F.ceil(width)).where((F.col("__lo") <= F.col("__z")) & (F.col("__hi") >= F.col("__a")))
     bin_of = lambda c: F.floor((c - F.col("__a")) / F.col("__width"))
     ranges = ranges.withColumn("__bins", F.sequence(bin_of(F.greatest("__lo", "__a")), bin_of(F.least("__hi", "__z"))))
