@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gtfsforge.plans.registry import register
 from gtfsforge.plans.views import World, oracle
-from gtfsforge.sources import tagged
+from gtfsforge.sources import kv1, tagged
+
+PLAN_AS_OF = "1998-07-01"
 
 
 def iff_lines(w: World):
@@ -166,3 +169,79 @@ def q_pas_footnotes(spark, sf):
     w = World(spark, sf)
     first = w.pas_voetnoot.agg(F.min("datum").alias("a")).scalar()
     return tagged.pas_footnotes(pas_footnote_lines(w), first)
+
+
+# ---------------------------------------------------------------- O-S1, S2, S3: KV1 lines
+# names and types in file order
+KV1_PASSING = {
+    "tablename": "string", "version": "integer", "implicit": "string", "dataownercode": "string", "organizationalunitcode": "string", "schedulecode": "string",
+    "scheduletypecode": "string", "lineplanningnumber": "string", "journeynumber": "long", "stoporder": "integer", "remark": "string", "userstopcode": "string",
+    "targetarrivaltime": "string", "targetdeparturetime": "string", "wheelchairaccessible": "string", "dataownerisoperator": "boolean", "passedon": "date",
+}
+
+
+def _passing_schema() -> StructType:
+    out = StructType()
+    for name, kind in KV1_PASSING.items():
+        out = out.add(name, kind)
+    return out
+
+
+def kv1_lines(w: World):
+    """Lines of a delivery folder for each version: passings with quoted remarks, a header, another table, and lines that don't parse."""
+    p = w.kv_pujopass
+    quoted = F.concat(F.lit('"'), "journeypatterncode", F.lit('|a ""b"""'))
+    order = F.when((F.col("journeynumber") % 89 == 0) & (F.col("stoporder") == 2), F.lit("x2")).otherwise(F.col("stoporder").cast("string"))
+    names = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode", "lineplanningnumber", "journeynumber"]
+    lead = [F.lit("PUJOPASS"), F.col("version").cast("string"), F.lit("I"), *[F.col(c).cast("string") for c in names[1:]]]
+    tail = [order, quoted, F.concat(F.lit(" "), "userstopcode", F.lit(" ")), "targetarrivaltime", "targetdeparturetime", "wheelchairaccessible", F.lit("true"), F.lit("")]
+    whole = F.array_join(F.array(*lead, *tail), "|", "")
+    line = F.when((F.col("journeynumber") % 97 == 0) & (F.col("stoporder") == 1), F.array_join(F.array(*lead[:5]), "|", "")).otherwise(whole)
+    folder = F.concat(F.lit("in/v"), F.col("version").cast("string"))
+    rows = p.select(F.concat(folder, F.lit("/PUJOPASSX.TMI")).alias("file"), (F.col("journeynumber") * 1000 + F.col("stoporder")).alias("pos"), line.alias("line"))
+    heads = p.select("version").distinct().select(F.concat(folder, F.lit("/PUJOPASSX.TMI")).alias("file"), F.lit(0).cast("long").alias("pos"), F.lit("Tablename|Version_Number|Implicit").alias("line"))
+    other = p.where("stoporder = 1").select(F.concat(folder, F.lit("/DESTX.csv")).alias("file"), F.col("journeynumber").alias("pos"), F.lit("DEST|1|I|GVB").alias("line"))
+    return rows.unionByName(heads).unionByName(other)
+
+
+@register("src_kv1_lines_s1", oracle(["kv_pujopass"], """
+SELECT 'in/v' || version || '/PUJOPASSX.TMI' AS file, journeynumber * 1000 + stoporder AS pos, 'PUJOPASS' AS tablename, version, 'I' AS implicit, dataownercode,
+       organizationalunitcode, schedulecode, scheduletypecode, lineplanningnumber, journeynumber, stoporder, journeypatterncode || '|a "b"' AS remark, userstopcode,
+       targetarrivaltime, targetdeparturetime, wheelchairaccessible, dataownerisoperator, CAST(NULL AS DATE) AS passedon
+FROM kv_pujopass WHERE NOT (stoporder = 1 AND journeynumber % 97 = 0) AND NOT (stoporder = 2 AND journeynumber % 89 = 0)"""))
+def q_kv1_lines(spark, sf):
+    return kv1.parse_lines(kv1_lines(World(spark, sf)), "pujopass", _passing_schema())[0]
+
+
+@register("src_kv1_bad_lines_s2", oracle(["kv_pujopass"], """
+SELECT 'in/v' || version || '/PUJOPASSX.TMI' AS file, journeynumber * 1000 + stoporder AS pos, if(stoporder = 1, 'fields', 'stoporder') AS reason
+FROM kv_pujopass WHERE (stoporder = 1 AND journeynumber % 97 = 0) OR (stoporder = 2 AND journeynumber % 89 = 0)"""))
+def q_kv1_bad_lines(spark, sf):
+    return kv1.parse_lines(kv1_lines(World(spark, sf)), "pujopass", _passing_schema())[1].drop("line")
+
+
+# ---------------------------------------------------------------- O-S6, S8, S10: what to load, in which order
+def _index(w: World):
+    """An index with an entry for each schedule version, its validity, and what was loaded or purged."""
+    s = w.kv_schedvers
+    n = F.col("schedulecode").cast("int") + F.col("version") * 3 + F.length("scheduletypecode")
+    key = F.concat_ws("_", "dataownercode", "version", "organizationalunitcode", "schedulecode", "scheduletypecode")
+    e = s.select(
+        key.alias("key"), F.concat(key, F.lit(".zip")).alias("zipfile"), (n % 3 + 1).cast("int").alias("versie"), F.when(n % 7 == 0, "false").otherwise("TRUE").alias("isgepubliceerd"),
+        F.concat(F.lit("2024-01-"), F.lpad((n % 28 + 1).cast("string"), 2, "0")).alias("publicatiedatum"), F.when(n % 10 == 0, "true").otherwise("false").alias("isbaseline"),
+        (n % 50).cast("int").alias("index"), "dataownercode", "validfrom", "validthru", n.alias("n"))
+    loaded = e.where("n % 4 = 0").select(F.col("key").alias("filename"), F.when(F.col("n") % 8 == 0, F.col("versie")).otherwise(F.col("versie") - 1).alias("dataownerversion"))
+    purged = e.where("n % 9 = 0").select(F.col("key").alias("filename"), F.col("versie").alias("dataownerversion"))
+    return e.drop("n", "dataownercode", "validfrom", "validthru"), e.select("key", "dataownercode", "validfrom", "validthru"), loaded, purged
+
+
+@register("src_load_plan_s10", oracle(["kv_schedvers"], f"""
+, e AS (
+  SELECT concat_ws('_', dataownercode, version, organizationalunitcode, schedulecode, scheduletypecode) AS key, dataownercode, validthru,
+         CAST(schedulecode AS INTEGER) + version * 3 + length(scheduletypecode) AS n
+  FROM kv_schedvers)
+SELECT key, dataownercode, CAST(n % 3 + 1 AS INTEGER) AS versie, n % 10 = 0 AS baseline,
+       CAST(row_number() OVER (PARTITION BY dataownercode ORDER BY n % 10 <> 0, n % 50, n % 28, key) AS INTEGER) AS step
+FROM e WHERE n % 7 <> 0 AND n % 8 <> 0 AND n % 9 <> 0 AND validthru >= DATE '{PLAN_AS_OF}' - 1"""))
+def q_load_plan(spark, sf):
+    return kv1.load_plan(*_index(World(spark, sf)), PLAN_AS_OF).select("key", "dataownercode", "versie", "baseline", "step")

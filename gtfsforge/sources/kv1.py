@@ -13,7 +13,7 @@ import io
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Owners whose deliveries are ISO-8859-15 encoded (the rest is UTF-8).
@@ -62,6 +62,39 @@ def read_kv1(spark: SparkSession, path: str, table: str, schema, owner: str = ""
     return df.select(*cols)
 
 
+def _typed(c, kind) -> F.Column:
+    """A trimmed text field as its type, null if it can't be (O-S19)."""
+    c = F.nullif(F.trim(c), F.lit(""))
+    if kind.simpleString() == "boolean":
+        low = F.lower(c)
+        return F.when(low.isin("t", "true", "1", "yes", "y"), True).when(low.isin("f", "false", "0", "no", "n"), False)
+    return c if kind.simpleString() == "string" else c.try_cast(kind)
+
+
+def parse_lines(lines: DataFrame, table: str, schema, profile_absent=()) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad) of one KV1 table from lines (file, pos, line) of any files (O-S1, O-S2, O-S3).
+
+    rows: file, pos and the schema's columns, typed.  bad: file, pos, line and
+    reason (``fields`` or the first column whose value isn't of its type), so
+    that a line that doesn't parse is reported and not loaded as nulls.  Fields
+    are separated by ``|`` and may be quoted; header and blank lines are none.
+    """
+    fields = [f for f in schema.fields if f.name not in set(profile_absent)]
+    text = ", ".join(f"`{f.name}` string" for f in fields)
+    how = {"sep": "|", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
+    mine = lines.where((table_of("file") == table) & (F.trim("line") != ""))
+    raw = lambda f: F.col("__x").getField(f.name)
+    second = F.trim(F.get(F.split("line", r"\|"), 1))
+    mine = mine.where(second.isNull() | ~second.isin(*HEADER_MARKERS))
+    # exploded, so that a line is parsed once and not for every field
+    mine = mine.withColumn("__x", F.explode(F.array(F.from_csv("line", F.lit(f"{text}, `__bad` string"), how))))
+    mine = mine.withColumns({f"__v_{f.name}": _typed(raw(f), f.dataType) for f in fields})
+    wrong = [F.when(F.col(f"__v_{f.name}").isNull() & (F.coalesce(F.trim(raw(f)), F.lit("")) != ""), F.lit(f.name)) for f in fields]
+    mine = mine.withColumn("reason", F.coalesce(F.when(F.col("__x.__bad").isNotNull(), F.lit("fields")), *wrong))
+    columns = [(F.lit(None).cast(f.dataType) if f.name in set(profile_absent) else F.col(f"__v_{f.name}")).alias(f.name) for f in schema.fields]
+    return mine.where("reason is null").select("file", "pos", *columns), mine.where("reason is not null").select("file", "pos", "line", "reason")
+
+
 def expand_archives(spark: SparkSession, glob: str) -> DataFrame:
     """Zip archives -> (archive, member, content) rows; nested ``*.zip`` members are opened too (O-S4).
 
@@ -145,6 +178,19 @@ def load_order(index: DataFrame, forced_baseline=()) -> DataFrame:
     return index.withColumn("__b", base).orderBy(F.desc("__b"), "index", "publicatiedatum").drop("__b")
 
 
+def load_plan(index: DataFrame, meta: DataFrame, version: DataFrame, purged: DataFrame, as_of: str, forced_baseline=()) -> DataFrame:
+    """What to load and when: the index's entries with dataownercode, baseline and step, counted for each owner (O-S6, O-S8, O-S10).
+
+    Published deliveries that weren't loaded (or purged) in this version and
+    whose last day isn't over, an owner's baselines first, then by index,
+    publication date and key.  meta: key, dataownercode, validfrom, validthru.
+    """
+    todo = new_deliveries(index, version, purged).join(not_expired(meta, as_of).select("key", "dataownercode"), "key")
+    todo = todo.withColumn("baseline", (F.lower(F.col("isbaseline")) == "true") | F.col("key").isin(*forced_baseline))
+    order = Window.partitionBy("dataownercode").orderBy(F.desc("baseline"), "index", "publicatiedatum", "key")
+    return todo.withColumn("step", F.row_number().over(order))
+
+
 def conform(df: DataFrame, schema) -> DataFrame:
     """Typed load (O-S19): select the schema's columns in order, cast each, add absent ones as NULL.
 

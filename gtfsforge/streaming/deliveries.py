@@ -39,3 +39,16 @@ def merge_deliveries(spark: SparkSession, staged_dir: str, base_dir: str, schema
     named = stream.withColumn("file", F.col("_metadata.file_path"))
     q = named.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+def merge_planned(spark: SparkSession, plan: DataFrame, staged_dir: str, base_dir: str, schema, baseline_policy: str = "tail", delta_policy: str = "days") -> int:
+    """Merge the deliveries of a load plan (``sources.kv1.load_plan``) step by step, whenever their files came; returns how many were merged.
+
+    A step's rows are those of the Parquet file or folder ``<staged_dir>/<zipfile>``.
+    The plan has a row for each delivery.
+    """
+    done = 0
+    for r in plan.select("dataownercode", "step", "zipfile", "baseline").orderBy("dataownercode", "step").collect():
+        batch = spark.read.schema(schema).parquet(f"{staged_dir.rstrip('/')}/{r.zipfile}").withColumn("file", F.lit(r.zipfile))
+        done += merge_batch(spark, batch, base_dir, schema, baseline_policy if r.baseline else delta_policy) > 0
+    return done

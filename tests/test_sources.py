@@ -1,8 +1,8 @@
 """Sources and sinks on hand-made micro fixtures."""
 
 import io
-import os
 import zipfile
+from datetime import date
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
@@ -82,9 +82,8 @@ def test_index_selection(spark):
 
 def test_write_gtfs_and_empty(spark, tmp_path):
     df = spark.createDataFrame([("1", None, 3)], "service_id string, date string, exception_type int")
-    sinks.write_gtfs(df, str(tmp_path), "calendar_dates", single_file=True)
-    part = [f for f in os.listdir(tmp_path / "calendar_dates") if f.startswith("part-")][0]
-    assert (tmp_path / "calendar_dates" / part).read_text().splitlines() == ["service_id,date,exception_type", "1,,3"]
+    sinks.write_gtfs(df, str(tmp_path), "calendar_dates")
+    assert (tmp_path / "calendar_dates.txt").read_text().splitlines() == ["service_id,date,exception_type", "1,,3"]
     assert sinks.empty_gtfs(spark, "transfers").columns == sinks.GTFS_COLUMNS["transfers"]
     st, dup = sinks.assemble_stop_times(spark.createDataFrame([("t", 1)], "trip_id string, stop_sequence int"),
                                         spark.createDataFrame([("t", 1)], "trip_id string, stop_sequence int"))
@@ -162,3 +161,15 @@ def test_conform(spark):
                          StructField("n", IntegerType()), StructField("missing", DateType())])
     r = kv1.conform(raw, schema).first()
     assert (r.code, r.flag, r.name, r.n, r.missing) == ("001", True, None, 12, None)
+
+
+def test_lines_that_do_not_parse_are_reported(spark):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("tablename string, version int, name string, day date, ok boolean, extra string")
+    lines = [("d/LINEX.TMI", 0, "Tablename|Version_Number|..."), ("d/LINEX.TMI", 1, 'LINE|1|"a|b ""c"""|2024-01-02|true'), ("d/LINEX.TMI", 2, "LINE|x| n |2024-01-02|f"), ("d/LINEX.TMI", 3, "LINE|1"),
+             ("d/LINEX.TMI", 4, "LINE|2| n ||"), ("d/LINEX.TMI", 5, "LINE|2|n|2024-02-30|maybe"), ("d/LINEX.TMI", 6, "  "), ("d/DEST.csv", 1, "DEST|1|x|2024-01-01|t"), ("line.csv", 7, "LINE|3|n|2024-01-01|maybe"), ("line.csv", 8, "LINE|3|n|2024-01-01|t|more")]
+    rows, bad = kv1.parse_lines(spark.createDataFrame(lines, "file string, pos long, line string"), "line", schema, ["extra"])
+    assert sorted(tuple(r)[2:] for r in rows.collect()) == [("LINE", 1, 'a|b "c"', date(2024, 1, 2), True, None), ("LINE", 2, "n", None, None, None)]
+    assert sorted((r.pos, r.reason) for r in bad.collect()) == [(2, "version"), (3, "fields"), (5, "day"), (7, "ok"), (8, "fields")]
+    assert rows.columns == ["file", "pos", *schema.names]

@@ -5,6 +5,7 @@ import time
 from datetime import date
 
 from gtfsforge.operators import versions
+from gtfsforge.sources import kv1
 from gtfsforge.streaming import deliveries
 
 SCHEMA = "version int, dataownercode string, organizationalunitcode string, schedulecode string, " \
@@ -126,3 +127,25 @@ def test_range_policy_in_the_stream(spark, tmp_path):
     deliveries.merge_deliveries(spark, staged, base, SCHEMA, "range", str(tmp_path / "ckpt"), schedvers_dir=ranges)
     gvb = sorted(r.validdate for r in deliveries.read_base(spark, base, SCHEMA).where("dataownercode = 'GVB'").collect())
     assert gvb == [d for *_, d in TWO[:2]] + [date(2024, 2, 5)] + [d for *_, d in TWO[5:12]]
+
+
+def test_plan_order_not_file_time(spark, tmp_path):
+    staged, base = str(tmp_path / "staged"), str(tmp_path / "base")
+    entries = []
+    # the delta's file comes first, the baseline's last; another owner's delivery between them
+    for key, owner, index, baseline, first in (("delta", "GVB", 2, "false", 4), ("other", "HTM", 1, "false", 1), ("base", "GVB", 9, "true", 1)):
+        rows = [(1 if baseline == "true" else 2, owner, "U1", key, "WEEK", date(2024, 1, first + i)) for i in range(10 if baseline == "true" else 2)]
+        spark.createDataFrame(rows, SCHEMA).write.parquet(f"{staged}/{key}.zip")
+        entries.append((key, f"{key}.zip", 1, "true", "2024-01-01", baseline, index))
+    index = spark.createDataFrame(entries, "key string, zipfile string, versie int, isgepubliceerd string, publicatiedatum string, isbaseline string, index int")
+    meta = spark.createDataFrame([("delta", "GVB", date(2024, 1, 4), date(2024, 1, 5)), ("other", "HTM", date(2024, 1, 1), date(2024, 1, 2)), ("base", "GVB", date(2024, 1, 1), date(2024, 1, 10))], "key string, dataownercode string, validfrom date, validthru date")
+    none = spark.createDataFrame([], "filename string, dataownerversion int")
+    plan = kv1.load_plan(index, meta, none, none, "2024-01-01")
+    assert sorted((r.dataownercode, r.step, r.key) for r in plan.collect()) == [("GVB", 1, "base"), ("GVB", 2, "delta"), ("HTM", 1, "other")]
+    assert deliveries.merge_planned(spark, plan, staged, base, SCHEMA) == 3
+    got = sorted((r.validdate.day, r.schedulecode) for r in deliveries.read_base(spark, base, SCHEMA).where("dataownercode = 'GVB'").collect())
+    assert got == [(d, "delta" if d in (4, 5) else "base") for d in range(1, 11)]
+    assert deliveries.merge_planned(spark, plan, staged, base, SCHEMA) == 0
+    assert kv1.load_plan(index, meta, none, none, "2024-01-06").count() == 2  # one is over
+    loaded = spark.createDataFrame([("base", 1)], "filename string, dataownerversion int")
+    assert sorted(r.key for r in kv1.load_plan(index, meta, loaded, none, "2024-01-01").collect()) == ["delta", "other"]
