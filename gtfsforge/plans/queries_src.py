@@ -245,3 +245,105 @@ SELECT key, dataownercode, CAST(n % 3 + 1 AS INTEGER) AS versie, n % 10 = 0 AS b
 FROM e WHERE n % 7 <> 0 AND n % 8 <> 0 AND n % 9 <> 0 AND validthru >= DATE '{PLAN_AS_OF}' - 1"""))
 def q_load_plan(spark, sf):
     return kv1.load_plan(*_index(World(spark, sf)), PLAN_AS_OF).select("key", "dataownercode", "versie", "baseline", "step")
+
+
+# ---------------------------------------------------------------- PAS journeys and stops, IFF lists and deliveries, typed loads: round trips
+def _tagged(df, file, pos, line):
+    """Lines as the tagged reader gives them."""
+    return df.select(file.alias("file"), pos.cast("long").alias("pos"), line.alias("line")).select(
+        "file", "pos", F.substring("line", 1, 1).alias("tag"), F.expr("substring(line, 2)").alias("body"))
+
+
+def pas_journey_lines(w: World):
+    """A PAS file for each direction: a block for each journey, times of day without seconds and without days."""
+    p = w.pas_pujopass.withColumn("n", F.count("*").over(Window.partitionBy("ritnummer")))
+    hm = lambda c: F.concat(F.lpad((F.substring(c, 1, 2).cast("int") % 24).cast("string"), 2, "0"), F.substring(c, 4, 2))
+    at = F.col("ritnummer").cast("long") * 100
+    file = F.concat(F.lit("RET.PAS"), F.col("richting").cast("string"))
+    arrival, departure = hm("aankomsttijd"), hm("vertrektijd")
+    both = F.concat(F.lit("+"), "halteid", F.lit(","), arrival, F.lit(","), departure)
+    call = (F.when(F.col("stopsequentie") == 1, F.concat(F.lit(">"), "halteid", F.lit(","), F.coalesce(departure, F.lit(""))))
+            .when(F.col("stopsequentie") == F.col("n"), F.concat(F.lit("<"), "halteid", F.lit(","), arrival))
+            .when(arrival == departure, F.concat(F.lit("."), "halteid", F.lit(","), arrival)).otherwise(both))
+    calls = _tagged(p, file, at + 2 + F.col("stopsequentie"), call)
+    j = w.pas_pujo
+    head = _tagged(j, file, at, F.concat(F.lit("#"), F.concat_ws(",", "modaliteit", "vervoerdercode", "lijnsysteemnr", F.col("richting").cast("string"), "ritnummer")))
+    return head.unionByName(_tagged(j, file, at + 1, F.concat(F.lit("-"), "voetnoot"))).unionByName(calls)
+
+
+def _pas_time(c: str) -> str:
+    """Whole minutes of day of a time, and whether an earlier one of the journey was later (the clock passed midnight)."""
+    return f"lpad(CAST(CAST({c}[1:2] AS INTEGER) % 24 AS VARCHAR), 2, '0') || {c}[3:5] || ':00'"
+
+
+def _pas_rolled(c: str) -> str:
+    return f"if(bool_or(back_{c}) OVER w AND {c} IS NOT NULL, CAST(CAST({c}[1:2] AS INTEGER) + 24 AS VARCHAR) || {c}[3:8], {c})"
+
+
+@register("src_pas_journeys_s16", oracle(["pas_pujopass"], f"""
+, t AS (SELECT * REPLACE ({_pas_time('aankomsttijd')} AS aankomsttijd, {_pas_time('vertrektijd')} AS vertrektijd) FROM pas_pujopass)
+, b AS (
+  SELECT *, ifnull(aankomsttijd < last_value(aankomsttijd IGNORE NULLS) OVER p, false) AS back_aankomsttijd, ifnull(vertrektijd < last_value(vertrektijd IGNORE NULLS) OVER p, false) AS back_vertrektijd
+  FROM t WINDOW p AS (PARTITION BY ritnummer ORDER BY stopsequentie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT vervoerdercode, lijnsysteemnr, richting, ritnummer, voetnoot, stopsequentie, halteid, {_pas_rolled('aankomsttijd')} AS aankomsttijd, {_pas_rolled('vertrektijd')} AS vertrektijd
+FROM b WINDOW w AS (PARTITION BY ritnummer ORDER BY stopsequentie)"""))
+def q_pas_journeys(spark, sf):
+    return tagged.pas_journeys(pas_journey_lines(World(spark, sf)))[1]
+
+
+@register("src_pas_pujo_s16", oracle(["pas_pujo"], "SELECT modaliteit, vervoerdercode, lijnsysteemnr, richting, ritnummer, voetnoot FROM pas_pujo"))
+def q_pas_pujo(spark, sf):
+    return tagged.pas_journeys(pas_journey_lines(World(spark, sf)))[0]
+
+
+@register("src_pas_stops_s17", oracle(["pas_stops"], """
+SELECT NULL::VARCHAR AS overstaphalte, halteid, '3' AS overstaptijd, NULL::VARCHAR AS maxoverstaptijd, 'NL' AS landcode, NULL::VARCHAR AS tijdzone, NULL::VARCHAR AS attribuut,
+       CAST(x AS VARCHAR) AS x, CAST(y AS VARCHAR) AS y, naam, NULL::VARCHAR AS straat, NULL::VARCHAR AS volgendezijstraat, NULL::VARCHAR AS volgendezijstraat2,
+       halteid[3:4] AS zone1, NULL::VARCHAR AS zone2, NULL::VARCHAR AS zone3, NULL::VARCHAR AS zone4 FROM pas_stops"""))
+def q_pas_stops(spark, sf):
+    s = World(spark, sf).pas_stops
+    none = F.lit("  ")
+    line = F.concat_ws(",", none, "halteid", F.lit(" 3"), none, F.lit("NL"), none, none, F.col("x").cast("string"), F.col("y").cast("string"), F.rpad("naam", 40, " "), none, none, none,
+                       F.substring("halteid", 3, 2), none, none, none)
+    return tagged.pas_stops(_tagged(s, F.lit("RET.HLT"), F.substring("halteid", 3, 20).cast("long"), line))
+
+
+@register("src_iff_stations_s12", oracle(["iff_station"], """
+SELECT trainchanges, shortname, layovertime, country, timezone, CAST(x // 10 * 10 AS INTEGER) AS x, CAST(y // 10 * 10 AS INTEGER) AS y, name FROM iff_station"""))
+def q_iff_stations(spark, sf):
+    s = World(spark, sf).iff_station
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("0"))
+    line = F.concat_ws(",", text(F.col("trainchanges")), F.rpad("shortname", 7, " "), F.lpad((F.col("layovertime") / 60).cast("int").cast("string"), 2, "0"), F.lit("00"), F.rpad("country", 4, " "),
+                       text(F.col("timezone")), F.lit("0"), text(F.floor(F.col("x") / 10)), text(F.floor(F.col("y") / 10)), "name")
+    at = F.substring("shortname", 2, 20).cast("long")
+    lines = _tagged(s, F.lit("stations.dat"), at, line)
+    return tagged.iff_list(lines.unionByName(_tagged(s.limit(1), F.lit("stations.dat"), F.lit(0), F.lit("@100,01012024,31012024,0001,x"))), "stations")
+
+
+@register("src_iff_delivery_s14", oracle(["iff_company", "iff_delivery"], """
+SELECT 'company' || c.company || '.dat' AS file, c.company, firstday, lastday, versionnumber, c.name AS description FROM iff_company c CROSS JOIN iff_delivery"""))
+def q_iff_delivery(spark, sf):
+    w = World(spark, sf)
+    day = lambda c: F.date_format(w.iff_delivery.select(c).scalar(), "ddMMyyyy")
+    line = F.concat_ws(",", F.concat(F.lit("@"), F.col("company").cast("string")),
+                       day("firstday"), day("lastday"), F.lit("0001"), "name")
+    file = F.concat(F.lit("company"), F.col("company").cast("string"), F.lit(".dat"))
+    first = _tagged(w.iff_company, file, F.lit(0), line)
+    return tagged.iff_delivery(first.unionByName(_tagged(w.iff_company, file, F.lit(1), F.concat_ws(",", F.col("company").cast("string"), "code", "name"))))
+
+
+@register("src_conform_s19", oracle(["kv_pujopass"], """
+SELECT journeynumber, stoporder, userstopcode, targetarrivaltime, wheelchairaccessible, stoporder % 2 = 0 AS dataownerisoperator, CAST(NULL AS DATE) AS validfrom,
+       CAST(NULL AS INTEGER) AS productformulatype FROM kv_pujopass"""))
+def q_conform(spark, sf):
+    from gtfsforge.operators.first import ensure_column
+
+    text = World(spark, sf).kv_pujopass.select(
+        F.when(F.col("stoporder") % 2 == 0, "T").otherwise(" no ").alias("dataownerisoperator"), F.concat(F.lit(" "), F.col("stoporder").cast("string")).alias("stoporder"),
+        F.col("journeynumber").cast("string").alias("journeynumber"), F.rpad("userstopcode", 12, " ").alias("userstopcode"),
+        F.coalesce("targetarrivaltime", F.lit(" ")).alias("targetarrivaltime"), F.coalesce("wheelchairaccessible", F.lit("")).alias("wheelchairaccessible"))
+    schema = StructType()
+    for name, kind in (("journeynumber", "long"), ("stoporder", "integer"), ("userstopcode", "string"), ("targetarrivaltime", "string"), ("wheelchairaccessible", "string"),
+                       ("dataownerisoperator", "boolean"), ("validfrom", "date")):
+        schema = schema.add(name, kind)
+    return ensure_column(kv1.conform(text, schema), "productformulatype", "int")
