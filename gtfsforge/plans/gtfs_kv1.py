@@ -14,7 +14,7 @@ scoped by owner, which is the same result for a single operator.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gtfsforge.functions.geo import rd_to_wgs84
@@ -309,79 +309,48 @@ def trips_drivetime(t: dict[str, DataFrame]) -> DataFrame:
 
 # ------------------------------------------------------------------ O-B14
 def stop_times_drivetime(t: dict[str, DataFrame]) -> DataFrame:
-    """stop_times of drive-time journeys (O-B14): first stop, middle stops, last stop.
+    """stop_times of drive-time journeys (O-B14): first stop, middle stops, last stop (O-U2, O-K4).
 
     ``t['timdempass']`` holds the cumulative offsets (O-T7) per pattern and
-    time-demand group; the three branches are appended (O-U2, O-K4).
+    time-demand group.  What a journey calls at depends on its pattern and group
+    alone, so each group's calls are put together once, as one array (bounded by
+    the route's length), and the journeys are joined with that and exploded.
     """
     p, u, tp, jt, dest = t["pujo"], t["usrstop"], t["timdempass"], t["jopatili"], t["dest"]
     on_demand = F.col("productformulatype").isin(*lookup.ON_DEMAND_FORMULAS)
     trip_id = key("version", "dataownercode", "periodgroupcode", "daytype", "lineplanningnumber", "journeynumber")
-    trip = first_link(jt, [F.col("destcode").alias("trip_destcode")])
     d = dest.select("version", "dataownercode", "destcode", "destnamefull")
-    stops = u.select("version", "dataownercode", "userstopcode", "getin", "getout", "userstoptype")
+    stops = u.select("version", "dataownercode", F.col("userstopcode").alias("userstopcodebegin"), "getin", "getout", "userstoptype")
     TG = PAT + ["timedemandgroupcode"]
-
-    first = (
-        p.join(first_per(jt, PAT, ["timinglinkorder"]).select(*PAT, "userstopcodebegin", "productformulatype", "timinglinkorder"), PAT)
-        .join(stops.withColumnRenamed("userstopcode", "userstopcodebegin"), ["version", "dataownercode", "userstopcodebegin"])
-        .filter(F.col("userstoptype") == "PASSENGER")
-        .filter(F.col("dataownerisoperator"))
-        .select(
-            trip_id.alias("trip_id"),
-            F.col("timinglinkorder").cast("int").alias("stop_sequence"),
-            key("dataownercode", "userstopcodebegin").alias("stop_id"),
-            F.lit(None).cast("string").alias("stop_headsign"),
-            F.col("departuretime").alias("arrival_time"),
-            F.col("departuretime").alias("departure_time"),
-            F.when(on_demand, 3).otherwise((~F.col("getin")).cast("int")).alias("pickup_type"),
-            F.when(on_demand, 3).otherwise((~F.col("getout")).cast("int")).alias("drop_off_type"),
-        )
-    )
-    # middle stops: link n+1 starts where the timing of link n ends
-    links = (
-        jt.select(*PAT, "timinglinkorder", "userstopcodebegin", "destcode", "productformulatype")
-        .join(trip, PAT, "left")
-        .join(d, ["version", "dataownercode", "destcode"])
-        .join(stops.withColumnRenamed("userstopcode", "userstopcodebegin"), ["version", "dataownercode", "userstopcodebegin"])
-    )
-    tpm = tp.select(*TG, (F.col("timinglinkorder") + 1).alias("timinglinkorder"), "totaldrivetime", "stopwaittime")
-    middle = (
-        p.select(*TG, "periodgroupcode", "daytype", "journeynumber", "departuretime")
-        .join(tpm, TG)
-        .join(links, PAT + ["timinglinkorder"])
-        .select(
-            trip_id.alias("trip_id"),
-            F.col("timinglinkorder").cast("int").alias("stop_sequence"),
-            key("dataownercode", "userstopcodebegin").alias("stop_id"),
-            F.when(F.col("trip_destcode") != F.col("destcode"), F.col("destnamefull")).alias("stop_headsign"),
-            add32time("departuretime", F.col("totaldrivetime")).alias("arrival_time"),
-            add32time("departuretime", (F.col("totaldrivetime") + F.col("stopwaittime")).cast("int")).alias("departure_time"),
-            F.when(on_demand, 3).otherwise((~F.col("getin")).cast("int")).alias("pickup_type"),
-            F.when(on_demand, 3).otherwise((~F.col("getout")).cast("int")).alias("drop_off_type"),
-        )
-    )
-    last_link = first_per(jt, PAT, [F.col("timinglinkorder").desc()]).select(
-        *PAT, "userstopcodeend", "destcode", "timinglinkorder", "productformulatype"
-    )
-    last = (
-        p.select(*TG, "periodgroupcode", "daytype", "journeynumber", "departuretime")
-        .join(tp.select(*TG, "timinglinkorder", "totaldrivetime", "stopwaittime"), TG)
-        .join(last_link, PAT + ["timinglinkorder"])
-        .join(d, ["version", "dataownercode", "destcode"], "left")
-        .join(trip, PAT, "left")
-        .select(
-            trip_id.alias("trip_id"),
-            (F.col("timinglinkorder") + 1).cast("int").alias("stop_sequence"),
-            key("dataownercode", "userstopcodeend").alias("stop_id"),
-            F.when(F.col("trip_destcode") != F.col("destcode"), F.col("destnamefull")).alias("stop_headsign"),
-            add32time("departuretime", F.col("totaldrivetime")).alias("arrival_time"),
-            add32time("departuretime", (F.col("totaldrivetime") + F.col("stopwaittime")).cast("int")).alias("departure_time"),
-            F.when(on_demand, 3).otherwise(0).alias("pickup_type"),
-            F.when(on_demand, 3).otherwise(0).alias("drop_off_type"),
-        )
-    )
-    return union_all(first, middle, last)
+    w = Window.partitionBy(*PAT).orderBy("timinglinkorder").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    links = jt.select(
+        *PAT, "timinglinkorder", "userstopcodebegin", "userstopcodeend", "destcode", "productformulatype", F.min("timinglinkorder").over(w).alias("first"),
+        F.max("timinglinkorder").over(w).alias("last"), F.first("destcode").over(w).alias("trip_destcode"))
+    sign = F.when(F.col("trip_destcode") != F.col("destcode"), F.col("destnamefull"))
+
+    def call(order, stop, headsign, pickup, drop):
+        return F.struct(order.cast("int").alias("stop_sequence"), key("dataownercode", stop).alias("stop_id"), headsign.alias("stop_headsign"),
+                        pickup.alias("pickup_type"), drop.alias("drop_off_type"))
+
+    boarded = [F.when(on_demand, 3).otherwise((~F.col(c)).cast("int")) for c in ("getin", "getout")]
+    first = (links.where("timinglinkorder = first").join(stops.where("userstoptype = 'PASSENGER'"), ["version", "dataownercode", "userstopcodebegin"])
+             .select(*PAT, call(F.col("timinglinkorder"), "userstopcodebegin", F.lit(None).cast("string"), *boarded).alias("first")))
+    # the call where link n + 1 begins has the time at which link n ends; so has the last stop
+    middle = (links.join(d, ["version", "dataownercode", "destcode"]).join(stops, ["version", "dataownercode", "userstopcodebegin"])
+              .select(*PAT, (F.col("timinglinkorder") - 1).alias("timinglinkorder"), call(F.col("timinglinkorder"), "userstopcodebegin", sign, *boarded).alias("call")))
+    unboarded = F.when(on_demand, 3).otherwise(0)
+    last = (links.where("timinglinkorder = last").join(d, ["version", "dataownercode", "destcode"], "left")
+            .select(*PAT, "timinglinkorder", call(F.col("timinglinkorder") + 1, "userstopcodeend", sign, unboarded, unboarded).alias("call")))
+    timed = F.struct("call", F.col("totaldrivetime").alias("arrives"), (F.col("totaldrivetime") + F.col("stopwaittime")).alias("leaves"))
+    calls = tp.join(union_all(middle, last), PAT + ["timinglinkorder"]).groupBy(*TG).agg(F.collect_list(timed).alias("calls"))
+    journeys = p.select(*TG, "periodgroupcode", "daytype", "journeynumber", "departuretime", "dataownerisoperator").join(calls, TG, "left").join(first, PAT, "left")
+    start = F.struct(F.col("first").alias("call"), F.lit(None).cast("long").alias("arrives"), F.lit(None).cast("long").alias("leaves"))
+    begins = F.filter(F.array(start), lambda x: x["call"].isNotNull() & F.col("dataownerisoperator"))
+    every = F.concat(begins, F.coalesce("calls", F.filter(F.array(start), lambda x: F.lit(False))))
+    out = journeys.select(trip_id.alias("trip_id"), "departuretime", F.explode(every).alias("x"))
+    at = lambda c: F.when(F.col(f"x.{c}").isNull(), F.col("departuretime")).otherwise(add32time("departuretime", F.col(f"x.{c}").cast("int")))
+    return out.select("trip_id", "x.call.stop_sequence", "x.call.stop_id", "x.call.stop_headsign", at("arrives").alias("arrival_time"), at("leaves").alias("departure_time"),
+                      "x.call.pickup_type", "x.call.drop_off_type")
 
 
 # ------------------------------------------------------------------ O-G4 / O-B17
