@@ -5,7 +5,7 @@ buckets), counted over all learning rows.  A document's trigrams are a mixture
 of languages; expectation-maximisation estimates the proportions, and the set
 of languages is chosen by penalised likelihood: a further language must raise
 the log-likelihood by more than the penalty.  The prediction is the language of
-the largest proportion, which is the score.
+the largest proportion, which is the score; of equal ones the first by name.
 
 Trigrams are taken over letters (ASCII letters and all non-ASCII bytes, in
 lower case) and single gaps.  Null texts and texts without a letter are `und`

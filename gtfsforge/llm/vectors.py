@@ -3,7 +3,8 @@
 Equal vectors score alike against everything, and of a class only its k + 1
 smallest ids can be among any query's k nearest.  So the searches work on
 distinct vectors with at most k + 1 ids each; however many rows are copies of
-one vector, they are one candidate and one query.
+one vector, they are one candidate and one query.  Rows that repeat an id with
+another vector are candidates and queries of their own under that id.
 """
 
 from __future__ import annotations
