@@ -27,6 +27,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    p, fs = at(spark, path)
+    fs.mkdirs(p)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     p, fs = at(spark, path)
     fs.create(p, True).close()

@@ -8,13 +8,17 @@ themselves, projected the way the parser must give them back.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gtfsforge import files
 from gtfsforge.plans.registry import register
 from gtfsforge.plans.views import World, oracle
-from gtfsforge.sources import kv1, tagged
+from gtfsforge.session import ensure_checkpoint_dir
+from gtfsforge.sources import archives, kv1, tagged
 
 PLAN_AS_OF = "1998-07-01"
 
@@ -220,6 +224,30 @@ def q_kv1_bad_lines(spark, sf):
     return kv1.parse_lines(kv1_lines(World(spark, sf)), "pujopass", _passing_schema())[1].drop("line")
 
 
+# ---------------------------------------------------------------- O-S4: archives
+def archived_lines(w: World):
+    """Passings as members of archives, a line each, the even journeys in an archive within the archive."""
+    p = w.kv_pujopass
+    archive = F.concat(F.lit("v"), F.col("version").cast("string"), F.lit("_"), (F.col("journeynumber") % 23).cast("string"), F.lit(".zip!/"))
+    inner = F.when(F.col("journeynumber") % 2 == 0, "Csv.zip!/in/").otherwise("")
+    line = F.concat_ws("|", F.lit("PUJOPASS"), F.col("version").cast("string"), F.lit("I"), F.col("journeynumber").cast("string"), F.col("stoporder").cast("string"), "userstopcode")
+    return p.select(F.concat(archive, inner, F.lit("PUJOPASSX.TMI")).alias("file"), (F.col("journeynumber") * 1000 + F.col("stoporder")).alias("pos"), line.alias("line"))
+
+
+@register("src_archives_s4", oracle(["kv_pujopass"], """
+, f AS (SELECT *, 'v' || version || '_' || journeynumber % 23 || '.zip!/' || if(journeynumber % 2 = 0, 'Csv.zip!/in/', '') || 'PUJOPASSX.TMI' AS file FROM kv_pujopass)
+SELECT file, row_number() OVER (PARTITION BY file ORDER BY journeynumber, stoporder) - 1 AS pos, version, journeynumber, stoporder, userstopcode FROM f"""))
+def q_archives(spark, sf):
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    files.make(spark, folder)
+    archives.pack_archives(archived_lines(World(spark, sf)), folder)
+    schema = StructType()
+    for name, kind in (("tablename", "string"), ("version", "integer"), ("implicit", "string"), ("journeynumber", "long"), ("stoporder", "integer"), ("userstopcode", "string")):
+        schema = schema.add(name, kind)
+    rows = kv1.parse_lines(archives.archive_lines(spark, f"{folder}/*.zip"), "pujopass", schema)[0]
+    return rows.select(F.regexp_extract("file", r"(v\d+_\d+\.zip!/.*)$", 1).alias("file"), "pos", "version", "journeynumber", "stoporder", "userstopcode")
+
+
 # ---------------------------------------------------------------- O-S6, S8, S10: what to load, in which order
 def _index(w: World):
     """An index with an entry for each schedule version, its validity, and what was loaded or purged."""

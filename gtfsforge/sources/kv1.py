@@ -9,13 +9,11 @@ positional columns and ``''`` -> NULL.
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gtfsforge.sources.archives import expand_archives  # noqa: F401  (O-S4)
+
 # Owners whose deliveries are ISO-8859-15 encoded (the rest is UTF-8).
 LATIN9_OWNERS = ("QBUZZ", "CXX", "EBS")
 
@@ -95,35 +93,6 @@ def parse_lines(lines: DataFrame, table: str, schema, profile_absent=()) -> tupl
     return mine.where("reason is null").select("file", "pos", *columns), mine.where("reason is not null").select("file", "pos", "line", "reason")
 
 
-def expand_archives(spark: SparkSession, glob: str) -> DataFrame:
-    """Zip archives -> (archive, member, content) rows; nested ``*.zip`` members are opened too (O-S4).
-
-    One archive is one task (``binaryFile`` rows are whole files); the members
-    are emitted as Arrow batches by ``mapInPandas``.
-    """
-    raw = spark.read.format("binaryFile").load(glob).select(F.col("path").alias("archive"), "content")
-
-    def members(batches):
-        for pdf in batches:
-            out = []
-            for arch, content in zip(pdf["archive"], pdf["content"]):
-                stack = [(bytes(content), "")]
-                while stack:
-                    data, prefix = stack.pop()
-                    with zipfile.ZipFile(io.BytesIO(data)) as z:
-                        for n in z.namelist():
-                            if n.endswith("/"):
-                                continue
-                            b = z.read(n)
-                            if n.lower().endswith(".zip"):
-                                stack.append((b, prefix + n + "!"))
-                            else:
-                                out.append((arch, prefix + n, b))
-            yield pd.DataFrame(out, columns=["archive", "member", "content"])
-
-    return raw.mapInPandas(members, "archive string, member string, content binary")
-
-
 def delivery_meta(operday_lines: DataFrame) -> DataFrame:
     """Owner and first/last operating day of a delivery from its OPERDAY rows (O-S5).
 
