@@ -5,6 +5,9 @@ begin, inside or outside by a linear-chain field whose features are a token's
 shape, its neighbours and what kind of file it is in; the tags are decoded by
 Viterbi, and tagged stretches that meet no pattern's match are added.  The
 field learns from a bounded sample of documents, the matches being its labels.
+So that it learns more than the patterns' own shapes, every document with a
+match also teaches by a varied copy: each secret is drawn anew from one of a
+few alphabets, and the word that names it is another, or an ordinary one.
 
 Null and empty texts have no spans.  Positions are code points, the end
 exclusive, over the whole text.
@@ -13,7 +16,9 @@ exclusive, over the whole text.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +42,12 @@ MAYBE = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]""", "AKIA
 WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "key", "auth", "bearer", "credential", "credentials", "private_key", "access_key", "access_token")
 #: Documents (with and without matches each, about) and lines that the field learns from, at most.
 DOCUMENTS, LINES, WINDOW = 400, 1500, 60
+#: What a varied secret is made of: hexadecimal digits, letters of both cases, one case, base64, separated groups.
+ALPHABETS = {
+    "hex": string.hexdigits.lower(), "HEX": string.hexdigits.upper(), "mixed": string.ascii_letters + string.digits, "upper": string.ascii_uppercase + string.digits,
+    "lower": string.ascii_lowercase + string.digits, "base64": string.ascii_letters + string.digits + "+/", "dashes": string.ascii_lowercase + string.digits + "-",
+    "underscores": string.ascii_letters + string.digits + "_",
+}
 
 
 def base_spans(text: str, maybe=(True, True, True)) -> list[tuple[str, int, int]]:
@@ -56,6 +67,35 @@ def secret_parts(text: str) -> list[tuple[int, int]]:
     return [m.span(2) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8] + [s[1:] for s in base_spans(text, (False, True, True))]
 
 
+def varied(text: str, parts: list[tuple[int, int]], alphabets: tuple[str, ...] = tuple(ALPHABETS)) -> tuple[str, list[tuple[int, int]]]:
+    """(text, secret parts) with every secret drawn anew, 16 to 64 characters of one alphabet, and its name another word.
+
+    Of four names three are of WORDS and one is an ordinary word of the text.
+    What is drawn follows from the text, so reruns agree.
+    """
+    draw = random.Random(hashlib.blake2b(text.encode(errors="replace"), digest_size=8).digest())
+    named = {m.start(2): m.span(1) for m in ASSIGN.finditer(text)}
+    plain = re.findall(r"[a-z]{3,12}", text[:10_000]) or ["note"]
+    out, found, done, length = [], [], 0, 0
+    for a, b in sorted(set(parts), key=lambda x: (x[0], -x[1])):
+        if a < done:  # within the last one
+            continue
+        x, y = named.get(a, (a, a))
+        if x < done:
+            x = y = a
+        name = draw.choice(WORDS if draw.random() < 0.75 else plain) if x < y else ""
+        letters = ALPHABETS[draw.choice(alphabets)]
+        secret = "".join(draw.choices(letters, k=draw.randint(16, 64)))
+        if not letters[-1].isalnum():  # neither end is a mark
+            secret = draw.choice(string.ascii_letters) + secret[1:-1] + draw.choice(string.digits)
+        lead = text[done:x] + name + text[y:a]
+        out += [lead, secret]
+        length += len(lead)
+        found.append((length, length + len(secret)))
+        length, done = length + len(secret), b
+    return "".join(out) + text[done:], found
+
+
 _LOWER, _UPPER, _DIGIT, _MARK, _HEX, _HIGH, _VOWEL = range(7)
 _CLASS = np.zeros((7, 256), bool)
 _CLASS[_LOWER, 97:123] = _CLASS[_UPPER, 65:91] = _CLASS[_DIGIT, 48:58] = _CLASS[_HIGH, 128:] = True
@@ -118,6 +158,7 @@ def featurise(raw: np.ndarray, first: np.ndarray, s: np.ndarray, e: np.ndarray,
     has = lambda cs, a, b: sum(codes[c][b] - codes[c][a] for c in cs) > 0
     after = np.minimum(e + 1, len(raw))
     sets, quoted, quote_after = has(b":=", begin, s), has(b"\"'", begin, s), has(b"\"'", e, after)
+    sets &= (raw[s] != 47) | (raw[np.minimum(s + 1, len(raw) - 1)] != 47)  # an address follows its scheme
     previous = lambda v: np.concatenate(([False], v[:-1])) & ~new
     following = lambda v: np.concatenate((v[1:] & ~new[1:], [False]))
     x[:, 22:34] = np.stack(
@@ -143,50 +184,62 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def learn(texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+def _taught(text: str, parts: list[tuple[int, int]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first token, features, tags) of each line; of a long one a piece, around its first secret."""
+    raw, first = _bytes(pa.array([text]))
+    s, e, row, new = tokens(raw, first)
+    if not len(s):
+        return
+    tag = np.zeros(len(s), np.int8)
+    for a, b in parts:
+        a, b = len(text[:a].encode()), len(text[:b].encode())
+        inside = np.flatnonzero((s >= a) & (e <= b))
+        if len(inside):
+            tag[inside] = crf.INSIDE
+            tag[inside[0]] = crf.BEGIN
+    x = featurise(raw, first, s, e, row, new)
+    starts = np.flatnonzero(new)
+    for a, b in zip(starts, np.append(starts[1:], len(s))):
+        if b - a > WINDOW:
+            hits = np.flatnonzero(tag[a:b])
+            a += max(0, int(hits[0]) - WINDOW // 2) if len(hits) else 0
+            b = min(b, a + WINDOW)
+            if tag[a] == crf.INSIDE:
+                tag[a] = crf.BEGIN
+        yield int(a), x[a:b], tag[a:b]
+
+
+def learn(texts: list[str], alphabets: tuple[str, ...] = tuple(ALPHABETS)) -> tuple[np.ndarray, np.ndarray] | None:
     """The field's weights from documents whose labels are the patterns' matches; None if nothing matches.
 
     Lines without a match are drawn by hash, half of them from documents
-    without any; what one kind of document lacks the other has.
+    without any; what one kind of document lacks the other has.  Lines with a
+    match come as they are first, then varied, as far as there is room.
+    alphabets: of the varied secrets (none: no varied lines).
     """
-    labelled, plain = [], {True: [], False: []}
+    labelled, other, plain = [], [], {True: [], False: []}
     for t in texts:
-        raw, first = _bytes(pa.array([t]))
-        s, e, row, new = tokens(raw, first)
-        if not len(s):
-            continue
-        tag = np.zeros(len(s), np.int8)
-        parts = list(secret_parts(t))
-        mine, seed = plain[bool(parts)], hashlib.blake2b(raw.tobytes(), digest_size=16).digest()
-        for a, b in parts:
-            a, b = len(t[:a].encode()), len(t[:b].encode())
-            inside = np.flatnonzero((s >= a) & (e <= b))
-            if len(inside):
-                tag[inside] = crf.INSIDE
-                tag[inside[0]] = crf.BEGIN
-        x = featurise(raw, first, s, e, row, new)
-        starts = np.flatnonzero(new)
-        for a, b in zip(starts, np.append(starts[1:], len(s))):
-            hits = np.flatnonzero(tag[a:b])
-            if b - a > WINDOW:  # a piece of a long line, around its first secret
-                a += max(0, int(hits[0]) - WINDOW // 2) if len(hits) else 0
-                b = min(b, a + WINDOW)
-                if tag[a] == crf.INSIDE:
-                    tag[a] = crf.BEGIN
-            if len(hits):
-                if len(labelled) < LINES:
-                    labelled.append((x[a:b].copy(), tag[a:b]))
-            else:
-                drawn = hashlib.blake2b(int(a).to_bytes(8, "big"), key=seed, digest_size=8).digest()
-                mine.append((drawn, x[a:b].copy(), tag[a:b]))
+        parts = secret_parts(t)
+        mine, seed = plain[bool(parts)], hashlib.blake2b(t.encode(), digest_size=16).digest()
+        for a, x, tag in _taught(t, parts):
+            if not tag.any():
+                drawn = hashlib.blake2b(a.to_bytes(8, "big"), key=seed, digest_size=8).digest()
+                mine.append((drawn, x.copy(), tag))
+            elif len(labelled) < LINES:
+                labelled.append((x.copy(), tag))
         mine.sort(key=lambda r: r[0])
         del mine[LINES // 2 :]
+        if parts and alphabets and len(other) < LINES:
+            other += [(x.copy(), tag) for _, x, tag in _taught(*varied(t, parts, alphabets)) if tag.any()]
     if not labelled:
         return None
     few, many = sorted(plain.values(), key=len)
     few = few[: LINES // 4]
     drawn = [r[1:] for r in few + many[: LINES // 2 - len(few)]]
-    xs, ys = zip(*labelled[: LINES - len(drawn)], *drawn)
+    room = LINES - len(drawn)
+    half = max(room - len(other), room // 2) if other else room
+    labelled = labelled[:half]
+    xs, ys = zip(*labelled, *other[: room - len(labelled)], *drawn)
     return crf.train(np.concatenate(xs).astype(np.float64), np.concatenate(ys), np.array([len(y) for y in ys]))
 
 
