@@ -2,13 +2,15 @@
 
 Components are turned into integers floor(scale * x).  Candidates, longest
 first, are cut into blocks.  Every query first meets the block of the longest
-vectors, which gives a lower bound of its k-th best score; a later block is
-only sent to query blocks for one of whose queries |q| * (largest length) can
-still reach that bound.  Inside a block pair vectors are rotated onto the
-principal directions of all vectors, so that the first components carry most
-of an inner product; a pair is dropped as soon as the partial sum plus the
-Cauchy-Schwarz bound of the residuals cannot reach the query's bound.  What is
-left is scored in integers.  Bounds keep ties, so the result is exact.
+vectors, which gives a lower bound of its k-th best score.  Queries are then
+ordered by the length that a candidate must have to reach that bound, and cut
+into blocks anew; a later block is only sent to query blocks for one of whose
+queries |q| * (largest length) can still reach the bound.  Inside a block pair
+vectors are rotated onto the principal directions of all vectors, so that the
+first components carry most of an inner product; a pair is dropped as soon as
+the partial sum plus the Cauchy-Schwarz bound of the residuals cannot reach the
+query's bound.  What is left is scored in integers.  Bounds keep ties, so the
+result is exact.
 
 Vectors that are null or hold a null or non-finite component, don't have the
 table's commonest length, or have no id take no part; zero vectors do.
@@ -120,6 +122,25 @@ def _pairs(k: int, d: int, rot):
     return run
 
 
+def wanted_blocks(ask: DataFrame, ordered: DataFrame, query_block: int = QUERIES) -> tuple[DataFrame, DataFrame | None]:
+    """(ask with its block `at`, pairs (at, block) that can still hold a result; None if there is one block of candidates).
+
+    ask: qid, length and bound (null: none) of queries; ordered: block and length
+    of candidates.  Queries are ordered by the length from which on a candidate
+    can reach their bound, so that no weak query asks for a block of strong ones.
+    """
+    low = F.coalesce("bound", F.lit(float("-inf")))
+    least = F.when(F.col("length") > 0, low / F.col("length")).otherwise(F.when(low <= 0, F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
+    ask = ranked(ask.withColumn("least", least), F.col("least"), "qid").withColumn("at", F.floor(F.col("rank") / query_block)).drop("rank")
+    longest = ordered.where("block > 0").groupBy("block").agg(F.max("length").alias("longest"))
+    last = longest.agg(F.max("block")).first()[0]
+    if last is None:
+        return ask, None
+    need = ask.groupBy("at").agg(F.min("least").alias("least"))
+    pairs = need.withColumn("block", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(last).cast("long")))).join(longest, "block")
+    return ask, pairs.where(F.col("longest") * (1 + 1e-9) + 1e-9 >= F.col("least")).select("at", "block")
+
+
 def top_inner_products(rows: DataFrame, k: int = 20, asked=None, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, block: int = BLOCK, query_block: int = QUERIES) -> DataFrame:
     """query_id, rank, vec_id and score: each query row's k highest integer inner products, ties to the smaller id.
 
@@ -150,18 +171,9 @@ def top_inner_products(rows: DataFrame, k: int = 20, asked=None, id_col: str = "
         first.withColumn("n", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "cid"))).where(F.col("n") == k + 1)
         .select("qid", F.col("score").alias("bound"))
     )
-    ask = durable(ask.join(kth, "qid", "left").withColumn("bound", F.col("bound").cast("double")))
-    # a query block needs the blocks whose longest vector can still reach the bound of one of its queries
-    need = ask.groupBy("at").agg(F.min(F.when(F.col("length") > 0, F.coalesce("bound", F.lit(float("-inf"))) / F.col("length")).otherwise(
-        F.when(F.coalesce("bound", F.lit(float("-inf"))) <= 0, F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))).alias("least"))
-    longest = ordered.where("block > 0").groupBy("block").agg(F.max("length").alias("longest"))
-    last = longest.agg(F.max("block")).first()[0]
-    if last is None:
+    ask, wanted = wanted_blocks(ask.drop("at").join(kth, "qid", "left").withColumn("bound", F.col("bound").cast("double")), ordered, query_block)
+    if wanted is None:
         return result(first, found, queries, k, "long")
-    wanted = (
-        need.withColumn("block", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(last).cast("long")))).join(longest, "block")
-        .where(F.col("longest") * (1 + 1e-9) + 1e-9 >= F.col("least")).select("at", "block")
-    )
     wanted = durable(wanted)
     named = lambda df, *names: df.select(*[F.col(x).alias(x) for x in names])  # noqa: E731  new columns, so that the sides can't be mixed up
     asks = named(ask.join(named(wanted, "at", "block"), "at"), "at", "block", "qid", "v", "bound")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from gtfsforge.llm.ann import RECALL, balanced_parts, fit, nearest, neighbour_graph
-from gtfsforge.llm.mips import top_inner_products
+from gtfsforge.llm.mips import top_inner_products, wanted_blocks
 from gtfsforge.llm.queries_vectors import SQL_TOP, op2_learned_partitions, op9_top_inner_products
 from pyspark.sql import functions as F
 
@@ -65,6 +65,20 @@ def test_lengths_that_prune(spark):
         assert sorted(got[q]) == [(n + 1, int(j), int(s[j])) for n, j in enumerate(order)]
 
 
+def test_strong_queries_ask_for_no_further_block(spark):
+    """Eight queries whose bound only the longest candidates reach, between eight weak ones; two without a length."""
+    rows = [(q, 2.0, 2.0 * (90 if q % 2 else 3)) for q in range(16)] + [(16, 0.0, 0.0), (17, 1.0, None)]
+    ask = spark.createDataFrame(rows, "qid long, length double, bound double")
+    ordered = spark.createDataFrame([(b, 100.0 / (b + 1) - i) for b in range(40) for i in range(2)], "block long, length double")
+    got, wanted = wanted_blocks(ask, ordered, 10)
+    assert {r.qid: r.at for r in got.collect()} == {**{q: int(q % 2) for q in range(16)}, 16: 0, 17: 0}
+    assert sorted((r.at, r.block) for r in wanted.collect()) == [(0, b) for b in range(1, 40)]
+    got, wanted = wanted_blocks(ask.where("qid < 16"), ordered, 8)
+    assert sorted((r.at, r.block) for r in wanted.collect()) == [(0, b) for b in range(1, 33)]  # 100 / 33 reaches 3
+    assert wanted_blocks(ask, ordered.where("block = 0"), 8)[1] is None
+    assert wanted_blocks(ask.limit(0), ordered, 8)[1].count() == 0
+
+
 def test_tables(spark, sf, against_sql):
     table = spark.read.parquet(f"{sf}/embeddings.parquet")
     got, want = against_sql(spark, op9_top_inner_products, SQL_TOP, embeddings=table)
