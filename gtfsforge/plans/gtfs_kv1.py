@@ -366,24 +366,22 @@ def shapes(t: dict[str, DataFrame], ties: str = "row_number", match_transport: b
     from gtfsforge.operators.first import seq
 
     jt, pool, point, line = t["jopatili"], t["pool"], t["point_all"], t["line"]
-    pts = point.select("version", F.col("dataownercode").alias("pointdataownercode"), "pointcode", "locationx_ew",
-                       "locationy_ns")
+    # each point is transformed once, however many patterns pass it
+    pts = rd_to_wgs84(point, "locationx_ew", "locationy_ns").select(
+        "version", F.col("dataownercode").alias("pointdataownercode"), "pointcode",
+        F.col("lat").cast("decimal(8,5)").alias("shape_pt_lat"), F.col("lon").cast("decimal(7,5)").alias("shape_pt_lon"))
     ln = line.select("version", "dataownercode", "lineplanningnumber", F.col("transporttype").alias("line_tt"))
     j = (
         jt.select(*PAT, "timinglinkorder", "userstopcodebegin", "userstopcodeend")
         .join(pool, ["version", "dataownercode", "userstopcodebegin", "userstopcodeend"])
         .join(ln, ["version", "dataownercode", "lineplanningnumber"])
-        .join(pts, ["version", "pointdataownercode", "pointcode"])
     )
     if match_transport:
         j = j.filter(F.col("transporttype") == F.col("line_tt"))
     if exclude_train:
         j = j.join(train_lines(line), ["dataownercode", "lineplanningnumber"], "left_anti")
+    j = j.join(pts, ["version", "pointdataownercode", "pointcode"])
     j = seq(j, PAT, ["timinglinkorder", "distancesincestartoflink"], "shape_pt_sequence", ties=ties)
-    j = rd_to_wgs84(j, "locationx_ew", "locationy_ns")
-    return j.select(
-        key(*PAT).alias("shape_id"),
-        F.col("lat").cast("decimal(8,5)").alias("shape_pt_lat"),
-        F.col("lon").cast("decimal(7,5)").alias("shape_pt_lon"),
-        F.col("shape_pt_sequence").cast("int").alias("shape_pt_sequence"),
-    ).distinct()
+    # distinct by the pattern's own columns, which the window has brought together already; codes hold no separator
+    j = j.select(*PAT, "shape_pt_lat", "shape_pt_lon", F.col("shape_pt_sequence").cast("int").alias("shape_pt_sequence")).distinct()
+    return j.select(key(*PAT).alias("shape_id"), "shape_pt_lat", "shape_pt_lon", "shape_pt_sequence")

@@ -24,38 +24,39 @@ PLAN_AS_OF = "1998-07-01"
 
 
 def iff_lines(w: World):
+    """IFF timetable lines of every journey: each passing is turned into its lines at once."""
     p = w.kv_pujopass
     n = F.count(F.lit(1)).over(Window.partitionBy("journeynumber"))
     p = p.withColumn("nstops", n)
     base = F.col("journeynumber") * 1000
-    file = F.concat(F.lit("timetbls_v"), F.col("version").cast("string"))
+    first = F.col("stoporder") == 1
 
     def hm(c):
         return F.concat(F.substring(c, 1, 2), F.substring(c, 4, 2))
 
-    heads = p.filter(F.col("stoporder") == 1)
-    header = heads.select(file.alias("file"), base.alias("pos"), F.lit("#").alias("tag"),
-                          F.lpad(F.col("journeynumber").cast("string"), 8, "0").alias("body"))
-    service = heads.select(file.alias("file"), (base + 1).alias("pos"), F.lit("%").alias("tag"), F.concat(
+    def line(pos, tag, body):
+        return F.struct(pos.alias("pos"), tag.alias("tag"), body.alias("body"))
+
+    header = line(base, F.lit("#"), F.lpad(F.col("journeynumber").cast("string"), 8, "0"))
+    service = line(base + 1, F.lit("%"), F.concat(
         F.lit("100,"), F.lpad((F.col("journeynumber") % 100000).cast("string"), 5, "0"), F.lit(",      ,001,"),
-        F.lpad(F.col("nstops").cast("string"), 3, "0"), F.lit(",")).alias("body"))
-    validity = heads.select(file.alias("file"), (base + 2).alias("pos"), F.lit("-").alias("tag"),
-                            F.lit("00001,000,999").alias("body"))
+        F.lpad(F.col("nstops").cast("string"), 3, "0"), F.lit(",")))
+    validity = line(base + 2, F.lit("-"), F.lit("00001,000,999"))
     arr, dep = F.col("targetarrivaltime"), F.col("targetdeparturetime")
-    tag = (F.when(F.col("stoporder") == 1, ">").when(F.col("stoporder") == F.col("nstops"), "<")
+    tag = (F.when(first, ">").when(F.col("stoporder") == F.col("nstops"), "<")
            .when(hm(arr) == hm(dep), ".").otherwise("+"))
     stop = F.rpad(F.col("userstopcode"), 7, " ")
     body = (F.when(tag == ">", F.concat(stop, F.lit(","), F.coalesce(hm(dep), F.lit(""))))
             .when(tag == "<", F.concat(stop, F.lit(","), hm(arr)))
             .when(tag == ".", F.concat(stop, F.lit(","), hm(arr)))
             .otherwise(F.concat(stop, F.lit(","), hm(arr), F.lit(","), hm(dep))))
-    stops = p.select(file.alias("file"), (base + F.col("stoporder") * 10).alias("pos"), tag.alias("tag"), body.alias("body"))
-    plat = p.filter(F.col("stoporder") % 3 == 0).select(
-        file.alias("file"), (base + F.col("stoporder") * 10 + 1).alias("pos"), F.lit("?").alias("tag"),
-        F.concat(F.lit("A"), (F.col("stoporder") % 5).cast("string"), F.lit(" ,"),
-                 F.when(F.col("journeynumber") % 4 == 0, "B").otherwise("A"), (F.col("stoporder") % 5).cast("string"),
-                 F.lit(" ,00001")).alias("body"))
-    return header.unionByName(service).unionByName(validity).unionByName(stops).unionByName(plat)
+    call = line(base + F.col("stoporder") * 10, tag, body)
+    platform = line(base + F.col("stoporder") * 10 + 1, F.lit("?"), F.concat(
+        F.lit("A"), (F.col("stoporder") % 5).cast("string"), F.lit(" ,"),
+        F.when(F.col("journeynumber") % 4 == 0, "B").otherwise("A"), (F.col("stoporder") % 5).cast("string"), F.lit(" ,00001")))
+    lines = F.array(F.when(first, header), F.when(first, service), F.when(first, validity), call, F.when(F.col("stoporder") % 3 == 0, platform))
+    file = F.concat(F.lit("timetbls_v"), F.col("version").cast("string"))
+    return p.select(file.alias("file"), F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("x")).select("file", "x.*")
 
 
 def _iff(w: World):

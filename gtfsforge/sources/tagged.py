@@ -73,20 +73,44 @@ def _stop_index(df: DataFrame) -> DataFrame:
     return df.withColumn("idx", F.sum(is_stop).over(w))
 
 
-def iff_timetable(lines: DataFrame) -> dict[str, DataFrame]:
+def _in_order(lines: DataFrame, chunk: int) -> DataFrame:
+    """IFF records with their block's `serviceid`, the number `idx` of stops up to them in it and the station `at_station` of the last one.
+
+    One window over each chunk of positions counts stops and keeps the latest
+    header and the latest stop; the last line of each chunk says what the next
+    ones go on from.  Lines before a file's first header are left out.
+    """
+    stop, header = F.col("tag").isin(*STOP_TAGS), F.col("tag") == "#"
+    within = Window.partitionBy("file", "__chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    c = lines.withColumn("__chunk", F.floor(F.col("pos") / chunk)).withColumn("__n", F.count(F.when(stop, 1)).over(within))
+    opened = F.when(header, F.struct(F.trim("body").cast("int").alias("id"), F.col("__n").alias("n")))
+    # a header forgets the stop before it
+    at = F.when(stop | header, F.struct(F.when(stop, _fields(1)[0]).alias("station")))
+    c = c.withColumns({"__head": F.last(opened, ignorenulls=True).over(within), "__at": F.last(at, ignorenulls=True).over(within)})
+    ends = c.groupBy("file", "__chunk").agg(F.max_by(F.struct("__n", "__head", "__at"), "pos").alias("e"))
+    before = Window.partitionBy("file").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("__past", F.coalesce(F.sum("e.__n").over(before), F.lit(0)))
+    # the stops of a file before its latest header
+    began = F.when(F.col("e.__head").isNotNull(), F.struct(F.col("e.__head.id").alias("id"), (F.col("__past") + F.col("e.__head.n")).alias("n")))
+    carry = ends.select("file", "__chunk", "__past", F.last(began, ignorenulls=True).over(before).alias("__began"), F.last("e.__at", ignorenulls=True).over(before).alias("__was"))
+    # a file's name and chunk are never null
+    c = c.join(carry, ["file", "__chunk"]).where("__head is not null or __began is not null")
+    own = F.col("__head").isNotNull()
+    return c.select(
+        "file", "tag", "body", F.when(own, F.col("__head.id")).otherwise(F.col("__began.id")).alias("serviceid"),
+        F.when(own, F.col("__n") - F.col("__head.n")).otherwise(F.col("__past") + F.col("__n") - F.col("__began.n")).alias("idx"),
+        F.when(F.col("__at").isNotNull(), F.col("__at.station")).otherwise(F.col("__was.station")).alias("at_station"))
+
+
+def iff_timetable(lines: DataFrame, chunk: int = 100_000) -> dict[str, DataFrame]:
     """IFF timetable records -> timetable_{service,validity,transport,attribute,stop,platform} (O-S11).
 
     Every table carries its `file`, as service ids are only unique within a delivery.
+    A platform record belongs to the stop before it.
     """
-    b = assign_blocks(lines).filter(F.col("block").isNotNull())
-    # the block's id comes from its header row, in the same window partition as the stop index
-    sid = F.max(F.when(F.col("tag") == "#", F.trim("body").cast("int"))).over(Window.partitionBy("file", "block"))
     f = _fields(6)
-    # a platform record belongs to the stop before it: its station comes from the same window as its index
-    so_far = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    at = F.last(F.when(F.col("tag").isin(*STOP_TAGS), f[0]), ignorenulls=True).over(so_far)
-    rec = _stop_index(b).withColumns({"serviceid": sid, "at_station": at})
-    # records are partitioned by block once; every table below is a filter + projection of it
+    rec = _in_order(lines, chunk)
+    # every table below is a filter + projection of the records in order
     out: dict[str, DataFrame] = {}
     out["service"] = rec.filter(F.col("tag") == "%").select(
         "serviceid", _num(f[0]).alias("companynumber"), _num(f[1]).alias("servicenumber"),

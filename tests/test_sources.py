@@ -173,3 +173,24 @@ def test_lines_that_do_not_parse_are_reported(spark):
     assert sorted(tuple(r)[2:] for r in rows.collect()) == [("LINE", 1, 'a|b "c"', date(2024, 1, 2), True, None), ("LINE", 2, "n", None, None, None)]
     assert sorted((r.pos, r.reason) for r in bad.collect()) == [(2, "version"), (3, "fields"), (5, "day"), (7, "ok"), (8, "fields")]
     assert rows.columns == ["file", "pos", *schema.names]
+
+
+def test_iff_records_in_chunks_of_any_length(spark):
+    one = ["@100,01012024,07012024,0001,demo", "?x,x,00001", ">none   ,0100"]  # records before the first header belong to no service
+    for i in range(1, 6):
+        one += [f"#{i:08d}", f"%100,{i:05d},      ,001,003,", "-00001,000,999", f">a{i}    ,09{i:02d}", "?1,1,00001", f"+b{i}     ,0911,0912", ";pass    ", "?2,3,00001", f"<c{i}     ,0930"]
+    one += ["#00000009", "?7,8,00001"]  # a platform without a stop before it
+    files = ("one", one), ("two", one[3:])
+
+    def found(chunk):
+        t = tagged.iff_timetable(_lines(spark, *files), chunk)
+        return {k: sorted(map(repr, t[k].collect())) for k in t}
+
+    whole = found(100_000)
+    stops = [(f, i, n, s) for f in ("one", "two") for i in range(1, 6) for n, s in enumerate([f"a{i}", f"b{i}", "pass", f"c{i}"], 1)]
+    rows = tagged.iff_timetable(_lines(spark, *files), 2)
+    assert sorted((r.file, r.serviceid, r.idx, r.station) for r in rows["stop"].collect()) == stops
+    platforms = [(f, i, n, s) for f in ("one", "two") for i in range(1, 6) for n, s in ((1, f"a{i}"), (3, "pass"))] + [(f, 9, 0, None) for f in ("one", "two")]
+    assert sorted((r.file, r.serviceid, r.idx, r.station) for r in rows["platform"].collect()) == sorted(platforms, key=lambda r: r[:3])
+    for chunk in (1, 2, 3, 7, 20):
+        assert found(chunk) == whole
