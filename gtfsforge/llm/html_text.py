@@ -31,6 +31,8 @@ from .common import hash_sample
 
 #: Labelled pages that weights are learnt from, about.
 LABELLED = 400
+#: Code points of the longest of them.
+LONGEST = 100_000
 
 # Element names of HTML by what they mean here.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "plaintext"}
@@ -315,13 +317,15 @@ def _texts(weights):
     return run
 
 
-def extract_text(pages: DataFrame, key_cols: tuple[str, ...] = ("page_id", "url"), html_col: str = "html", labelled: int = LABELLED) -> DataFrame:
+def extract_text(pages: DataFrame, key_cols: tuple[str, ...] = ("page_id", "url"), html_col: str = "html", labelled: int = LABELLED, longest: int = LONGEST) -> DataFrame:
     """key_cols and text, the main text of each whole page.
 
-    Weights come from about `labelled` pages that mark exactly one article,
-    those of the smallest hashes; the rest of the work covers all pages.
+    Weights come from about `labelled` pages that mark exactly one article and
+    have `longest` code points at most, those of the smallest hashes; the rest
+    of the work covers all pages.
     """
-    marked = pages.select(F.col(html_col).alias("html")).where(F.regexp_count("html", F.lit("(?i)<article[ >]")) == 1).where("instr(html, '</article>') > 0")
+    short = pages.select(F.col(html_col).alias("html")).where(F.char_length("html") <= longest)
+    marked = short.where(F.regexp_count("html", F.lit("(?i)<article[ >]")) == 1).where("instr(html, '</article>') > 0")
     taken = [r.x for r in sorted(hash_sample(marked, "html", labelled).collect(), key=lambda r: r.h)]  # about `labelled` pages
     weights = pages.sparkSession.sparkContext.broadcast(learn_weights(taken))
     keys = pages.select(*key_cols)

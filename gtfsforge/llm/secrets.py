@@ -42,6 +42,8 @@ MAYBE = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]""", "AKIA
 WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "key", "auth", "bearer", "credential", "credentials", "private_key", "access_key", "access_token")
 #: Documents (with and without matches each, about) and lines that the field learns from, at most.
 DOCUMENTS, LINES, WINDOW = 400, 1500, 60
+#: Code points of the longest text that it learns from, so that the sample's size is bounded too.
+LONGEST = 100_000
 #: What a varied secret is made of: hexadecimal digits, letters of both cases, one case, base64, separated groups.
 ALPHABETS = {
     "hex": string.hexdigits.lower(), "HEX": string.hexdigits.upper(), "mixed": string.ascii_letters + string.digits, "upper": string.ascii_uppercase + string.digits,
@@ -210,7 +212,7 @@ def _taught(text: str, parts: list[tuple[int, int]]) -> Iterator[tuple[int, np.n
 
 
 def learn(texts: list[str], alphabets: tuple[str, ...] = tuple(ALPHABETS)) -> tuple[np.ndarray, np.ndarray] | None:
-    """The field's weights from documents whose labels are the patterns' matches; None if nothing matches.
+    """The field's weights from documents whose labels are the patterns' matches; None if nothing matches or every line does.
 
     Lines without a match are drawn by hash, half of them from documents
     without any; what one kind of document lacks the other has.  Lines with a
@@ -236,6 +238,8 @@ def learn(texts: list[str], alphabets: tuple[str, ...] = tuple(ALPHABETS)) -> tu
     few, many = sorted(plain.values(), key=len)
     few = few[: LINES // 4]
     drawn = [r[1:] for r in few + many[: LINES // 2 - len(few)]]
+    if not drawn:  # nothing says what is no secret
+        return None
     room = LINES - len(drawn)
     half = max(room - len(other), room // 2) if other else room
     labelled = labelled[:half]
@@ -286,9 +290,13 @@ def _scanned(model):
     return run
 
 
-def scan_secrets(docs: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", documents: int = DOCUMENTS) -> DataFrame:
-    """key_cols and spans array<struct<kind, start, end>> of each whole text, by start, then kind."""
-    texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
+def scan_secrets(docs: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", documents: int = DOCUMENTS, longest: int = LONGEST) -> DataFrame:
+    """key_cols and spans array<struct<kind, start, end>> of each whole text, by start, then kind.
+
+    The field learns from about `documents` texts with and without matches
+    each, none of more than `longest` code points; all texts are scanned.
+    """
+    texts = docs.select(F.col(text_col).alias("text")).where(F.char_length("text") <= longest)
     hit = F.col("text").rlike("|".join((MAYBE[0], "AKIA[A-Z0-9]{12}", "[0-9a-f]{32}")).replace("(?i)", "(?i:", 1).replace("[:=]|", "[:=])|", 1))
     hashed = texts.withColumn("h", F.xxhash64("text"))
     counts = hashed.select("h", hit.alias("hit")).distinct().groupBy("hit").count().collect()  # two rows

@@ -1,6 +1,7 @@
 import html
 import re
 
+from gtfsforge.llm import html_text
 from gtfsforge.llm.html_text import best_region, extract_text, learn_weights, main_text
 from gtfsforge.llm.queries_pages import op10_html_text
 
@@ -118,3 +119,13 @@ def test_bad_markup_takes_linear_time():
             main_text(bad * n + TEXT, W)
             took.append(time.perf_counter() - began)
         assert took[1] < 10 * max(took[0], 0.05), bad
+
+
+def test_very_long_pages_teach_nothing_and_come_out_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(html_text, "learn_weights", lambda pages: seen.extend(pages) or W)
+    short, long = (page(f"<article>{TEXT * n}</article>") for n in (1, 3000))
+    assert len(short) < html_text.LONGEST < len(long)
+    got = extract_text(spark.createDataFrame([(1, "a", short), (2, "b", long), (3, "c", None)], "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == {1: WANT, 2: "\n".join([WANT] * 3000), 3: ""}
+    assert seen == [short]

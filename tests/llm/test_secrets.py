@@ -147,3 +147,19 @@ def test_nulls_repeats_long_and_clashing_names(spark, make_docs):
     got = sorted(((r.doc_id or 9, [tuple(s) for s in r.spans]) for r in secrets.scan_secrets(docs.withColumn("spans", docs.lang)).collect()), key=str)
     assert got == [(1, []), (1, []), (2, [("access", 0, 20)]), (2, [("access", 0, 20)]), (9, [("access", 100_000, 100_020)])]
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
+
+
+def test_very_long_texts_teach_nothing_and_are_scanned_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secrets, "learn", lambda texts: seen.extend(texts))
+    short = ["plain words", "password = abcdefgh1"]
+    long = ["words " * 20_000, "words " * 20_000 + "token: abcdefgh2"]
+    rows = secrets.scan_secrets(spark.createDataFrame(list(enumerate([*short, *long, None])), "doc_id long, text string")).collect()
+    assert {r.doc_id: [tuple(x) for x in r.spans] for r in rows} == {0: [], 1: [("assign", 0, 20)], 2: [], 3: [("assign", 120_000, 120_016)], 4: []}
+    assert sorted(seen) == sorted(short)
+
+
+def test_no_field_without_a_line_that_has_no_secret(spark, make_docs):
+    assert secrets.learn(["", KEY]) is None
+    rows = secrets.scan_secrets(make_docs([(1, KEY), (2, "x " * 60_000)])).collect()
+    assert sum(len(r.spans) for r in rows) == 1
