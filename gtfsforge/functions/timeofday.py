@@ -17,11 +17,15 @@ def _c(c) -> Column:
 
 def to_seconds(t) -> Column:
     """``H:M[:S]`` -> seconds (O-T9).  Missing seconds count as 0; NULL stays NULL."""
-    parts = F.split(F.trim(_c(t)), ":")
+    t = F.trim(_c(t))
+    parts = F.split(t, ":")
     h = F.get(parts, 0).cast("int")
     m = F.get(parts, 1).cast("int")
     s = F.coalesce(F.nullif(F.get(parts, 2), F.lit("")).cast("int"), F.lit(0))
-    return h * 3600 + m * 60 + s
+    at = lambda i, n: F.substring(t, i, n)
+    # HH:MM:SS needs no list of its parts
+    whole = (F.length(t) == 8) & (at(3, 1) == ":") & (at(6, 1) == ":")
+    return F.when(whole, at(1, 2).cast("int") * 3600 + at(4, 2).cast("int") * 60 + at(7, 2).cast("int")).otherwise(h * 3600 + m * 60 + s)
 
 
 def timediff(low, high) -> Column:
@@ -32,12 +36,8 @@ def timediff(low, high) -> Column:
 def seconds_to_time(secs) -> Column:
     """Seconds -> ``HH:MM:SS`` with hours allowed past 24."""
     s = _c(secs)
-    txt = F.format_string(
-        "%02d:%02d:%02d",
-        F.floor(s / 3600).cast("int"),
-        (F.floor(s / 60) % 60).cast("int"),
-        (s % 60).cast("int"),
-    )
+    two = lambda x: F.when(x.between(0, 9), F.concat(F.lit("0"), x.cast("string"))).otherwise(x.cast("string"))
+    txt = F.concat(two(F.floor(s / 3600).cast("int")), F.lit(":"), two((F.floor(s / 60) % 60).cast("int")), F.lit(":"), two((s % 60).cast("int")))
     return F.when(s.isNotNull(), txt)
 
 

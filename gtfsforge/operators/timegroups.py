@@ -20,49 +20,74 @@ JOURNEY = ["version", "dataownercode", "organizationalunitcode", "schedulecode",
 TDG_PK = ["version", "dataownercode", "lineplanningnumber", "journeypatterncode"]
 
 
+# Window keys with the one that tells rows apart first: rows are compared by it before the others are looked at.
+_BY_JOURNEY = ["journeynumber"] + [c for c in JOURNEY if c != "journeynumber"]
+_BY_PATTERN = ["journeypatterncode", "lineplanningnumber", "version", "dataownercode"]
+
+
 # ------------------------------------------------------------------ O-T2
-def links(pujopass: DataFrame) -> DataFrame:
-    """Consecutive passings of a journey -> timing links with drive and wait times (O-T2)."""
-    w = Window.partitionBy(*JOURNEY).orderBy("stoporder")
+FIRST_PASS = ["departuretime", "wheelchairaccessible", "dataownerisoperator"]
+LINK = ["timinglinkorder", "userstopcodebegin", "userstopcodeend", "totaldrivetime", "drivetime", "stopwaittime"]
+
+
+def _links(pujopass: DataFrame) -> DataFrame:
+    """The links, with what the first passing of their journey has (FIRST_PASS)."""
+    w = Window.partitionBy(*_BY_JOURNEY).orderBy("stoporder")
     arr = F.coalesce("targetarrivaltime", "targetdeparturetime")
     dep = F.coalesce("targetdeparturetime", "targetarrivaltime")
-    df = (
-        pujopass.select(*JOURNEY, "stoporder", "journeypatterncode", "userstopcode",
-                        arr.alias("arr"), dep.alias("dep"))
-        .withColumn("next_stop", F.lead("userstopcode").over(w))
-        .withColumn("next_arr", F.lead("arr").over(w))
-        .withColumn("next_dep", F.lead("dep").over(w))
-        .filter(F.col("next_stop").isNotNull())
-    )
-    return df.select(
+    # times become seconds once, before a passing meets its neighbours
+    df = pujopass.select(*JOURNEY, "stoporder", "journeypatterncode", "userstopcode", to_seconds(arr).alias("arr"), to_seconds(dep).alias("dep"),
+                         dep.alias("departuretime"), "wheelchairaccessible", "dataownerisoperator")
+    df = df.withColumns({
+        "next_stop": F.lead("userstopcode").over(w), "next_arr": F.lead("arr").over(w), "next_dep": F.lead("dep").over(w),
+        **{c: F.first(c).over(w) for c in FIRST_PASS}})
+    return df.filter(F.col("next_stop").isNotNull()).select(
         *JOURNEY,
         "journeypatterncode",
         F.col("stoporder").alias("timinglinkorder"),
         F.col("userstopcode").alias("userstopcodebegin"),
         F.col("next_stop").alias("userstopcodeend"),
-        timediff("dep", "next_dep").alias("totaldrivetime"),
-        timediff("dep", "next_arr").alias("drivetime"),
-        (timediff("dep", "next_dep") - timediff("dep", "next_arr")).alias("stopwaittime"),
+        (F.col("next_dep") - F.col("dep")).alias("totaldrivetime"),
+        (F.col("next_arr") - F.col("dep")).alias("drivetime"),
+        ((F.col("next_dep") - F.col("dep")) - (F.col("next_arr") - F.col("dep"))).alias("stopwaittime"),
+        *FIRST_PASS,
     )
 
 
+def links(pujopass: DataFrame) -> DataFrame:
+    """Consecutive passings of a journey -> timing links with drive and wait times (O-T2)."""
+    return _links(pujopass).drop(*FIRST_PASS)
+
+
 # ------------------------------------------------------------------ O-T3
+def _coded(lk: DataFrame, keep=()) -> DataFrame:
+    """Journeys with `signature` (their ordered links), `timedemandgroupcode`, whether they lead their group, and `keep`, which a journey has one of each of.
+
+    Journeys meet once, by pattern.  Sums over the hashes of a journey's links
+    stand for the list: a link holds its order, so the order they come in is
+    nothing to them, and the list itself goes along only where it is asked for.
+    """
+    one = F.struct(*LINK)
+    lk = lk.withColumns({"__a": F.xxhash64(*LINK), "__b": F.xxhash64(F.lit(1), *LINK)})
+    per_journey = lk.groupBy(*JOURNEY, "journeypatterncode", *keep).agg(
+        F.sort_array(F.collect_list(one)).alias("signature"), F.sum(F.shiftright("__a", 24)).alias("__s1"), F.sum(F.shiftright("__b", 24)).alias("__s2"),
+        F.sum(F.col("__a").bitwiseAND(0xFFFFFF)).alias("__s3"), F.sum(F.col("__b").bitwiseAND(0xFFFFFF)).alias("__s4"))
+    # a pattern without a name has no groups
+    per_journey = per_journey.dropna(subset=TDG_PK).repartition(*_BY_PATTERN)
+    seen = ["organizationalunitcode", "schedulecode", "scheduletypecode", "journeynumber"]
+    alike = Window.partitionBy(*_BY_PATTERN, "__s1", "__s2", "__s3", "__s4").orderBy(*seen)
+    df = per_journey.withColumns({"leads": F.row_number().over(alike) == 1, "__first": F.first(F.struct(*seen)).over(alike)})
+    code = F.dense_rank().over(Window.partitionBy(*_BY_PATTERN).orderBy("__first")) - 1
+    return df.withColumn("timedemandgroupcode", code.cast("int")).drop("__s1", "__s2", "__s3", "__s4", "__first")
+
+
 def group_codes(lk: DataFrame) -> DataFrame:
     """Give journeys with an identical ordered link list the same 0-based code per pattern (O-T3).
 
     Codes follow first appearance in journey order, as a sequential pass
     would.  Returns (JOURNEY..., journeypatterncode, timedemandgroupcode, signature).
     """
-    link = F.struct("timinglinkorder", "userstopcodebegin", "userstopcodeend", "totaldrivetime", "drivetime",
-                    "stopwaittime")
-    per_journey = lk.groupBy(*JOURNEY, "journeypatterncode").agg(F.sort_array(F.collect_list(link)).alias("signature"))
-    # two 64-bit hashes stand for the list in every shuffle after this one
-    per_journey = per_journey.withColumns({"sig_a": F.xxhash64("signature"), "sig_b": F.xxhash64(F.lit(1), "signature")})
-    first_seen = F.struct("organizationalunitcode", "schedulecode", "scheduletypecode", "journeynumber")
-    sigs = per_journey.groupBy(*TDG_PK, "sig_a", "sig_b").agg(F.min(first_seen).alias("first_journey"))
-    w = Window.partitionBy(*TDG_PK).orderBy("first_journey")
-    codes = sigs.withColumn("timedemandgroupcode", (F.row_number().over(w) - 1).cast("int")).drop("first_journey")
-    return per_journey.join(codes, TDG_PK + ["sig_a", "sig_b"]).drop("sig_a", "sig_b")
+    return _coded(lk).select(*TDG_PK, *[c for c in JOURNEY if c not in TDG_PK], "signature", "timedemandgroupcode")
 
 
 # ------------------------------------------------------------------ O-T4
@@ -72,8 +97,8 @@ def time_groups(pujopass: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     Journeys with a single stop have no link and get no group (they are left
     out, see ``single_stop_journeys``).
     """
-    coded = group_codes(links(pujopass))
-    groups = coded.select(*TDG_PK, "timedemandgroupcode", "signature").dropDuplicates(TDG_PK + ["timedemandgroupcode"])
+    lk = _links(pujopass)
+    groups = _coded(lk.drop(*FIRST_PASS)).where("leads").select(*TDG_PK, "timedemandgroupcode", "signature")
     timdemgrp = groups.select(*TDG_PK, "timedemandgroupcode")
     timdemrnt = groups.select(*TDG_PK, "timedemandgroupcode", F.explode("signature").alias("l")).select(
         *TDG_PK,
@@ -88,13 +113,7 @@ def time_groups(pujopass: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.col("l.stopwaittime").alias("stopwaittime"),
         F.lit(0).alias("minimumstoptime"),
     )
-    first_pass = first_per(pujopass, JOURNEY, ["stoporder"]).select(
-        *JOURNEY,
-        F.coalesce("targetdeparturetime", "targetarrivaltime").alias("departuretime"),
-        "wheelchairaccessible",
-        "dataownerisoperator",
-    )
-    schedpujo = coded.select(*JOURNEY, "journeypatterncode", "timedemandgroupcode").join(first_pass, JOURNEY)
+    schedpujo = _coded(lk, FIRST_PASS).dropna(subset=JOURNEY).select(*JOURNEY, "journeypatterncode", "timedemandgroupcode", *FIRST_PASS)
     return timdemgrp, timdemrnt, schedpujo
 
 
@@ -183,7 +202,8 @@ def spread_zero_times(timdemrnt: DataFrame, link: DataFrame) -> DataFrame:
 def cumulate(df: DataFrame) -> DataFrame:
     """Cumulative passing offset per group: sum of drive up to the row plus the
     waits of the earlier rows (O-T7) -> TIMDEMPASS."""
-    w = Window.partitionBy(*SPREAD_KEYS).orderBy("timinglinkorder")
+    # links come by pattern, group and order already, so that little is left to sort
+    w = Window.partitionBy(*_BY_PATTERN, "timedemandgroupcode").orderBy("timinglinkorder")
     drive = F.sum("totaldrivetime").over(w.rowsBetween(Window.unboundedPreceding, 0))
     wait = F.coalesce(F.sum("stopwaittime").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return df.select(
