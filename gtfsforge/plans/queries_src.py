@@ -203,10 +203,12 @@ def kv1_lines(w: World):
     whole = F.array_join(F.array(*lead, *tail), "|", "")
     line = F.when((F.col("journeynumber") % 97 == 0) & (F.col("stoporder") == 1), F.array_join(F.array(*lead[:5]), "|", "")).otherwise(whole)
     folder = F.concat(F.lit("in/v"), F.col("version").cast("string"))
-    rows = p.select(F.concat(folder, F.lit("/PUJOPASSX.TMI")).alias("file"), (F.col("journeynumber") * 1000 + F.col("stoporder")).alias("pos"), line.alias("line"))
+    # a passing's lines are written in one go, and no filter on a line writes it again
+    mine = F.struct(F.concat(folder, F.lit("/PUJOPASSX.TMI")).alias("file"), (F.col("journeynumber") * 1000 + F.col("stoporder")).alias("pos"), line.alias("line"))
+    other = F.struct(F.concat(folder, F.lit("/DESTX.csv")).alias("file"), F.col("journeynumber").alias("pos"), F.lit("DEST|1|I|GVB").alias("line"))
+    rows = p.select(F.explode(F.when(F.col("stoporder") == 1, F.array(mine, other)).otherwise(F.array(mine))).alias("x")).select("x.*")
     heads = p.select("version").distinct().select(F.concat(folder, F.lit("/PUJOPASSX.TMI")).alias("file"), F.lit(0).cast("long").alias("pos"), F.lit("Tablename|Version_Number|Implicit").alias("line"))
-    other = p.where("stoporder = 1").select(F.concat(folder, F.lit("/DESTX.csv")).alias("file"), F.col("journeynumber").alias("pos"), F.lit("DEST|1|I|GVB").alias("line"))
-    return rows.unionByName(heads).unionByName(other)
+    return rows.unionByName(heads)
 
 
 @register("src_kv1_lines_s1", oracle(["kv_pujopass"], """

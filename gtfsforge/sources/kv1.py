@@ -24,9 +24,9 @@ HEADER_MARKERS = ("Version_Number", "VersionNumber", "VERSIONNUMBER", "version")
 def table_of(path) -> F.Column:
     """File path -> KV1 table name: strip folder, ``.TMI``/``.csv`` suffix and a trailing ``X`` (O-S3)."""
     p = F.col(path) if isinstance(path, str) else path
-    name = F.regexp_extract(p, r"([^/\\]+)$", 1)
-    name = F.regexp_replace(name, r"(?i)\.(tmi|csv)$", "")
-    return F.lower(F.regexp_replace(name, r"X$", ""))
+    name = F.substring_index(F.substring_index(p, "/", -1), "\\", -1)
+    name = F.when(F.lower(F.right(name, F.lit(4))).isin(".tmi", ".csv"), F.substring(name, F.lit(1), F.length(name) - 4)).otherwise(name)
+    return F.lower(F.when(F.right(name, F.lit(1)) == "X", F.substring(name, F.lit(1), F.length(name) - 1)).otherwise(name))
 
 
 def charset_for(owner: str) -> str:
@@ -80,16 +80,21 @@ def parse_lines(lines: DataFrame, table: str, schema, profile_absent=()) -> tupl
     fields = [f for f in schema.fields if f.name not in set(profile_absent)]
     text = ", ".join(f"`{f.name}` string" for f in fields)
     how = {"sep": "|", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
-    mine = lines.where((table_of("file") == table) & (F.trim("line") != ""))
-    raw = lambda f: F.col("__x").getField(f.name)
-    second = F.trim(F.get(F.split("line", r"\|"), 1))
-    mine = mine.where(second.isNull() | ~second.isin(*HEADER_MARKERS))
-    # exploded, so that a line is parsed once and not for every field
-    mine = mine.withColumn("__x", F.explode(F.array(F.from_csv("line", F.lit(f"{text}, `__bad` string"), how))))
-    mine = mine.withColumns({f"__v_{f.name}": _typed(raw(f), f.dataType) for f in fields})
-    wrong = [F.when(F.col(f"__v_{f.name}").isNull() & (F.coalesce(F.trim(raw(f)), F.lit("")) != ""), F.lit(f.name)) for f in fields]
-    mine = mine.withColumn("reason", F.coalesce(F.when(F.col("__x.__bad").isNotNull(), F.lit("fields")), *wrong))
-    columns = [(F.lit(None).cast(f.dataType) if f.name in set(profile_absent) else F.col(f"__v_{f.name}")).alias(f.name) for f in schema.fields]
+    second = F.trim(F.get(F.split("line", r"\|", 3), 1))
+    mine = lines.where((table_of("file") == table) & (F.trim("line") != "")).where(second.isNull() | ~second.isin(*HEADER_MARKERS))
+    # exploded, so that a line is parsed and trimmed once and not for every field, nor again for the filter on what it came to
+    read = F.from_csv("line", F.lit(f"{text}, `__bad` string"), how)
+    mine = mine.withColumn("__x", F.explode(F.array(read)))
+    texts = F.transform(F.array(*[F.col("__x").getField(f.name) for f in fields]), lambda c: F.nullif(F.trim(c), F.lit("")))
+    mine = mine.select("file", "pos", "line", F.col("__x.__bad").isNotNull().alias("__wrong"), F.explode(F.array(texts)).alias("__t"))
+    at = {f.name: F.get("__t", i) for i, f in enumerate(fields)}
+    # text is always of its type
+    other = [f for f in fields if f.dataType.simpleString() != "string"]
+    mine = mine.select("*", F.explode(F.array(F.struct(*[_typed(at[f.name], f.dataType).alias(f.name) for f in other], F.lit(0).alias("__none")))).alias("__v"))
+    value = {f.name: F.col("__v").getField(f.name) for f in other}
+    wrong = [F.when(value[f.name].isNull() & at[f.name].isNotNull(), F.lit(f.name)) for f in other]
+    mine = mine.withColumn("reason", F.coalesce(F.when(F.col("__wrong"), F.lit("fields")), *wrong, F.lit(None).cast("string")))
+    columns = [(F.lit(None).cast(f.dataType) if f.name in set(profile_absent) else value.get(f.name, at.get(f.name))).alias(f.name) for f in schema.fields]
     return mine.where("reason is null").select("file", "pos", *columns), mine.where("reason is not null").select("file", "pos", "line", "reason")
 
 
