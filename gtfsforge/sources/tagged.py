@@ -40,7 +40,7 @@ def assign_blocks(lines: DataFrame, header: str = "#", chunk: int = 100_000) ->
     """
     hdr = F.when(F.col("tag") == header, F.col("pos"))
     c = lines.withColumn("__chunk", F.floor(F.col("pos") / chunk))
-    w_local = Window.partitionBy("file", "__chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    w_local = Window.partitionBy("__chunk", "file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     c = c.withColumn("__local", F.max(hdr).over(w_local))
     per_chunk = c.groupBy("file", "__chunk").agg(F.max(hdr).alias("__last"))
     w_carry = Window.partitionBy("file").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -68,7 +68,7 @@ def zero_to_null(df: DataFrame, cols) -> DataFrame:
 
 def _stop_index(df: DataFrame) -> DataFrame:
     """Running count of stop records inside the block (a ``?`` record gets its stop's index)."""
-    w = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("block", "file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     is_stop = F.when(F.col("tag").isin(*STOP_TAGS), 1).otherwise(0)
     return df.withColumn("idx", F.sum(is_stop).over(w))
 
@@ -81,7 +81,7 @@ def _in_order(lines: DataFrame, chunk: int) -> DataFrame:
     ones go on from.  Lines before a file's first header are left out.
     """
     stop, header = F.col("tag").isin(*STOP_TAGS), F.col("tag") == "#"
-    within = Window.partitionBy("file", "__chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("__chunk", "file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     c = lines.withColumn("__chunk", F.floor(F.col("pos") / chunk)).withColumn("__n", F.count(F.when(stop, 1)).over(within))
     opened = F.when(header, F.struct(F.trim("body").cast("int").alias("id"), F.col("__n").alias("n")))
     # a header forgets the stop before it
@@ -201,8 +201,8 @@ def pas_journeys(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     dep = F.when(F.col("tag").isin(">", "."), t2).when(F.col("tag") == "+", t3)
     stops = rec.select("file", "block", F.col("idx").cast("int").alias("stopsequentie"), f[0].alias("halteid"),
                        arr.alias("aankomsttijd"), dep.alias("vertrektijd"))
-    stops = rollover(stops, ["file", "block"], "stopsequentie", "aankomsttijd")
-    stops = rollover(stops, ["file", "block"], "stopsequentie", "vertrektijd")
+    stops = rollover(stops, ["block", "file"], "stopsequentie", "aankomsttijd")
+    stops = rollover(stops, ["block", "file"], "stopsequentie", "vertrektijd")
     pujopass = stops.join(pujo, ["file", "block"]).select(
         "vervoerdercode", "lijnsysteemnr", "richting", "ritnummer", "voetnoot", "stopsequentie", "halteid",
         "aankomsttijd", "vertrektijd")
