@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gtfsforge.functions.timeofday import add32time, timediff, to_seconds
+from gtfsforge.functions.timeofday import seconds_to_time, to_seconds
 from gtfsforge.operators.first import first_per
 
 JOURNEY = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode",
@@ -69,16 +69,19 @@ def _coded(lk: DataFrame, keep=()) -> DataFrame:
     """
     one = F.struct(*LINK)
     lk = lk.withColumns({"__a": F.xxhash64(*LINK), "__b": F.xxhash64(F.lit(1), *LINK)})
-    per_journey = lk.groupBy(*JOURNEY, "journeypatterncode", *keep).agg(
-        F.sort_array(F.collect_list(one)).alias("signature"), F.sum(F.shiftright("__a", 24)).alias("__s1"), F.sum(F.shiftright("__b", 24)).alias("__s2"),
+    per_journey = lk.groupBy(*_BY_JOURNEY, "journeypatterncode", *keep).agg(
+        F.sort_array(F.collect_list(one)).alias("__links"), F.sum(F.shiftright("__a", 24)).alias("__s1"), F.sum(F.shiftright("__b", 24)).alias("__s2"),
         F.sum(F.col("__a").bitwiseAND(0xFFFFFF)).alias("__s3"), F.sum(F.col("__b").bitwiseAND(0xFFFFFF)).alias("__s4"))
+    # the list goes along as a list of each column, which takes a third of the room of a list of rows
+    per_journey = per_journey.select("*", *[F.col(f"__links.{c}").alias(f"__{c}") for c in LINK]).drop("__links")
     # a pattern without a name has no groups
     per_journey = per_journey.dropna(subset=TDG_PK).repartition(*_BY_PATTERN)
     seen = ["organizationalunitcode", "schedulecode", "scheduletypecode", "journeynumber"]
     alike = Window.partitionBy(*_BY_PATTERN, "__s1", "__s2", "__s3", "__s4").orderBy(*seen)
     df = per_journey.withColumns({"leads": F.row_number().over(alike) == 1, "__first": F.first(F.struct(*seen)).over(alike)})
     code = F.dense_rank().over(Window.partitionBy(*_BY_PATTERN).orderBy("__first")) - 1
-    return df.withColumn("timedemandgroupcode", code.cast("int")).drop("__s1", "__s2", "__s3", "__s4", "__first")
+    df = df.withColumns({"timedemandgroupcode": code.cast("int"), "signature": F.arrays_zip(*[F.col(f"__{c}").alias(c) for c in LINK])})
+    return df.drop("__s1", "__s2", "__s3", "__s4", "__first", *[f"__{c}" for c in LINK])
 
 
 def group_codes(lk: DataFrame) -> DataFrame:
@@ -220,7 +223,7 @@ def expand_journeys(pujo: DataFrame, jopatili: DataFrame, timdempass: DataFrame)
     base = pujo.select(
         *TDG_PK, "timedemandgroupcode", "organizationalunitcode",
         F.col("periodgroupcode").alias("schedulecode"), F.col("daytype").alias("scheduletypecode"),
-        "journeynumber", "departuretime", "wheelchairaccessible", "dataownerisoperator",
+        "journeynumber", "departuretime", "wheelchairaccessible", "dataownerisoperator", to_seconds("departuretime").alias("__start"),
     )
     out_cols = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode",
                 "lineplanningnumber", "journeynumber", "stoporder", "journeypatterncode", "userstopcode",
@@ -230,11 +233,13 @@ def expand_journeys(pujo: DataFrame, jopatili: DataFrame, timdempass: DataFrame)
         F.lit(1).alias("stoporder"), F.col("userstopcodebegin").alias("userstopcode"),
         F.col("departuretime").alias("targetarrivaltime"), F.col("departuretime").alias("targetdeparturetime"),
     )
-    b = base.join(timdempass, TDG_PK + ["timedemandgroupcode"]).select(
+    # add32time in its steps: a journey's time is read once
+    b = base.join(timdempass, TDG_PK + ["timedemandgroupcode"]).withColumns({
+        "__arrives": F.col("__start") + F.col("totaldrivetime"), "__leaves": F.col("__start") + (F.col("totaldrivetime") + F.col("stopwaittime")).cast("int")})
+    b = b.select(
         *[c for c in out_cols if c not in ("stoporder", "userstopcode", "targetarrivaltime", "targetdeparturetime")],
         (F.col("timinglinkorder") + 2).cast("int").alias("stoporder"), F.col("userstopcodebegin").alias("userstopcode"),
-        add32time("departuretime", F.col("totaldrivetime")).alias("targetarrivaltime"),
-        add32time("departuretime", (F.col("totaldrivetime") + F.col("stopwaittime")).cast("int")).alias("targetdeparturetime"),
+        seconds_to_time("__arrives").alias("targetarrivaltime"), seconds_to_time("__leaves").alias("targetdeparturetime"),
     )
     return a.select(*out_cols).unionByName(b.select(*out_cols)).distinct()
 
@@ -253,6 +258,4 @@ def rollover(df: DataFrame, keys, order: str, time: str, out: str | None = None)
     df = df.withColumn("__back", back)
     rolled = F.max("__back").over(w.rowsBetween(Window.unboundedPreceding, 0)) > 0
     secs = to_seconds(time) + F.when(rolled, 24 * 3600).otherwise(0)
-    from gtfsforge.functions.timeofday import seconds_to_time
-
     return df.withColumn(out, F.when(F.col(time).isNotNull(), seconds_to_time(secs))).drop("__back")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gtfsforge.functions.geo import rd_to_wgs84
-from gtfsforge.functions.timeofday import add32time, yyyymmdd
+from gtfsforge.functions.timeofday import seconds_to_time, to_seconds, yyyymmdd
 from gtfsforge.operators.first import first_per, key, union_all, union_distinct
 from gtfsforge.sources import lookup
 
@@ -347,8 +347,12 @@ def stop_times_drivetime(t: dict[str, DataFrame]) -> DataFrame:
     start = F.struct(F.col("first").alias("call"), F.lit(None).cast("long").alias("arrives"), F.lit(None).cast("long").alias("leaves"))
     begins = F.filter(F.array(start), lambda x: x["call"].isNotNull() & F.col("dataownerisoperator"))
     every = F.concat(begins, F.coalesce("calls", F.filter(F.array(start), lambda x: F.lit(False))))
-    out = journeys.select(trip_id.alias("trip_id"), "departuretime", F.explode(every).alias("x"))
-    at = lambda c: F.when(F.col(f"x.{c}").isNull(), F.col("departuretime")).otherwise(add32time("departuretime", F.col(f"x.{c}").cast("int")))
+    # add32time in its steps, each in a projection of its own: a journey's time is read once, and code that holds the whole
+    # of it for every call is too long for the JVM to compile
+    journeys = journeys.select(trip_id.alias("trip_id"), "departuretime", to_seconds("departuretime").alias("start"), every.alias("every"))
+    out = journeys.select("trip_id", "departuretime", "start", F.explode("every").alias("x"))
+    out = out.select("trip_id", "departuretime", "x", *[(F.col("start") + F.col(f"x.{c}").cast("int")).alias(c) for c in ("arrives", "leaves")])
+    at = lambda c: F.when(F.col(f"x.{c}").isNull(), F.col("departuretime")).otherwise(seconds_to_time(c))
     return out.select("trip_id", "x.call.stop_sequence", "x.call.stop_id", "x.call.stop_headsign", at("arrives").alias("arrival_time"), at("leaves").alias("departure_time"),
                       "x.call.pickup_type", "x.call.drop_off_type")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gtfsforge.functions.timeofday import seconds_to_time, to_seconds
 from gtfsforge.operators import timegroups as tg
+from gtfsforge.plans import gtfs_kv1 as gk
 from gtfsforge.plans.views import SPARK_VIEWS, World, spark_tables, with_clause
 from gtfsforge.sources import kv1
 
@@ -75,3 +76,27 @@ def test_groups_of_one_pattern(spark):
     assert {r.journeynumber: (r.timedemandgroupcode, r.departuretime) for r in pujo.collect()} == {1: (0, "01:01:00"), 2: (0, "02:01:00"), 3: (1, "03:01:00")}
     coded = tg.group_codes(tg.links(spark.createDataFrame(rows, names))).where(F.col("journeynumber") == 3).first()
     assert [x.userstopcodeend for x in coded.signature] == ["b", "c"]
+
+
+def compiled_sizes(df) -> list[int]:
+    """Bytes of the longest method of each generated class; the JVM interprets a method of 8,000 and more."""
+    with redirect_stdout(io.StringIO()) as out:
+        df.explain("codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+
+
+def test_calls_of_drive_times_are_compiled(spark):
+    pat = "version int, dataownercode string, lineplanningnumber string, journeypatterncode string"
+    p = (1, "O", "L", "P")
+    t = {
+        "pujo": spark.createDataFrame([(*p, 0, "G", "7", 5, "23:59:30", True), (*p, 0, "G", "7", 6, None, False)], f"{pat}, timedemandgroupcode int, periodgroupcode string, daytype string, journeynumber long, departuretime string, dataownerisoperator boolean"),
+        "timdempass": spark.createDataFrame([(*p, 0, 1, 60, 5), (*p, 0, 2, 200, 0)], f"{pat}, timedemandgroupcode int, timinglinkorder int, totaldrivetime long, stopwaittime long"),
+        "jopatili": spark.createDataFrame([(*p, 1, "a", "b", "D1", 1), (*p, 2, "b", "c", "D2", 2)], f"{pat}, timinglinkorder int, userstopcodebegin string, userstopcodeend string, destcode string, productformulatype int"),
+        "dest": spark.createDataFrame([(1, "O", "D1", "One"), (1, "O", "D2", "Two")], "version int, dataownercode string, destcode string, destnamefull string"),
+        "usrstop": spark.createDataFrame([(1, "O", s, True, s != "b", "PASSENGER") for s in "abc"], "version int, dataownercode string, userstopcode string, getin boolean, getout boolean, userstoptype string"),
+    }
+    df = gk.stop_times_drivetime(t)
+    assert max(compiled_sizes(df)) < 8000
+    assert sorted((r.trip_id[-1], r.stop_sequence, r.stop_id, r.stop_headsign, r.arrival_time, r.departure_time, r.pickup_type, r.drop_off_type) for r in df.collect() if r.arrival_time) == [
+        ("5", 1, "O|a", None, "23:59:30", "23:59:30", 0, 0), ("5", 2, "O|b", "Two", "24:00:30", "24:00:35", 3, 3), ("5", 3, "O|c", "Two", "24:02:50", "24:02:50", 3, 3)]
+    assert sum(r.arrival_time is None for r in df.collect()) == 2
