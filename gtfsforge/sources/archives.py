@@ -25,6 +25,8 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 from contextlib import ExitStack
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -252,7 +254,7 @@ def _packed(folder: str):
                 os.replace(f"{target}.{mark}", target) if store is None else store.move(f"{target}.{mark}", target)
 
         for b in batches:
-            for file, line in zip(b.column("file").to_pylist(), b.column("line").to_pylist()):
+            for file, mine in groupby(zip(b.column("file").to_pylist(), b.column("line").to_pylist()), itemgetter(0)):
                 names = file.split(INSIDE)
                 if not done or names[0] != done[-1]:
                     put()
@@ -271,7 +273,7 @@ def _packed(folder: str):
                         writers.append((names[level], entry))
                         if level < len(names) - 1:
                             writers.append((names[level], zipfile.ZipFile(entry, "w", zipfile.ZIP_DEFLATED)))
-                writers[-1][1].write(line.encode() + b"\r\n")
+                writers[-1][1].write("".join([f"{line}\r\n" for _, line in mine]).encode())
         put()
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["archive"])
 
