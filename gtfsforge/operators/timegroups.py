@@ -60,28 +60,35 @@ def links(pujopass: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ O-T3
-def _coded(lk: DataFrame, keep=()) -> DataFrame:
+def _coded(lk: DataFrame, keep=(), together: bool = False, parts: int | None = None) -> DataFrame:
     """Journeys with `signature` (their ordered links), `timedemandgroupcode`, whether they lead their group, and `keep`, which a journey has one of each of.
 
-    Journeys meet once, by pattern.  Sums over the hashes of a journey's links
-    stand for the list: a link holds its order, so the order they come in is
-    nothing to them, and the list itself goes along only where it is asked for.
+    A journey's links are put together in the order that they have already, and
+    journeys meet once, by pattern, in `parts` partitions (default: the
+    session's).  Two hashes of 64 bits stand for the list of links, which goes
+    along only where it is asked for.  together: the list and `keep` go along as
+    one value, so plans that ask for either read the same shuffle.
     """
-    one = F.struct(*LINK)
-    lk = lk.withColumns({"__a": F.xxhash64(*LINK), "__b": F.xxhash64(F.lit(1), *LINK)})
-    per_journey = lk.groupBy(*_BY_JOURNEY, "journeypatterncode", *keep).agg(
-        F.sort_array(F.collect_list(one)).alias("__links"), F.sum(F.shiftright("__a", 24)).alias("__s1"), F.sum(F.shiftright("__b", 24)).alias("__s2"),
-        F.sum(F.col("__a").bitwiseAND(0xFFFFFF)).alias("__s3"), F.sum(F.col("__b").bitwiseAND(0xFFFFFF)).alias("__s4"))
-    # the list goes along as a list of each column, which takes a third of the room of a list of rows
-    per_journey = per_journey.select("*", *[F.col(f"__links.{c}").alias(f"__{c}") for c in LINK]).drop("__links")
+    w = Window.partitionBy(*_BY_JOURNEY, "journeypatterncode").orderBy("timinglinkorder")
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a pattern without a name has no groups
-    per_journey = per_journey.dropna(subset=TDG_PK).repartition(*_BY_PATTERN)
+    df = lk.dropna(subset=TDG_PK).withColumns({"__n": F.row_number().over(w), "__links": F.collect_list(F.struct(*LINK)).over(every)}).where("__n = 1")
+    df = df.select(*JOURNEY, "journeypatterncode", *keep, F.sort_array("__links").alias("__links"))
+    # the list goes along as a list of each column, which takes a third of the room of a list of rows
+    own = [F.col(f"__links.{c}").alias(f"__{c}") for c in LINK] + list(keep)
+    per_journey = df.select(
+        *JOURNEY, "journeypatterncode", F.xxhash64("__links").alias("__a"), F.xxhash64(F.lit(1), "__links").alias("__b"),
+        *([F.array(F.struct(*own)).alias("__own")] if together else own))
+    per_journey = per_journey.repartition(*([parts] if parts else []), *_BY_PATTERN)
     seen = ["organizationalunitcode", "schedulecode", "scheduletypecode", "journeynumber"]
-    alike = Window.partitionBy(*_BY_PATTERN, "__s1", "__s2", "__s3", "__s4").orderBy(*seen)
+    alike = Window.partitionBy(*_BY_PATTERN, "__a", "__b").orderBy(*seen)
     df = per_journey.withColumns({"leads": F.row_number().over(alike) == 1, "__first": F.first(F.struct(*seen)).over(alike)})
     code = F.dense_rank().over(Window.partitionBy(*_BY_PATTERN).orderBy("__first")) - 1
-    df = df.withColumns({"timedemandgroupcode": code.cast("int"), "signature": F.arrays_zip(*[F.col(f"__{c}").alias(c) for c in LINK])})
-    return df.drop("__s1", "__s2", "__s3", "__s4", "__first", *[f"__{c}" for c in LINK])
+    df = df.withColumn("timedemandgroupcode", code.cast("int"))
+    if together:
+        one = F.element_at("__own", 1)
+        df = df.withColumns({c: one[c] for c in [*[f"__{c}" for c in LINK], *keep]}).drop("__own")
+    return df.withColumn("signature", F.arrays_zip(*[F.col(f"__{c}").alias(c) for c in LINK])).drop("__a", "__b", "__first", *[f"__{c}" for c in LINK])
 
 
 def group_codes(lk: DataFrame) -> DataFrame:
@@ -94,14 +101,17 @@ def group_codes(lk: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ O-T4
-def time_groups(pujopass: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def time_groups(pujopass: DataFrame, together: bool = False, parts: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Compress passings into TIMDEMGRP, TIMDEMRNT and SCHEDPUJO (O-T4).
 
     Journeys with a single stop have no link and get no group (they are left
-    out, see ``single_stop_journeys``).
+    out, see ``single_stop_journeys``).  together: for plans that read both
+    TIMDEMRNT and SCHEDPUJO, which then share one shuffle.  parts: how many
+    partitions journeys meet in.
     """
     lk = _links(pujopass)
-    groups = _coded(lk.drop(*FIRST_PASS)).where("leads").select(*TDG_PK, "timedemandgroupcode", "signature")
+    journeys = _coded(lk, FIRST_PASS, together, parts)
+    groups = (journeys if together else _coded(lk.drop(*FIRST_PASS), parts=parts)).where("leads").select(*TDG_PK, "timedemandgroupcode", "signature")
     timdemgrp = groups.select(*TDG_PK, "timedemandgroupcode")
     timdemrnt = groups.select(*TDG_PK, "timedemandgroupcode", F.explode("signature").alias("l")).select(
         *TDG_PK,
@@ -116,7 +126,7 @@ def time_groups(pujopass: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.col("l.stopwaittime").alias("stopwaittime"),
         F.lit(0).alias("minimumstoptime"),
     )
-    schedpujo = _coded(lk, FIRST_PASS).dropna(subset=JOURNEY).select(*JOURNEY, "journeypatterncode", "timedemandgroupcode", *FIRST_PASS)
+    schedpujo = journeys.dropna(subset=JOURNEY).select(*JOURNEY, "journeypatterncode", "timedemandgroupcode", *FIRST_PASS)
     return timdemgrp, timdemrnt, schedpujo
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from gtfsforge.functions.timeofday import seconds_to_time, to_seconds
 from gtfsforge.operators import timegroups as tg
+from gtfsforge.plans import gtfs_iff
 from gtfsforge.plans import gtfs_kv1 as gk
+from gtfsforge.plans import views
 from gtfsforge.plans.views import SPARK_VIEWS, World, spark_tables, with_clause
 from gtfsforge.sources import kv1
 
@@ -100,3 +102,53 @@ def test_calls_of_drive_times_are_compiled(spark):
     assert sorted((r.trip_id[-1], r.stop_sequence, r.stop_id, r.stop_headsign, r.arrival_time, r.departure_time, r.pickup_type, r.drop_off_type) for r in df.collect() if r.arrival_time) == [
         ("5", 1, "O|a", None, "23:59:30", "23:59:30", 0, 0), ("5", 2, "O|b", "Two", "24:00:30", "24:00:35", 3, 3), ("5", 3, "O|c", "Two", "24:02:50", "24:02:50", 3, 3)]
     assert sum(r.arrival_time is None for r in df.collect()) == 2
+
+
+def test_links_are_put_together_in_their_order(world):
+    p = plan(tg.cumulate(tg.time_groups(world.kv_pujopass)[1]))
+    assert "HashAggregate" not in p and len(re.findall(r"Exchange hashpartitioning", p)) == 2
+
+
+def test_groups_and_journeys_share_a_shuffle(world):
+    _, rnt, pujo = tg.time_groups(world.kv_pujopass, together=True)
+    both = rnt.join(pujo, [*tg.TDG_PK, "timedemandgroupcode"])
+    _, rnt1, pujo1 = tg.time_groups(world.kv_pujopass)
+    assert sorted(map(str, both.collect())) == sorted(map(str, rnt1.join(pujo1, [*tg.TDG_PK, "timedemandgroupcode"]).collect()))
+    assert re.search(r"ReusedExchange.*journeypatterncode", plan(both).split("Initial Plan")[0])
+
+
+def test_few_first_journeys_leave_the_lines_where_they_are(world):
+    p = plan(world.kv_jopatili)
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_large_tables_meet_in_more_partitions(spark, world, monkeypatch):
+    assert world.parts("lineitem") is None
+    monkeypatch.setattr(views, "ROWS", 1)
+    n = world.parts("lineitem")
+    assert n == world.table("lineitem").count() > spark.sparkContext.defaultParallelism
+    p = plan(tg.time_groups(world.kv_pujopass, parts=n)[1])
+    assert re.search(rf"hashpartitioning\(journeypatterncode.*, {n}\), REPARTITION_BY_NUM", p)
+
+
+def test_stops_of_services_meet_twice(spark):
+    def table(rows, names):
+        return spark.createDataFrame(rows, names)
+
+    t = {
+        "service": table([(1, 100, 11, None, 1, 2), (1, 100, 12, None, 3, 3), (2, 100, 21, None, 1, 2)], "serviceid int, companynumber int, servicenumber int, variant string, firststop int, laststop int"),
+        "transport": table([(1, "IC", 1, 3)], "serviceid int, transmode string, firststop int, laststop int"),
+        "attribute": table([(1, "NIIN", 1, 2), (1, "NIIN", 2, 2), (1, "NUIT", 2, 2)], "serviceid int, code string, firststop int, laststop int"),
+        "stop": table([(1, 1, "a", None, "01:00:00"), (1, 2, "b", "01:05:00", "01:06:00"), (1, 3, "c", "01:09:00", None), (2, 1, "a", None, "02:00:00"),
+                       (2, 1, "a", None, "02:00:00"), (None, 1, "x", None, "03:00:00"), (None, 1, "y", None, "03:00:00")], "serviceid int, idx int, station string, arrivaltime string, departuretime string"),
+        "platform": table([(1, 2, "b", "1a", "2a", 1)], "serviceid int, idx int, station string, arrival string, departure string, footnote int"),
+        "validity": table([(1, 7, None, 999), (2, 8, None, 999)], "serviceid int, footnote int, firststop int, laststop int"),
+    }
+    got = gtfs_iff.stop_times_iff(t)
+    rows = sorted(tuple(map(str, r)) for r in got.collect())
+    assert rows == sorted([
+        ("1|7|11", "01:00:00", "01:00:00", "a|0", "None", "1", "1", "0"), ("1|7|11", "01:05:00", "01:06:00", "b|2a", "b|1a", "2", "1", "1"),
+        ("1|7|12", "01:09:00", "01:09:00", "c|0", "None", "1", "0", "0"), ("2|8|21", "02:00:00", "02:00:00", "a|0", "None", "1", "0", "0"),
+        ("2|8|21", "None", "02:00:00", "a|0", "None", "2", "0", "0"), ("None", "None", "None", "None", "None", "1", "0", "0")])
+    # what is known of a stop is joined once, the stops themselves never
+    assert len(re.findall(r"(?:SortMerge|BroadcastHash)Join", plan(gtfs_iff.stop_times_iff(t)))) == 4 + 3  # those of the services included
