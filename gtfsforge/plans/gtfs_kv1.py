@@ -23,6 +23,7 @@ from gtfsforge.operators.first import first_per, key, union_all, union_distinct
 from gtfsforge.sources import lookup
 
 PAT = ["version", "dataownercode", "lineplanningnumber", "journeypatterncode"]
+LINK = ["version", "dataownercode", "userstopcodebegin", "userstopcodeend"]
 SERVICE = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode"]
 
 
@@ -375,15 +376,13 @@ def shapes(t: dict[str, DataFrame], ties: str = "row_number", match_transport: b
         "version", F.col("dataownercode").alias("pointdataownercode"), "pointcode",
         F.col("lat").cast("decimal(8,5)").alias("shape_pt_lat"), F.col("lon").cast("decimal(7,5)").alias("shape_pt_lon"))
     ln = line.select("version", "dataownercode", "lineplanningnumber", F.col("transporttype").alias("line_tt"))
-    j = (
-        jt.select(*PAT, "timinglinkorder", "userstopcodebegin", "userstopcodeend")
-        .join(pool, ["version", "dataownercode", "userstopcodebegin", "userstopcodeend"])
-        .join(ln, ["version", "dataownercode", "lineplanningnumber"])
-    )
+    links = jt.select(*PAT, "timinglinkorder", "userstopcodebegin", "userstopcodeend").join(ln, ["version", "dataownercode", "lineplanningnumber"])
+    if exclude_train:
+        links = links.join(train_lines(line), ["dataownercode", "lineplanningnumber"], "left_anti")
+    # links that no pattern uses are left out before their points are put in order
+    j = links.join(pool.join(links.select(*LINK), LINK, "left_semi"), LINK)
     if match_transport:
         j = j.filter(F.col("transporttype") == F.col("line_tt"))
-    if exclude_train:
-        j = j.join(train_lines(line), ["dataownercode", "lineplanningnumber"], "left_anti")
     j = j.join(pts, ["version", "pointdataownercode", "pointcode"])
     j = seq(j, PAT, ["timinglinkorder", "distancesincestartoflink"], "shape_pt_sequence", ties=ties)
     # distinct by the pattern's own columns, which the window has brought together already; codes hold no separator

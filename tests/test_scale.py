@@ -152,3 +152,79 @@ def test_stops_of_services_meet_twice(spark):
         ("2|8|21", "None", "02:00:00", "a|0", "None", "2", "0", "0"), ("None", "None", "None", "None", "None", "1", "0", "0")])
     # what is known of a stop is joined once, the stops themselves never
     assert len(re.findall(r"(?:SortMerge|BroadcastHash)Join", plan(gtfs_iff.stop_times_iff(t)))) == 4
+
+
+@pytest.fixture(scope="module")
+def places(spark, tmp_path_factory):
+    """Passings with null stops, parts and journeys, rows that come twice, and links that journeys drive again."""
+    at = tmp_path_factory.mktemp("places")
+    rows = []
+    for k in (1, 2, 3, 4, 41, 121, 122, 4001, 4121, None):
+        for i in range(2 + (k or 1) % 4):
+            stop = None if (k, i) in ((2, 1), (122, 0)) else 1 + ((k or 7) + i) % 5
+            rows.append((k, stop, None if (k, i) == (3, 0) else 1 + ((k or 5) * 3 + i) % 7, i % 2, float(-i), 1.0, 0.0, 0.0, "RAN"[i % 3], "OF"[i % 2], datetime(1998, 1, 9 - i)))
+    rows += [rows[0], rows[5], rows[-1]]
+    names = "l_orderkey long, l_suppkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(rows, names).write.parquet(f"{at}/lineitem.parquet")
+    spark.createDataFrame([(s, f"Stop {s}", s % 3) for s in (1, 2, 3, 4, 4, 9)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{at}/supplier.parquet")
+    spark.createDataFrame([(p,) for p in (1, 2, 2, 3, 4, 5, 6, None)], "p_partkey long").write.parquet(f"{at}/part.parquet")
+    spark.createDataFrame([(c, c % 3, f"Line {c}", ("AUTOMOBILE", "BUILDING", "MACHINERY")[c % 3]) for c in range(1, 300)],
+                          "c_custkey long, c_nationkey int, c_name string, c_mktsegment string").write.parquet(f"{at}/customer.parquet")
+    spark.createDataFrame([(n, f"Nation {n}") for n in range(3)], "n_nationkey int, n_name string").write.parquet(f"{at}/nation.parquet")
+    spark.createDataFrame([(1, 1, "O", datetime(1998, 1, 1))], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp").write.parquet(f"{at}/orders.parquet")
+    return World(spark, str(at))
+
+
+@pytest.mark.parametrize("name", ["kv_usrstop", "kv_point", "kv_jopatili", "kv_pool_link", "kv_pool", "kv_point_all"])
+def test_views_of_shapes_have_the_rows_of_their_texts(spark, places, name):
+    def rows(df):
+        links = df.select([c for c in was.columns if c in KEPT.get(name, was.columns)])
+        return sorted(map(str, links.collect()))
+
+    # a journey that drives a link twice may give it either part by the text, so those columns are compared in the next test
+    KEPT = {"kv_pool_link": ["version", "dataownercode", "userstopcodebegin", "userstopcodeend", "linkvalidfrom"], "kv_pool": ["version", "dataownercode", "userstopcodebegin", "userstopcodeend"]}
+    was = spark.sql(with_clause([name], spark_tables(places.sf_dir)) + f"SELECT * FROM {name}")
+    now = getattr(places, name).select(*was.columns)
+    assert name in SPARK_VIEWS and now.dtypes == was.dtypes and rows(now)
+    assert rows(now) == rows(was)
+
+
+def test_a_link_is_of_its_first_journey(spark, tmp_path):
+    row = lambda k, i, stop, part: (k, stop, part, i, 0.0, 1.0, 0.0, 0.0, "R", "O", datetime(1998, 1, 1))
+    rows = [row(7, 0, 1, 11), row(7, 1, 2, 12), row(1, 0, 1, 13), row(1, 1, 2, 14), row(1, 2, 1, 15), row(1, 3, 2, 16), row(13, 0, None, 17), row(13, 1, 2, 18)]
+    names = "l_orderkey long, l_suppkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    w = World(spark, str(tmp_path))
+    assert {(r.userstopcodebegin, r.userstopcodeend): (r.pk, r.d, r.transporttype) for r in w.kv_pool_link.collect()} == {
+        ("S1", "S2"): (13, 100 + 13 * 37 + 14, "TRAM"), ("S2", "S1"): (14, 100 + 14 * 37 + 15, "BUS"), (None, "S2"): (17, 100 + 17 * 37 + 18, "TRAM")}
+    assert sorted((r.pointcode, r.distancesincestartoflink) for r in w.kv_pool.where("userstopcodebegin = 'S1'").collect()) == [("P13", 297), ("S1", 0), ("S2", 595)]
+
+
+@pytest.mark.parametrize("name", ["gtfs_shapes_rank_g4", "gtfs_shapes_rownum_g4"])
+def test_shapes_put_links_in_order_once(spark, places, name):
+    from gtfsforge.plans.registry import QUERIES
+
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that the plan shows which exchanges are read again
+    try:
+        p = plan(QUERIES[name](spark, places.sf_dir)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    links = [x for x in p if re.search(r" (Exchange|ReusedExchange) .*hashpartitioning\(userstopcodebegin\S+ userstopcodeend", x)]
+    assert sum("WindowGroupLimit" in x and "Partial" in x and "userstopcodebegin" in x for x in p) == 1, "pool and points share the links"
+    assert links and not any("l_extendedprice" in x for x in p)
+    # links that no pattern uses go before they become points
+    assert "LeftSemi" in p[next(i for i, x in enumerate(p) if "Generate inline" in x) + 1]
+
+
+def test_shapes_of_few_links(spark):
+    jt = spark.createDataFrame([(1, "O", "L", "P", 1, "a", "b"), (1, "O", "L", "P", 2, "b", "c"), (1, "O", "T", "Q", 1, "a", "b"), (1, "O", "X", "R", 1, "a", "b"), (1, "O", "L", "N", 1, None, "b")],
+                               "version int, dataownercode string, lineplanningnumber string, journeypatterncode string, timinglinkorder int, userstopcodebegin string, userstopcodeend string")
+    pool = spark.createDataFrame([(1, "O", b, e, "O", p, d, t) for b, e, p, d, t in (("a", "b", "a", 0, "BUS"), ("a", "b", "p", 0, "BUS"), ("a", "b", "b", 9, "BUS"), ("b", "c", "b", 0, "TRAM"), ("b", "c", "nowhere", 3, "TRAM"), ("c", "d", "p", 0, "BUS"), (None, "b", "p", 0, "BUS"))],
+                                 "version int, dataownercode string, userstopcodebegin string, userstopcodeend string, pointdataownercode string, pointcode string, distancesincestartoflink int, transporttype string")
+    points = spark.createDataFrame([(1, "O", c, 150000 + i * 1000, 460000) for i, c in enumerate("apbq")], "version int, dataownercode string, pointcode string, locationx_ew long, locationy_ns long")
+    line = spark.createDataFrame([(1, "O", "L", "BUS"), (1, "O", "T", "TRAIN")], "version int, dataownercode string, lineplanningnumber string, transporttype string")
+    t = {"jopatili": jt, "pool": pool, "point_all": points, "line": line}
+    seqs = lambda **how: sorted((r.shape_id, r.shape_pt_sequence) for r in gk.shapes(t, **how).collect())
+    assert seqs(ties="rank", match_transport=False, exclude_train=True) == [("1|O|L|P", 1), ("1|O|L|P", 1), ("1|O|L|P", 3), ("1|O|L|P", 4)]
+    assert seqs() == [("1|O|L|P", 1), ("1|O|L|P", 2), ("1|O|L|P", 3)]
