@@ -71,8 +71,8 @@ def _coded(lk: DataFrame, keep=(), together: bool = False, parts: int | None = N
     """
     w = Window.partitionBy(*_BY_JOURNEY, "journeypatterncode").orderBy("timinglinkorder")
     every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # a pattern without a name has no groups
-    df = lk.dropna(subset=TDG_PK).withColumns({"__n": F.row_number().over(w), "__links": F.collect_list(F.struct(*LINK)).over(every)}).where("__n = 1")
+    # a pattern without a name has no groups; said key by key, so that joins on them add no filter of their own and plans share the shuffles
+    df = lk.where(" and ".join(f"{c} is not null" for c in TDG_PK)).withColumns({"__n": F.row_number().over(w), "__links": F.collect_list(F.struct(*LINK)).over(every)}).where("__n = 1")
     df = df.select(*JOURNEY, "journeypatterncode", *keep, F.sort_array("__links").alias("__links"))
     # the list goes along as a list of each column, which takes a third of the room of a list of rows
     own = [F.col(f"__links.{c}").alias(f"__{c}") for c in LINK] + list(keep)
@@ -226,32 +226,45 @@ def cumulate(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ O-T13
-def expand_journeys(pujo: DataFrame, jopatili: DataFrame, timdempass: DataFrame) -> DataFrame:
+def expand_journeys(pujo: DataFrame, jopatili: DataFrame, timdempass: DataFrame, parts: int | None = None) -> DataFrame:
     """Drive-time journeys back to passings: the first stop at the departure time
-    plus every link end at its cumulative offset (stoporder = timinglinkorder + 2) (O-T13)."""
-    first = first_per(jopatili, TDG_PK, ["timinglinkorder"]).select(*TDG_PK, "userstopcodebegin")
-    base = pujo.select(
+    plus every link end at its cumulative offset (stoporder = timinglinkorder + 2) (O-T13).
+
+    Journeys and groups, each one row, meet by pattern in `parts` partitions
+    (default: the session's); passings are made, and those that come twice
+    left out, where they meet, so passings themselves are never shuffled.
+    """
+    first = first_per(jopatili, TDG_PK, ["timinglinkorder"]).select(*TDG_PK, F.struct("userstopcodebegin").alias("__first"))
+    base = pujo.dropna(subset=TDG_PK).select(
         *TDG_PK, "timedemandgroupcode", "organizationalunitcode",
         F.col("periodgroupcode").alias("schedulecode"), F.col("daytype").alias("scheduletypecode"),
-        "journeynumber", "departuretime", "wheelchairaccessible", "dataownerisoperator", to_seconds("departuretime").alias("__start"),
+        "journeynumber", "departuretime", "wheelchairaccessible", "dataownerisoperator", F.lit(1).alias("__kind"),
     )
     out_cols = ["version", "dataownercode", "organizationalunitcode", "schedulecode", "scheduletypecode",
                 "lineplanningnumber", "journeynumber", "stoporder", "journeypatterncode", "userstopcode",
                 "targetarrivaltime", "targetdeparturetime", "wheelchairaccessible", "dataownerisoperator"]
-    a = base.join(first, TDG_PK).select(
-        *[c for c in out_cols if c not in ("stoporder", "userstopcode", "targetarrivaltime", "targetdeparturetime")],
-        F.lit(1).alias("stoporder"), F.col("userstopcodebegin").alias("userstopcode"),
-        F.col("departuretime").alias("targetarrivaltime"), F.col("departuretime").alias("targetdeparturetime"),
-    )
+    # a group's passings as one row, a list of each column
+    own = ["timinglinkorder", "userstopcodebegin", "totaldrivetime", "stopwaittime"]
+    w = Window.partitionBy(*_BY_PATTERN, "timedemandgroupcode").orderBy("timinglinkorder")
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    groups = timdempass.dropna(subset=SPREAD_KEYS).withColumns({"__n": F.row_number().over(w), "__own": F.collect_list(F.struct(*own)).over(every)}).where("__n = 1")
+    groups = groups.select(*SPREAD_KEYS, F.lit(0).alias("__kind"), *[F.col(f"__own.{c}").alias(f"__{c}") for c in own])
+    # a group's row comes before its journeys
+    met = base.unionByName(groups, allowMissingColumns=True).repartition(*([parts] if parts else []), *_BY_PATTERN)
+    before = Window.partitionBy(*_BY_PATTERN, "timedemandgroupcode").orderBy("__kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = met.withColumns({f"__{c}": F.first(f"__{c}").over(before) for c in own}).where("__kind = 1").join(first, TDG_PK, "left")
+    of = lambda at_first, order, stop, total, wait: F.struct(
+        F.lit(at_first).alias("at_first"), order.cast("int").alias("stoporder"), stop.alias("userstopcode"), total.alias("total"), wait.alias("wait"))
+    none = F.lit(None).cast("long")
+    begin = F.when(F.col("__first").isNotNull(), F.array(of(True, F.lit(1), F.col("__first.userstopcodebegin"), none, none)))
+    links = F.transform(F.arrays_zip(*[F.col(f"__{c}").alias(c) for c in own]), lambda x: of(False, x.timinglinkorder + 2, x.userstopcodebegin, x.totaldrivetime, x.stopwaittime))
+    met = met.withColumn("__start", to_seconds("departuretime")).withColumn("x", F.explode(F.concat(F.coalesce(begin, F.array()), F.coalesce(links, F.array()))))
     # add32time in its steps: a journey's time is read once
-    b = base.join(timdempass, TDG_PK + ["timedemandgroupcode"]).withColumns({
-        "__arrives": F.col("__start") + F.col("totaldrivetime"), "__leaves": F.col("__start") + (F.col("totaldrivetime") + F.col("stopwaittime")).cast("int")})
-    b = b.select(
-        *[c for c in out_cols if c not in ("stoporder", "userstopcode", "targetarrivaltime", "targetdeparturetime")],
-        (F.col("timinglinkorder") + 2).cast("int").alias("stoporder"), F.col("userstopcodebegin").alias("userstopcode"),
-        seconds_to_time("__arrives").alias("targetarrivaltime"), seconds_to_time("__leaves").alias("targetdeparturetime"),
-    )
-    return a.select(*out_cols).unionByName(b.select(*out_cols)).distinct()
+    met = met.withColumns({"__arrives": F.col("__start") + F.col("x.total"), "__leaves": F.col("__start") + (F.col("x.total") + F.col("x.wait")).cast("int")})
+    at = lambda s: F.when(F.col("x.at_first"), F.col("departuretime")).otherwise(seconds_to_time(s))
+    return met.withColumns({
+        "stoporder": F.col("x.stoporder"), "userstopcode": F.col("x.userstopcode"), "targetarrivaltime": at("__arrives"), "targetdeparturetime": at("__leaves"),
+    }).select(*out_cols).distinct()
 
 
 # ------------------------------------------------------------------ O-T10

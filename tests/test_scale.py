@@ -233,3 +233,47 @@ def test_shapes_of_few_links(spark):
     seqs = lambda **how: sorted((r.shape_id, r.shape_pt_sequence) for r in gk.shapes(t, **how).collect())
     assert seqs(ties="rank", match_transport=False, exclude_train=True) == [("1|O|L|P", 1), ("1|O|L|P", 1), ("1|O|L|P", 3), ("1|O|L|P", 4)]
     assert seqs() == [("1|O|L|P", 1), ("1|O|L|P", 2), ("1|O|L|P", 3)]
+
+
+def test_journeys_are_expanded_where_they_meet(spark):
+    pat = "version int, dataownercode string, lineplanningnumber string, journeypatterncode string"
+    keys = {"P": (1, "O", "L", "P"), "Q": (1, "O", "L", "Q"), "N": (1, "O", None, "N"), "E": (1, "O", "L", "E")}
+    pujo = [("P", 0, 5, "23:59:30"), ("P", 0, 5, "23:59:30"), ("P", 1, 5, "23:59:30"), ("P", None, 6, "1:2:3"), ("P", 9, 7, "02:00:00"), ("P", 0, 8, None),
+            ("Q", 0, 9, "03:00:00"), ("N", 0, 10, "04:00:00"), ("E", 0, 11, "05:00:00"), ("P", 0, None, "06:00:00")]
+    passes = [("P", 0, 1, "b", 60, 5), ("P", 0, 2, "c", 200, None), ("P", 0, 2, "c", 200, None), ("P", 1, 1, "b", 60, 5), ("P", 1, 2, "d", None, 0), ("P", 0, -1, "a", 0, 0),
+              ("P", None, 1, "x", 1, 1), ("N", 0, 1, "x", 1, 1), ("Q", 0, 1, None, 30, 0)]
+    firsts = [("P", 2, "z"), ("P", 1, "a"), ("E", 1, None), ("N", 1, "n")]
+    hms = lambda s: f"{s // 3600:02}:{s // 60 % 60:02}:{s % 60:02}"
+    want = set()
+    for p, group, journey, at in pujo:
+        row = lambda order, stop, arr, dep: (journey, p, order, stop, arr, dep)
+        begin = sorted((o, s) for q, o, s in firsts if q == p)
+        if p != "N" and begin:
+            want.add(row(1, begin[0][1], at, at))
+        start = at and sum(int(x) * y for x, y in zip(at.split(":"), (3600, 60, 1)))
+        for q, g, order, stop, total, wait in passes if p != "N" and group is not None else []:
+            if (q, g) == (p, group):
+                arr = None if None in (start, total) else hms(start + total)
+                want.add(row(order + 2, stop, arr, None if arr is None or wait is None else hms(start + total + wait)))
+    got = tg.expand_journeys(
+        spark.createDataFrame([(*keys[p], g, "U", "G", "7", j, at, "W", True) for p, g, j, at in pujo], f"{pat}, timedemandgroupcode int, organizationalunitcode string, periodgroupcode string, daytype string, journeynumber long, departuretime string, wheelchairaccessible string, dataownerisoperator boolean"),
+        spark.createDataFrame([(*keys[p], o, s) for p, o, s in firsts], f"{pat}, timinglinkorder int, userstopcodebegin string"),
+        spark.createDataFrame([(*keys[p], *x) for p, *x in passes], f"{pat}, timedemandgroupcode int, timinglinkorder int, userstopcodebegin string, totaldrivetime long, stopwaittime long"), 3)
+    rows = got.collect()
+    assert {(r.journeynumber, r.journeypatterncode, r.stoporder, r.userstopcode, r.targetarrivaltime, r.targetdeparturetime) for r in rows} == want and len(rows) == len(want)
+    # no passing is shuffled
+    assert not re.search(r"Exchange hashpartitioning\([^)]*targetarrivaltime", plan(got))
+
+
+def test_expanded_journeys_read_the_lines_once(spark, places, tmp_path):
+    from gtfsforge.plans.registry import QUERIES
+
+    places.table("lineitem").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, k, "O", "2-HIGH", datetime(1998, 1, 1)) for k in (1, 2, 3, 41)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that the plan shows which exchanges are read again
+    try:
+        p = plan(QUERIES["tdg_expand_t13"](spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    assert len(re.findall(r"FileScan parquet.*l_extendedprice", p)) == 1 and "ReusedExchange" in p
